@@ -1,0 +1,45 @@
+"""How the rows of tables are spread over partitions."""
+
+from __future__ import annotations
+
+from collections.abc import Mapping
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from starloom.functions.labels import decode
+
+# Distribution codes and their names.
+EVEN, KEY, ALL = 0, 1, 8
+LAYOUT_NAMES = {EVEN: "EVEN", KEY: "KEY", ALL: "ALL", 10: "AUTO (ALL)", 11: "AUTO (EVEN)"}
+EVEN_FACTOR = 2  # still even if the fullest partition holds at most this many times the average
+
+
+def layout_report(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """``(table_name, layout, n_partitions, rows, max_rows)`` by name.
+
+    A table in one partition is ``ALL``, one with balanced partitions ``EVEN``, any other ``KEY``.
+    """
+    parts = [
+        df.select(F.lit(name).alias("table_name"), F.spark_partition_id().alias("part"))
+        for name, df in tables.items()
+    ]
+    sizes = [p.groupBy("table_name", "part").agg(F.count(F.lit(1)).alias("n")) for p in parts]
+    report = (
+        reduce(DataFrame.unionByName, sizes)
+        .groupBy("table_name")
+        .agg(
+            F.count(F.lit(1)).alias("n_partitions"),
+            F.sum("n").alias("rows"),
+            F.max("n").alias("max_rows"),
+        )
+    )
+    code = (
+        F.when(F.col("n_partitions") == 1, ALL)
+        .when(F.col("max_rows") * F.col("n_partitions") <= F.col("rows") * EVEN_FACTOR, EVEN)
+        .otherwise(KEY)
+    )
+    return report.select(
+        "table_name", decode(code, LAYOUT_NAMES).alias("layout"), "n_partitions", "rows", "max_rows"
+    ).orderBy("table_name")

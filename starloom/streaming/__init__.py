@@ -1,0 +1 @@
+"""Empty on purpose: every load is a re-runnable batch, so there is no stream operator to offer."""
