@@ -20,7 +20,7 @@ from starloom.operators.upsert import update_users
 from starloom.schemas import MAX_TEXT, PLAY_KEY, PLAY_PAGE, UNKNOWN_ARTIST, UNKNOWN_SONG, star_tables
 from starloom.session import discard, work_folder
 from starloom.sources import json_files as j
-from starloom.sources.tables import append, lay_out, load, overwrite, replace
+from starloom.sources.tables import append, lay_out, load, replace
 
 # Last event of a user: by time, then by position in the session.
 EVENT_ORDER = ("ts", "sessionid", "iteminsession")
@@ -77,13 +77,13 @@ def stage(
     if mode not in ("overwrite", "append") or on_reject not in ("fail", "null"):
         raise ValueError(f"mode={mode!r}, on_reject={on_reject!r}")
     schema = load(spark, database, name).schema
-    store = overwrite if mode == "overwrite" else append
-    if on_reject == "fail":
-        store(_strict(text, schema), database, name)
-        return 0
     seen = Observation()
-    store(_lenient(text, schema, seen), database, name)
-    return seen.get["n_rejected"]
+    rows = _strict(text, schema) if on_reject == "fail" else _lenient(text, schema, seen)
+    if mode == "append":
+        append(rows, database, name)
+    else:
+        replace(rows, database, name, keep_previous=False)
+    return seen.get["n_rejected"] if on_reject == "null" else 0
 
 
 def load_dimensions(

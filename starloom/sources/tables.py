@@ -6,10 +6,13 @@ import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from starloom.schemas import MAX_TEXT, Table, star_tables
 
+VERSION = "version-"  # each table folder holds one folder per version of the table
+
 
 def _column_list(schema: StructType) -> str:
     kinds = [
@@ -19,8 +22,8 @@ def _column_list(schema: StructType) -> str:
     return ", ".join(f"`{name}` {kind}" for name, kind in zip(schema.names, kinds))
 
 
-def _new_location(root: str, name: str) -> str:
-    return f"{root.rstrip('/')}/{name}/version-{uuid.uuid4().hex}"
+def _quoted(text: str) -> str:
+    return text.replace("'", "\\'")
 
 
 def create_tables(
@@ -29,7 +32,7 @@ def create_tables(
     """Create what is missing, referenced tables first. Each table starts in an empty folder of its own under ``root``."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     for table in (tables or star_tables()).values():
-        location = _new_location(root, table.name).replace("'", "\\'")
+        location = _quoted(f"{root.rstrip('/')}/{table.name}/{VERSION}{uuid.uuid4().hex}")
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS `{database}`.`{table.name}` ({_column_list(table.schema)}) "
             f"USING parquet LOCATION '{location}'"
@@ -71,29 +74,54 @@ def append(df: DataFrame, database: str, name: str) -> None:
     df.select(*columns).write.insertInto(f"`{database}`.`{name}`", overwrite=False)
 
 
-def overwrite(df: DataFrame, database: str, name: str) -> None:
-    """Replace the rows in place. ``df`` must not read the table; use :func:`replace` where it does."""
-    columns = load(df.sparkSession, database, name).columns
-    df.select(*columns).write.insertInto(f"`{database}`.`{name}`", overwrite=True)
+def _folder(spark: SparkSession, database: str, name: str) -> str:
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED `{database}`.`{name}`")
+    return described.filter("col_name = 'Location'").first().data_type
+
+
+def _checked(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The columns, failing on text beyond the declared length as a catalog insert would."""
+    texts = {f.name for f in df.schema.fields if isinstance(f.dataType, StringType)}
+    return df.select(
+        *[
+            F.when(F.char_length(c) > MAX_TEXT, F.raise_error(F.lit(f"{c} exceeds {MAX_TEXT} characters")))
+            .otherwise(F.col(c))
+            .cast("string")
+            .alias(c)
+            if c in texts
+            else F.col(c)
+            for c in columns
+        ]
+    )
+
+
+def _drop_versions(spark: SparkSession, table_folder: str, keep: set[str]) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(table_folder)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in files.listStatus(folder):
+        version = status.getPath().getName()
+        if version.startswith(VERSION) and version not in keep:
+            files.delete(status.getPath(), True)
 
 
-def replace(df: DataFrame, database: str, name: str) -> str:
-    """Write ``df`` to a new folder, then point the table at it; ``df`` may read the table. Returns the old folder.
+def replace(df: DataFrame, database: str, name: str, keep_previous: bool = True) -> None:
+    """Write ``df`` to a new folder, then point the table at it; ``df`` may read the table.
 
-    The switch is one catalog call: readers see the old or the new rows, and a failed write changes nothing.
+    The switch is one catalog call: readers see the old or the new rows, and a failed write changes nothing. The
+    previous version stays until the next replacement for queries that still read it, unless told otherwise.
     """
     spark = df.sparkSession
     full_name = f"`{database}`.`{name}`"
-    columns = spark.table(full_name).columns
-    described = spark.sql(f"DESCRIBE TABLE EXTENDED {full_name}").filter("col_name = 'Location'").first()
-    old = described.data_type
-    new = f"{old.rsplit('/', 1)[0]}/version-{uuid.uuid4().hex}"
-    df.select(*columns).write.mode("errorifexists").parquet(new)
-    spark.sql(f"ALTER TABLE {full_name} SET LOCATION '{new}'")
+    old = _folder(spark, database, name)
+    table_folder, old_version = old.rsplit("/", 1)
+    new_version = VERSION + uuid.uuid4().hex
+    new = f"{table_folder}/{new_version}"
+    _checked(df, spark.table(full_name).columns).write.mode("errorifexists").parquet(new)
+    spark.sql(f"ALTER TABLE {full_name} SET LOCATION '{_quoted(new)}'")
     spark.catalog.refreshTable(full_name)
-    return old
+    _drop_versions(spark, table_folder, {new_version} | ({old_version} if keep_previous else set()))
 
 
-def clear(spark: SparkSession, database: str, name: str) -> str:
-    """Empty a table. Returns the folder that held the rows."""
-    return replace(load(spark, database, name).limit(0), database, name)
+def clear(spark: SparkSession, database: str, name: str) -> None:
+    """Empty a table."""
+    replace(load(spark, database, name).limit(0), database, name)
