@@ -21,22 +21,30 @@ FACT_COLUMNS = [
     "user_agent",
 ]
 
+NAME_KEYS = [("artist", "artist_name"), ("song", "title")]
 
-def match_catalogue(plays: DataFrame, catalogue: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+
+def match_catalogue(
+    plays: DataFrame, catalogue: DataFrame, hot_from: DataFrame | None = None, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Plays with ``song_id`` and ``artist_id`` of every catalogue row of the same artist name and title.
 
     Plays without a match keep one row with NULL ids; several matches give several rows.
     """
     names = catalogue.select("artist_name", "title", "song_id", "artist_id")
-    return skew_join(plays, names, [("artist", "artist_name"), ("song", "title")], "left", hot_rows=hot_rows)
+    return skew_join(plays, names, NAME_KEYS, "left", hot_from=hot_from, hot_rows=hot_rows)
 
 
 def resolve_songs(
-    plays: DataFrame, catalogue: DataFrame, extra: Sequence[str] = (), hot_rows: int = HOT_ROWS
+    plays: DataFrame,
+    catalogue: DataFrame,
+    extra: Sequence[str] = (),
+    hot_from: DataFrame | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Fact rows, with the unknown members where the catalogue has no id."""
     return (
-        match_catalogue(plays, catalogue, hot_rows)
+        match_catalogue(plays, catalogue, hot_from, hot_rows)
         .withColumn("song_id", F.coalesce("song_id", F.lit(UNKNOWN_SONG_ID)))
         .withColumn("artist_id", F.coalesce("artist_id", F.lit(UNKNOWN_ARTIST_ID)))
         .select(*FACT_COLUMNS, *extra)
@@ -44,11 +52,15 @@ def resolve_songs(
 
 
 def resolve_with_source_text(
-    plays: DataFrame, catalogue: DataFrame, extra: Sequence[str] = (), hot_rows: int = HOT_ROWS
+    plays: DataFrame,
+    catalogue: DataFrame,
+    extra: Sequence[str] = (),
+    hot_from: DataFrame | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Fact rows that fall back to the event's own song and artist text."""
     return (
-        match_catalogue(plays, catalogue, hot_rows)
+        match_catalogue(plays, catalogue, hot_from, hot_rows)
         .withColumn("song_id", F.coalesce("song_id", "song"))
         .withColumn("artist_id", F.coalesce("artist_id", "artist"))
         .select(*FACT_COLUMNS, *extra)
@@ -60,6 +72,7 @@ def resolve_loose(
     artists: DataFrame,
     songs: DataFrame,
     extra: Sequence[str] = (),
+    hot_from: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Artist by name and song by title, each on its own: a title may meet another artist's song.
@@ -68,8 +81,9 @@ def resolve_loose(
     """
     by_name = artists.select(F.col("name").alias("__name"), "artist_id")
     by_title = songs.select(F.col("title").alias("__title"), "song_id")
-    with_artist = skew_join(plays, by_name, [("artist", "__name")], "left", hot_rows=hot_rows)
-    with_both = skew_join(with_artist, by_title, [("song", "__title")], "left", hot_rows=hot_rows)
+    keys = plays if hot_from is None else hot_from
+    with_artist = skew_join(plays, by_name, [("artist", "__name")], "left", hot_from=keys, hot_rows=hot_rows)
+    with_both = skew_join(with_artist, by_title, [("song", "__title")], "left", hot_from=keys, hot_rows=hot_rows)
     return (
         with_both.withColumn("song_id", F.coalesce("song_id", "song"))
         .withColumn("artist_id", F.coalesce("artist_id", "artist"))

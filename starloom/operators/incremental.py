@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.operators.skew import HOT_ROWS, skew_join
@@ -38,6 +38,7 @@ def new_keys_only(
     target: DataFrame,
     keys: Sequence[str],
     source_unique: bool = False,
+    hot_from: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Source rows whose key is not in the target; rows with a NULL in the key are rejected.
@@ -49,7 +50,7 @@ def new_keys_only(
     seen = reject_null_keys(target.select(*keys), keys)
     if source_unique:
         return source.join(seen, list(keys), "left_anti")
-    return skew_join(source, seen.distinct(), [(k, k) for k in keys], "left_anti", hot_rows=hot_rows)
+    return skew_join(source, seen.distinct(), [(k, k) for k in keys], "left_anti", hot_from=hot_from, hot_rows=hot_rows)
 
 
 def first_version(df: DataFrame, key: str, columns: Mapping[str, str]) -> DataFrame:
@@ -67,17 +68,15 @@ def insert_if_absent(dim: DataFrame, source: DataFrame, key: str) -> DataFrame:
     return dim.unionByName(absent_members(dim, source, key))
 
 
-def constant_row(like: DataFrame, values: Mapping[str, object]) -> DataFrame:
-    """One row with the columns of ``like``; columns without a value are typed NULLs."""
-    fields = like.schema.fields
-    row = like.sparkSession.range(1)
-    return row.select(*[F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in fields])
+def _literals(like: DataFrame, values: Mapping[str, object]) -> list[Column]:
+    """The given values in the columns of ``like``, typed NULLs elsewhere."""
+    return [F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in like.schema.fields]
 
 
 def missing_member(dim: DataFrame, values: Mapping[str, object], key: str) -> DataFrame:
     """The constant row if the dimension lacks its key, otherwise no row."""
-    present = dim.filter(F.col(key) == values[key]).select(key).limit(1)
-    return constant_row(dim, values).join(present, key, "left_anti").select(*dim.columns)
+    present = dim.filter(F.col(key) == values[key]).agg(F.count(F.lit(1)).alias("__n"))
+    return present.filter(F.col("__n") == 0).select(*_literals(dim, values))
 
 
 def ensure_member(dim: DataFrame, values: Mapping[str, object], key: str) -> DataFrame:

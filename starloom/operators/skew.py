@@ -1,9 +1,12 @@
 """Equi-joins that stay even when one key holds a large share of the rows on either side.
 
-The small side is broadcast only where Spark's own size check allows it. Beyond that both sides are shuffled, and
-the rows of frequent keys are dealt out in pieces: the pieces of one side meet every piece of the other side, so no
-pair is lost and none appears twice. Frequent keys are counted exactly; at most ``MAX_HOT_KEYS`` of them are
-broadcast, every other key takes the ordinary join.
+The right side is broadcast only where Spark's own size check allows it. Beyond that both sides are shuffled, and the
+rows of frequent keys are dealt out in pieces: the pieces of one side meet every piece of the other side, so no pair
+is lost and none appears twice. Rows without a full key match nothing and are spread as well.
+
+Which keys are frequent is found before the join is planned, by one scan of the key columns. Only a list of bounded
+length comes out of it, and without frequent keys the join is an ordinary one. The list steers how rows travel, never
+which rows match; whatever it misses is left to adaptive execution.
 """
 
 from __future__ import annotations
@@ -14,9 +17,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_HOT_KEYS = 10_000
 HOT_ROWS = 1_000_000  # a key with more rows than this is split into pieces of about this size
-NULL_KEY_PIECES = 4_096  # rows without a full key match nothing; they only have to be spread
+MAX_HOT_KEYS = 1_000  # length of the list of frequent keys of one side
+MAX_PIECES = 10_000
+NULL_KEY_PIECES = 4_096
+SKETCH_ITEMS = 4_096  # a key with more than about a thousandth of the rows is found for sure
+SKETCH_GROUPS = 256  # sketches are merged in this many tasks before the last one
 
 
 def fits_broadcast(df: DataFrame) -> bool:
@@ -28,39 +34,53 @@ def fits_broadcast(df: DataFrame) -> bool:
         return False
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """``(*keys, n)`` of the keys with more than ``hot_rows`` rows, the most frequent ``MAX_HOT_KEYS`` at most."""
-    return (
-        df.select(*keys)
-        .dropna()
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") > hot_rows)
-        .orderBy(F.desc("n"))
-        .limit(MAX_HOT_KEYS)
-    )
+def _all_of(conditions: Sequence[Column]) -> Column:
+    return reduce(Column.__and__, conditions)
+
+
+def _key_hash(keys: Sequence[str]) -> Column:
+    return F.xxhash64(*[F.col(f"`{k}`") for k in keys])
 
 
-def _row_hash(columns: Sequence[str]) -> Column:
-    return F.xxhash64(*[F.col(f"`{c}`") for c in columns])
+def _n_pieces(rows: int, hot_rows: int) -> int:
+    return min(-(-rows // hot_rows), MAX_PIECES)
 
 
-def _pieces(n: Column, hot_rows: int) -> Column:
-    return F.coalesce(F.ceil(n / hot_rows).cast("bigint"), F.lit(1).cast("bigint"))
+def hot_hashes(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> list[tuple[int, int]]:
+    """``(hash of the key, pieces)`` of keys with more than ``hot_rows`` rows, by a frequent-items sketch per task.
+
+    No key is shuffled, only sketches of fixed size.
+    """
+    hashes = df.select(*[F.col(f"`{k}`") for k in keys]).dropna().select(_key_hash(keys).alias("item"))
+    group = F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("part")
+    sketches = hashes.groupBy(group).agg(F.expr(f"approx_top_k_accumulate(item, {SKETCH_ITEMS})").alias("sketch"))
+    # Merged by a key that is always 0: without a key, empty partitions would contribute sketches that cannot be merged.
+    merged = sketches.groupBy(F.pmod("part", F.lit(1))).agg(
+        F.expr(f"approx_top_k_combine(sketch, {SKETCH_ITEMS})").alias("sketch")
+    )
+    top = merged.select(F.expr(f"inline(approx_top_k_estimate(sketch, {MAX_HOT_KEYS}))"))
+    return [(r["item"], _n_pieces(r["count"], hot_rows)) for r in top.filter(F.col("count") > hot_rows).collect()]
+
 
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> list[tuple]:
+    """``(*key, pieces)`` of the most frequent keys with more than ``hot_rows`` rows, counted exactly."""
+    counts = df.select(*keys).dropna().groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    top = counts.filter(F.col("__n") > hot_rows).orderBy(F.desc("__n")).limit(MAX_HOT_KEYS)
+    return [(*[r[k] for k in keys], _n_pieces(r["__n"], hot_rows)) for r in top.collect()]
 
-def _deal(columns: Sequence[str], pieces: Column) -> Column:
+
+def _deal(columns: Sequence[str], pieces: Column | int) -> Column:
     """Piece of a row, from its values and its input partition.
 
     The partition number spreads exact copies of a row; neither part depends on the order of rows, so a task that
     runs twice deals the same way.
     """
-    dealt = F.pmod(_row_hash(columns) + F.spark_partition_id(), pieces)
-    return F.when(pieces > 1, dealt).otherwise(F.lit(0).cast("bigint"))
+    return F.pmod(_key_hash(columns) + F.spark_partition_id(), F.lit(pieces) if isinstance(pieces, int) else pieces)
 
 
-def _copy_to_all(pieces: Column) -> Column:
-    return F.explode(F.sequence(F.lit(0).cast("bigint"), pieces - 1))
+def _copies(pieces: Column) -> Column:
+    """One row per piece; one row for keys that are not split."""
+    return F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce(pieces, F.lit(1)).cast("bigint") - 1))
 
 
 def skew_join(
@@ -69,76 +89,63 @@ def skew_join(
     on: Sequence[tuple[str, str]],
     how: str = "inner",
     right_unique: bool = False,
+    hot_from: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Join on pairs of column names; the result has all left columns and the right columns that are not keys.
 
     ``how`` is ``inner``, ``left`` or ``left_anti``. With ``right_unique`` no key of the right side is split.
+    ``hot_from`` has the left key columns too and is scanned for frequent keys instead of ``left``, where ``left`` is
+    costly to compute.
     """
     if how not in ("inner", "left", "left_anti"):
         raise ValueError(f"unsupported join: {how}")
     left_keys = [l for l, _ in on]
     names = {r: f"__key{i}" for i, (_, r) in enumerate(on)}
-    key_columns = list(names.values())
+    keys = list(names.values())
     if how == "left_anti":
         right, right_unique = right.select(*names), True
     right = right.withColumnsRenamed(names)
-    matches = [F.col(f"`{l}`") == F.col(k) for l, k in zip(left_keys, key_columns)]
+    matches = [F.col(f"`{l}`") == F.col(k) for l, k in zip(left_keys, keys)]
 
     if fits_broadcast(right):
-        joined = left.join(right, reduce(Column.__and__, matches), how)
-        return joined if how == "left_anti" else joined.drop(*key_columns)
+        joined = left.join(right, _all_of(matches), how)
+        return joined if how == "left_anti" else joined.drop(*keys)
 
-    # Right rows without a full key never match.
-    right = right.dropna(subset=key_columns)
-    left_hot = hot_keys(left, left_keys, hot_rows).toDF(*key_columns, "n").withColumns(
-        {"__left": _pieces(F.col("n"), hot_rows), "__right": F.lit(1).cast("bigint")}
-    )
-    hot = left_hot.drop("n")
-    if not right_unique:
-        right_hot = hot_keys(right, key_columns, hot_rows).withColumns(
-            {"__left": F.lit(1).cast("bigint"), "__right": _pieces(F.col("n"), hot_rows)}
-        )
-        hot = (
-            hot.unionByName(right_hot.drop("n"))
-            .groupBy(*key_columns)
-            .agg(F.max("__left").alias("__left"), F.max("__right").alias("__right"))
-        )
-    one = F.lit(1).cast("bigint")
+    spark = left.sparkSession
+    right = right.dropna(subset=keys)
+    left_columns, right_columns = left.columns, right.columns
+    left_hot = hot_hashes(left if hot_from is None else hot_from, left_keys, hot_rows)
+    right_hot = [] if right_unique else hot_keys(right, keys, hot_rows)
 
+    # Pieces of the left side: column __l, and every right row once per piece of its key.
     no_key = reduce(Column.__or__, [F.col(f"`{l}`").isNull() for l in left_keys])
-    dealt_left = (
-        left.join(F.broadcast(hot), reduce(Column.__and__, matches), "left")
-        .drop(*key_columns)
-        .withColumns(
-            {
-                "__left": F.when(no_key, F.lit(NULL_KEY_PIECES)).otherwise(F.coalesce("__left", one)),
-                "__right": F.coalesce("__right", one),
-            }
-        )
-        .withColumn("__l", _deal(left.columns, F.col("__left")))
-        .drop("__left")
-    )
-    dealt_right = (
-        right.join(F.broadcast(hot), key_columns, "left")
-        .withColumns({"__left": F.coalesce("__left", one), "__right": F.coalesce("__right", one)})
-        .withColumn("__rl", _copy_to_all(F.col("__left")))
-    )
-    pairs = [*matches, F.col("__l") == F.col("__rl")]
-    if right_unique:
-        dealt_left = dealt_left.drop("__right")
-        dealt_right = dealt_right.drop("__left", "__right")
+    spread = F.when(no_key, _deal(left_columns, NULL_KEY_PIECES))
+    if left_hot:
+        hot = F.broadcast(spark.createDataFrame(left_hot, "__hash bigint, __pieces bigint"))
+        left = left.join(hot, _key_hash(left_keys) == F.col("__hash"), "left")
+        spread = spread.when(F.col("__pieces").isNotNull(), _deal(left_columns, F.col("__pieces")))
+        right = right.join(hot, _key_hash(keys) == F.col("__hash"), "left").withColumn("__rl", _copies(F.col("__pieces")))
+        right = right.drop("__hash", "__pieces")
     else:
-        dealt_left = dealt_left.withColumn("__r", _copy_to_all(F.col("__right")))
-        dealt_right = (
-            dealt_right.withColumn("__rr", _deal(right.columns, F.col("__right")))
-            .drop("__left", "__right")
-            .withColumn("__matched", F.lit(True))
+        right = right.withColumn("__rl", F.pmod(_key_hash(keys), F.lit(1)))
+    left = left.withColumn("__l", spread.otherwise(F.lit(0))).drop("__hash", "__pieces")
+    matches.append(F.col("__l") == F.col("__rl"))
+
+    # Pieces of the right side: column __rr, and every left row once per piece of its key.
+    if right_hot:
+        kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in right.select(*keys).schema.fields)
+        hot = F.broadcast(spark.createDataFrame(right_hot, f"{kinds}, __pieces bigint"))
+        left = left.join(hot, _all_of(matches[:-1]), "left").drop(*keys).withColumn("__r", _copies(F.col("__pieces")))
+        left = left.withColumnRenamed("__pieces", "__split")
+        right = right.join(hot, keys, "left").withColumn(
+            "__rr", F.when(F.col("__pieces").isNotNull(), _deal(right_columns, F.col("__pieces"))).otherwise(F.lit(0))
         )
-        pairs.append(F.col("__r") == F.col("__rr"))
+        right = right.drop("__pieces").withColumn("__matched", F.lit(True))
+        matches.append(F.col("__r") == F.col("__rr"))
 
-    joined = dealt_left.join(dealt_right, reduce(Column.__and__, pairs), how)
-    if how == "left" and not right_unique:
+    joined = left.join(right, _all_of(matches), how)
+    if right_hot and how == "left":
         # A key split on the right has right rows for sure; a piece without any is not a missing match.
-        joined = joined.filter((F.col("__right") == 1) | F.col("__matched").isNotNull())
-    return joined.drop("__l", "__r", "__rl", "__rr", "__right", "__matched", *key_columns)
+        joined = joined.filter(F.col("__split").isNull() | F.col("__matched").isNotNull())
+    return joined.drop("__l", "__r", "__rl", "__rr", "__split", "__matched", *keys)

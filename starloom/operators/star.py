@@ -53,9 +53,10 @@ def star_join(fact: DataFrame, dims: Mapping[str, DataFrame], hot_rows: int = HO
 
     Dimensions under Spark's broadcast size are broadcast. For a larger one the rows of frequent keys are split.
     """
+    joined = fact
     for key, dim in dims.items():
-        fact = skew_join(fact, dim, [(key, key)], "inner", right_unique=True, hot_rows=hot_rows)
-    return fact
+        joined = skew_join(joined, dim, [(key, key)], "inner", right_unique=True, hot_from=fact, hot_rows=hot_rows)
+    return joined
 
 
 def plays_by(fact: DataFrame, dims: Mapping[str, DataFrame], by: Sequence[str]) -> DataFrame:

@@ -207,7 +207,7 @@ def songplays_incremental(spark, sf_dir):
     plays = s.plays()
     loaded = plays.filter(F.col("start_time") < F.expr(f"timestamp_ntz'{a.LOADED_PLAYS_BEFORE}'"))
     new_plays = incremental.new_keys_only(plays, loaded, PLAY_KEY)
-    return facts.resolve_songs(new_plays, s.catalogue(), ["event_id"])
+    return facts.resolve_songs(new_plays, s.catalogue(), ["event_id"], hot_from=plays)
 
 
 @registered

@@ -124,7 +124,7 @@ def load_fact(
     plays = select_play_columns(plays_only(load(spark, database, "staging_events"), page))
     known = within_range_of(fact, plays, "start_time")
     new_plays = new_keys_only(plays, known, PLAY_KEY)
-    rows = resolve_songs(new_plays, load(spark, database, "staging_songs"))
+    rows = resolve_songs(new_plays, load(spark, database, "staging_songs"), hot_from=plays)
 
     last = fact.agg(F.max("songplay_id").alias("id")).first().id
     work = work_folder(spark)

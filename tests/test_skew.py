@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from starloom.operators.skew import fits_broadcast, hot_keys, skew_join
+from starloom.operators.skew import fits_broadcast, hot_hashes, hot_keys, skew_join
 from tests.conftest import rows
 
 
@@ -57,24 +57,35 @@ def test_nothing_hot(spark, shuffled_joins):
     assert rows(found) == rows(plain(left, right, "left"))
 
 
-def test_hot_keys_are_exact(spark):
-    df = spark.createDataFrame([("a",)] * 5 + [("b",)] * 3 + [("c",)] + [(None,)] * 9, "k string")
-    assert rows(hot_keys(df, ["k"], 2)) == [("a", 5), ("b", 3)]
+def test_hot_lists(spark):
+    df = spark.createDataFrame([("a",)] * 5 + [("b",)] * 3 + [("c",)] + [(None,)] * 9, "k string").repartition(3)
+    assert hot_keys(df, ["k"], 2) == [("a", 3), ("b", 2)]
+    hashes = {r.k: r.h for r in df.select("k", F.xxhash64("k").alias("h")).distinct().collect()}
+    assert sorted(hot_hashes(df, ["k"], 2)) == sorted([(hashes["a"], 3), (hashes["b"], 2)])
+    assert hot_hashes(df.limit(0), ["k"], 2) == hot_keys(df.limit(0), ["k"], 2) == []
 
 
-def test_hot_key_is_spread_over_tasks(spark, shuffled_joins):
-    """A key with all rows, most of them exact copies, ends up in several tasks."""
-    left = spark.range(0, 4000, 1, 8).select(F.lit("hot").alias("a"), F.lit(1).alias("v"))
-    right = spark.createDataFrame([("hot", 1)], "c string, w int")
+@pytest.mark.parametrize("key", ["hot", None])
+@pytest.mark.parametrize("how", ["left", "left_anti"])
+def test_hot_key_is_spread_over_tasks(spark, shuffled_joins, key, how):
+    """A key with all rows, every row an exact copy of the others, ends up in several tasks; so do NULL keys."""
+    left = spark.range(0, 4000, 1, 8).select(F.lit(key).cast("string").alias("a"), F.lit(1).alias("v"))
+    right = spark.createDataFrame([("hot" if how == "left" else "cold", 1)], "c string, w int")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        joined = skew_join(left, right, [("a", "c")], "left", right_unique=True, hot_rows=100)
+        joined = skew_join(left, right, [("a", "c")], how, right_unique=True, hot_rows=100)
         parts = joined.groupBy(F.spark_partition_id()).count().collect()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert len(parts) > 1 and sum(p["count"] for p in parts) == 4000
 
 
+def test_without_hot_keys_one_shuffle_per_side(spark, shuffled_joins):
+    left, right = sides(spark, 6)
+    plan = skew_join(left, right, [("a", "c"), ("b", "d")])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and "Generate" not in plan
+
+
 def test_broadcast_only_below_the_limit(spark, tmp_path):
     df = spark.range(100_000).withColumn("v", F.rand(1))
     df.write.parquet(str(tmp_path / "t"))
