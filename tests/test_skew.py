@@ -43,6 +43,14 @@ def test_unique_right_side(spark, shuffled_joins, how):
     assert rows(found) == rows(plain(left, right, how))
 
 
+def test_piece_without_rows_is_not_a_missing_match(spark, shuffled_joins):
+    """All right rows are copies in one partition, so they share a piece and the other pieces stay empty."""
+    left = spark.createDataFrame([("k", 1), ("z", 2), (None, 3)], "a string, v int")
+    right = spark.createDataFrame([("k", 1)] * 10, "c string, w int").coalesce(1)
+    found = skew_join(left, right, [("a", "c")], "left", hot_rows=3)
+    assert rows(found) == [(None, 3, None)] + [("k", 1, 1)] * 10 + [("z", 2, None)]
+
+
 def test_same_key_names_and_self_join(spark, shuffled_joins):
     left, _ = sides(spark, 4)
     right = left.select("a", "b").distinct().withColumn("z", F.lit(1))
