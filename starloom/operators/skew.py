@@ -80,7 +80,8 @@ def _deal(columns: Sequence[str], pieces: Column | int) -> Column:
 
 def _copies(pieces: Column) -> Column:
     """One row per piece; one row for keys that are not split."""
-    return F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce(pieces, F.lit(1)).cast("bigint") - 1))
+    zero = F.lit(0).cast("bigint")
+    return F.explode(F.when(pieces.isNull(), F.array(zero)).otherwise(F.sequence(zero, pieces - 1)))
 
 
 def skew_join(

@@ -82,7 +82,7 @@ def stage(
     if mode == "append":
         append(rows, database, name)
     else:
-        replace(rows, database, name, keep_previous=False)
+        replace(rows, database, name, keep_previous=False, check_text=False)
     return seen.get["n_rejected"] if on_reject == "null" else 0
 
 

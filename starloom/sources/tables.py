@@ -104,11 +104,14 @@ def _drop_versions(spark: SparkSession, table_folder: str, keep: set[str]) -> No
             files.delete(status.getPath(), True)
 
 
-def replace(df: DataFrame, database: str, name: str, keep_previous: bool = True) -> None:
+def replace(
+    df: DataFrame, database: str, name: str, keep_previous: bool = True, check_text: bool = True
+) -> None:
     """Write ``df`` to a new folder, then point the table at it; ``df`` may read the table.
 
     The switch is one catalog call: readers see the old or the new rows, and a failed write changes nothing. The
     previous version stays until the next replacement for queries that still read it, unless told otherwise.
+    ``check_text=False`` is for rows whose text lengths have been checked already.
     """
     spark = df.sparkSession
     full_name = f"`{database}`.`{name}`"
@@ -116,7 +119,9 @@ def replace(df: DataFrame, database: str, name: str, keep_previous: bool = True)
     table_folder, old_version = old.rsplit("/", 1)
     new_version = VERSION + uuid.uuid4().hex
     new = f"{table_folder}/{new_version}"
-    _checked(df, spark.table(full_name).columns).write.mode("errorifexists").parquet(new)
+    columns = spark.table(full_name).columns
+    rows = _checked(df, columns) if check_text else df.select(*columns)
+    rows.write.mode("errorifexists").parquet(new)
     spark.sql(f"ALTER TABLE {full_name} SET LOCATION '{_quoted(new)}'")
     spark.catalog.refreshTable(full_name)
     _drop_versions(spark, table_folder, {new_version} | ({old_version} if keep_previous else set()))
