@@ -15,8 +15,8 @@ SF_DIR = "/root/testdata/sf0.001"
 def spark(tmp_path_factory):
     folder = tmp_path_factory.mktemp("spark")
     session = (
-        configure(SparkSession.builder.master("local[4]").appName("starloom-tests"))
-        .config("spark.sql.shuffle.partitions", "4")
+        configure(SparkSession.builder.master("local[8]").appName("starloom-tests"))
+        .config("spark.sql.shuffle.partitions", "2")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "4g")
