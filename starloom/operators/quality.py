@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.operators.star import joined_count
+from starloom.operators.star import referential_count
 
 
 def null_violations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -22,15 +22,21 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
 
 
-def orphans(child: DataFrame, parent: DataFrame, keys: Mapping[str, str] | Sequence[str]) -> DataFrame:
+def orphans(
+    child: DataFrame,
+    parent: DataFrame,
+    keys: Mapping[str, str] | Sequence[str],
+    parent_unique: bool = False,
+) -> DataFrame:
     """Distinct child keys without a parent; keys with a NULL refer to nothing and pass.
 
-    ``keys`` maps child columns to parent columns, or lists columns of the same name.
+    ``keys`` maps child columns to parent columns, or lists columns of the same name. Both sides are made distinct
+    before the join, unless the parent's key is known to be unique.
     """
     pairs = keys if isinstance(keys, Mapping) else {k: k for k in keys}
     wanted = child.select(*pairs).dropna().distinct()
     known = parent.select(*[F.col(p).alias(c) for c, p in pairs.items()])
-    return wanted.join(known, list(pairs), "left_anti")
+    return wanted.join(known if parent_unique else known.distinct(), list(pairs), "left_anti")
 
 
 def completeness(fact: DataFrame, dims: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
@@ -39,7 +45,7 @@ def completeness(fact: DataFrame, dims: Mapping[str, tuple[DataFrame, str]]) ->
     ``dims`` maps a name to ``(dimension, key)``. A NULL key counts as a fact row that does not join.
     """
     parts = [
-        joined_count(fact, dim, key, keep_total=True).select(
+        referential_count(fact, dim, key, keep_total=True).select(
             F.lit(name).alias("dimension"), "fact_rows", "joined_rows"
         )
         for name, (dim, key) in dims.items()

@@ -32,7 +32,7 @@ def rows_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
 
 
-def joined_count(fact: DataFrame, dim: DataFrame, key: str, keep_total: bool = False) -> DataFrame:
+def referential_count(fact: DataFrame, dim: DataFrame, key: str, keep_total: bool = False) -> DataFrame:
     """Rows of the inner join of fact and dimension, from one count per key instead of the joined rows.
 
     ``keep_total`` gives ``(fact_rows, joined_rows)`` from the same pass instead of ``n``.

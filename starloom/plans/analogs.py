@@ -19,14 +19,23 @@ LOADED_USERS_BEFORE = "2024-01-02 00:00:00"
 LOADED_SONGS_UNTIL = 1
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+class Tables:
+    """The Parquet tables of one driver folder; each is opened once."""
 
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+        self._opened: dict[str, DataFrame] = {}
 
-def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._opened:
+            self._opened[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._opened[name]
+
+
+def event_log(tables: Tables) -> DataFrame:
     """The part of the staged events that the events table alone holds."""
     session = json_value(F.col("props"), "$.k")
-    return _table(spark, sf_dir, "events").select(
+    return tables["events"].select(
         F.when(F.col("value") >= 50, F.lit("paid")).otherwise(F.lit("free")).alias("level"),
         F.col("value").cast(DecimalType(18, 0)).alias("length"),
         F.concat(F.lit("L"), session).alias("location"),
@@ -39,35 +48,35 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def with_song_names(events: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+def with_song_names(events: DataFrame, tables: Tables) -> DataFrame:
     """Adds ``artist`` and ``song``; about one event in five has them. Both keys are unique, so no key is frequent."""
-    parts = _table(spark, sf_dir, "part").select(
+    parts = tables["part"].select(
         F.col("p_partkey").alias("event_id"), F.col("p_type").alias("artist"), F.col("p_name").alias("song")
     )
     return events.join(parts, "event_id", "left")
 
 
-def with_people(events: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+def with_people(events: DataFrame, tables: Tables) -> DataFrame:
     """Adds the attributes of the user."""
-    people = _table(spark, sf_dir, "customer").select(
+    people = tables["customer"].select(
         "c_custkey",
         F.col("c_name").alias("firstname"),
         F.concat(F.lit("N"), F.col("c_nationkey")).alias("lastname"),
         F.col("c_mktsegment").alias("gender"),
     )
-    users = _table(spark, sf_dir, "events").select(F.col("user_id").alias("userid"))
+    users = tables["events"].select(F.col("user_id").alias("userid"))
     return skew_join(events, people, [("userid", "c_custkey")], "left", right_unique=True, hot_from=users)
 
 
-def stage_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_people(with_song_names(event_log(spark, sf_dir), spark, sf_dir), spark, sf_dir)
+def stage_events(tables: Tables) -> DataFrame:
+    return with_people(with_song_names(event_log(tables), tables), tables)
 
 
-def stage_songs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stage_songs(tables: Tables) -> DataFrame:
     """A tenth of the parts as a catalogue; several rows share an artist name and title."""
     key = F.col("p_partkey").cast("string")
     return (
-        _table(spark, sf_dir, "part")
+        tables["part"]
         .filter(F.col("p_size") <= 5)
         .select(
             F.lit(1).alias("num_songs"),

@@ -33,22 +33,22 @@ class Star:
     """Frames of one driver folder, built when asked for."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+        self.tables = a.Tables(spark, sf_dir)
 
     def log(self) -> DataFrame:
-        return a.event_log(self.spark, self.sf_dir)
+        return a.event_log(self.tables)
 
     def people(self) -> DataFrame:
-        return a.with_people(self.log(), self.spark, self.sf_dir)
+        return a.with_people(self.log(), self.tables)
 
     def named(self) -> DataFrame:
-        return a.with_song_names(self.log(), self.spark, self.sf_dir)
+        return a.with_song_names(self.log(), self.tables)
 
     def events(self) -> DataFrame:
-        return a.stage_events(self.spark, self.sf_dir)
+        return a.stage_events(self.tables)
 
     def catalogue(self) -> DataFrame:
-        return a.stage_songs(self.spark, self.sf_dir)
+        return a.stage_songs(self.tables)
 
     def plays(self) -> DataFrame:
         return filters.select_play_columns(filters.plays_only(self.named(), a.PLAY), "event_id")
@@ -265,25 +265,25 @@ def count_tables(spark, sf_dir):
 @registered
 def count_fact_time(spark, sf_dir):
     s = Star(spark, sf_dir)
-    return star.joined_count(s.fact(), s.time(), "start_time")
+    return star.referential_count(s.fact(), s.time(), "start_time")
 
 
 @registered
 def count_fact_users(spark, sf_dir):
     s = Star(spark, sf_dir)
-    return star.joined_count(s.fact(), s.users(), "user_id")
+    return star.referential_count(s.fact(), s.users(), "user_id")
 
 
 @registered
 def count_fact_songs(spark, sf_dir):
     s = Star(spark, sf_dir)
-    return star.joined_count(s.fact(), s.songs(), "song_id")
+    return star.referential_count(s.fact(), s.songs(), "song_id")
 
 
 @registered
 def count_fact_artists(spark, sf_dir):
     s = Star(spark, sf_dir)
-    return star.joined_count(s.fact(), s.artists(), "artist_id")
+    return star.referential_count(s.fact(), s.artists(), "artist_id")
 
 
 @registered
@@ -320,7 +320,7 @@ def songs_artists(spark, sf_dir):
 @registered
 def songs_artists_count(spark, sf_dir):
     s = Star(spark, sf_dir)
-    return star.joined_count(s.songs(), s.artists(), "artist_id")
+    return star.referential_count(s.songs(), s.artists(), "artist_id")
 
 
 @registered

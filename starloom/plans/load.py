@@ -128,9 +128,11 @@ def load_fact(
 
     last = fact.agg(F.max("songplay_id").alias("id")).first().id
     work = work_folder(spark)
-    keyed = assign_ids(rows, FACT_ORDER, start=0 if last is None else last + 1, n_partitions=n_partitions, work_path=work)
-    append(keyed, database, "songplays")
-    discard(spark, work)
+    start = 0 if last is None else last + 1
+    try:
+        append(assign_ids(rows, FACT_ORDER, start=start, n_partitions=n_partitions, work_path=work), database, "songplays")
+    finally:
+        discard(spark, work)
 
 
 def run_load(

@@ -266,11 +266,11 @@ def test_completeness(spark):
     assert rows(quality.completeness(fact, dims)) == [("dup", 4, 7, False), ("k", 4, 2, False), ("s", 4, 4, True)]
 
 
-def test_joined_count_equals_counting_the_join(spark):
+def test_referential_count_equals_counting_the_join(spark):
     fact = spark.createDataFrame([(1,), (1,), (2,), (None,)], "k int")
     dim = spark.createDataFrame([(1,), (1,), (3,), (None,)], "k int")
-    assert star.joined_count(fact, dim, "k").first().n == fact.join(dim, "k").count() == 4
-    assert star.joined_count(fact.limit(0), dim, "k").first().n == 0
+    assert star.referential_count(fact, dim, "k").first().n == fact.join(dim, "k").count() == 4
+    assert star.referential_count(fact.limit(0), dim, "k").first().n == 0
 
 
 @pytest.mark.parametrize("limit", ["10485760b", "-1"])
