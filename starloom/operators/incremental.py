@@ -25,8 +25,7 @@ def null_key_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def within_range_of(target: DataFrame, source: DataFrame, column: str) -> DataFrame:
     """Target rows whose ``column`` lies between the source's least and greatest value.
 
-    No other target row can have a key of the source. The two bounds are scalar subqueries that reach the target's
-    scan as filters, so a batch of one day reads that day's part of a sorted table instead of the whole history.
+    No other target row can have a key of the source, so the rest of the target is dropped before it is shuffled.
     """
     low = source.agg(F.min(column)).scalar()
     high = source.agg(F.max(column)).scalar()

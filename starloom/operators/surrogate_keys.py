@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +17,7 @@ def assign_ids(
     df: DataFrame,
     order_by: Sequence[str],
     id_column: str = "songplay_id",
-    start: int = 0,
+    start: int | Callable[[int], int] = 0,
     n_partitions: int | None = None,
     work_path: str | None = None,
 ) -> DataFrame:
@@ -25,7 +25,8 @@ def assign_ids(
 
     Pass one sorts rows into ranges and writes them with their place (range, row in range) to the shared work folder,
     so the places are settled before anything depends on them. Pass two counts rows per range and adds the total of
-    all earlier ranges. Only one number per range passes through the driver.
+    all earlier ranges. Only one number per range passes through the driver. ``start`` may be a function that takes the
+    number of rows and returns the first id.
     """
     spark = df.sparkSession
     placed = lay_out(df, order_by, n_partitions).withColumn("__place", F.monotonically_increasing_id())
@@ -33,7 +34,8 @@ def assign_ids(
     placed = placed.withColumn("__range", F.shiftright("__place", _ROW_BITS))
 
     sizes = placed.groupBy("__range").agg(F.count(F.lit(1)).alias("n")).collect()
-    offsets, total = [], start
+    total = sum(r["n"] for r in sizes)
+    offsets, total = [], start(total) if callable(start) else start
     for part in sorted(sizes, key=lambda r: r["__range"]):
         offsets.append((part["__range"], total))
         total += part["n"]

@@ -20,7 +20,7 @@ from starloom.operators.upsert import update_users
 from starloom.schemas import MAX_TEXT, PLAY_KEY, PLAY_PAGE, UNKNOWN_ARTIST, UNKNOWN_SONG, star_tables
 from starloom.session import discard, work_folder
 from starloom.sources import json_files as j
-from starloom.sources.tables import append, lay_out, load, replace
+from starloom.sources.tables import append, lay_out, load, load_between, replace, reserve_ids
 
 # Last event of a user: by time, then by position in the session.
 EVENT_ORDER = ("ts", "sessionid", "iteminsession")
@@ -120,17 +120,24 @@ def load_fact(
     spark: SparkSession, database: str, page: str = PLAY_PAGE, n_partitions: int | None = None
 ) -> None:
     """Append plays whose (start time, user, session) the fact does not have, with ids that go on from the last one."""
-    fact = load(spark, database, "songplays")
     plays = select_play_columns(plays_only(load(spark, database, "staging_events"), page))
-    known = within_range_of(fact, plays, "start_time")
+    span = plays.agg(F.min("start_time").alias("low"), F.max("start_time").alias("high")).first()
+    if span.low is None:
+        return
+    known = load_between(spark, database, "songplays", "start_time", span.low, span.high)
     new_plays = new_keys_only(plays, known, PLAY_KEY)
     rows = resolve_songs(new_plays, load(spark, database, "staging_songs"), hot_from=plays)
 
-    last = fact.agg(F.max("songplay_id").alias("id")).first().id
     work = work_folder(spark)
-    start = 0 if last is None else last + 1
     try:
-        append(assign_ids(rows, FACT_ORDER, start=start, n_partitions=n_partitions, work_path=work), database, "songplays")
+        keyed = assign_ids(
+            rows,
+            FACT_ORDER,
+            start=lambda n: reserve_ids(spark, database, "songplays", "songplay_id", n),
+            n_partitions=n_partitions,
+            work_path=work,
+        )
+        append(keyed, database, "songplays")
     finally:
         discard(spark, work)
 
@@ -157,7 +164,7 @@ def run_load(
         return count_tables(frames, tag).collect()  # seven rows
 
     if not skip_count:
-        result.before = count("Before ETL>")
+        result.before = count("before")
     if not skip_staging:
         events_schema = load(spark, database, "staging_events").schema
         songs_schema = load(spark, database, "staging_songs").schema
@@ -172,5 +179,5 @@ def run_load(
         load_dimensions(spark, database, page)
         load_fact(spark, database, page, n_partitions)
     if not skip_count:
-        result.after = count("After ETL>")
+        result.after = count("after")
     return result

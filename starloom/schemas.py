@@ -133,6 +133,9 @@ UNKNOWN_SONG = {
 }
 UNKNOWN_ARTIST = {"artist_id": UNKNOWN_ARTIST_ID, "name": UNKNOWN_ARTIST_NAME}
 
+# Storage column of tables that are divided by day; not part of their schemas.
+DAY = "start_date"
+
 # What identifies a play across loads.
 PLAY_KEY = ["start_time", "user_id", "session_id"]
 
@@ -145,6 +148,8 @@ class Table:
     sort_by: list[str] = field(default_factory=list)
     # column -> referenced table; the referenced column has the same name
     references: dict[str, str] = field(default_factory=dict)
+    # timestamp column whose day divides the stored files, if any
+    day_of: str | None = None
 
     @property
     def required(self) -> list[str]:
@@ -166,6 +171,7 @@ def star_tables(duration_scale: int = 4) -> dict[str, Table]:
             "songplay_id",
             ["start_time", "user_id", "song_id", "artist_id"],
             {"start_time": "time", "user_id": "users", "song_id": "songs", "artist_id": "artists"},
+            day_of="start_time",
         ),
     ]
     return {t.name: t for t in tables}

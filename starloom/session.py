@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,6 +21,11 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
     )
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="starloom-")
+
+
 def work_folder(spark: SparkSession) -> str:
     """A new folder name below the shared folder of ``spark.checkpoint.dir``.
 
@@ -30,8 +36,7 @@ def work_folder(spark: SparkSession) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="starloom-")
-        spark.conf.set(CHECKPOINT_SETTING, base)
+        base = _local_folder()
     return f"{base.rstrip('/')}/work-{uuid.uuid4().hex}"
 
 

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping, Sequence
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
-from starloom.schemas import MAX_TEXT, Table, star_tables
+from starloom.schemas import DAY, MAX_TEXT, Table, star_tables
 
 VERSION = "version-"  # each table folder holds one folder per version of the table
+NEXT_ID = "starloom.next_id"
 
 
 def _column_list(schema: StructType) -> str:
@@ -26,17 +28,23 @@ def _quoted(text: str) -> str:
     return text.replace("'", "\\'")
 
 
+def _create(spark: SparkSession, database: str, table: Table, table_folder: str) -> None:
+    columns, partitioned = _column_list(table.schema), ""
+    if table.day_of:
+        columns, partitioned = f"{columns}, {DAY} DATE", f"PARTITIONED BY ({DAY})"
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS `{database}`.`{table.name}` ({columns}) USING parquet {partitioned} "
+        f"LOCATION '{_quoted(f'{table_folder}/{VERSION}{uuid.uuid4().hex}')}'"
+    )
+
+
 def create_tables(
     spark: SparkSession, database: str, root: str, tables: Mapping[str, Table] | None = None
 ) -> None:
     """Create what is missing, referenced tables first. Each table starts in an empty folder of its own under ``root``."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     for table in (tables or star_tables()).values():
-        location = _quoted(f"{root.rstrip('/')}/{table.name}/{VERSION}{uuid.uuid4().hex}")
-        spark.sql(
-            f"CREATE TABLE IF NOT EXISTS `{database}`.`{table.name}` ({_column_list(table.schema)}) "
-            f"USING parquet LOCATION '{location}'"
-        )
+        _create(spark, database, table, f"{root.rstrip('/')}/{table.name}")
 
 
 def drop_tables(spark: SparkSession, database: str, tables: Mapping[str, Table] | None = None) -> None:
@@ -46,7 +54,18 @@ def drop_tables(spark: SparkSession, database: str, tables: Mapping[str, Table]
 
 
 def load(spark: SparkSession, database: str, name: str) -> DataFrame:
-    return spark.table(f"`{database}`.`{name}`")
+    """The rows of a table, in the columns of its schema."""
+    return spark.table(f"`{database}`.`{name}`").drop(DAY)
+
+
+def load_between(
+    spark: SparkSession, database: str, name: str, column: str, low: datetime, high: datetime
+) -> DataFrame:
+    """Rows of a table divided by the day of ``column``, from ``low`` to ``high``; only those days are listed and read."""
+    stored = spark.table(f"`{database}`.`{name}`")
+    days = F.col(DAY).between(F.lit(low.date()), F.lit(high.date()))
+    low_ts, high_ts = (F.lit(str(t)).cast("timestamp_ntz") for t in (low, high))
+    return stored.filter(days & F.col(column).between(low_ts, high_ts)).drop(DAY)
 
 
 def lay_out(df: DataFrame, sort_by: Sequence[str], n_partitions: int | None = None) -> DataFrame:
@@ -68,10 +87,16 @@ def write_table(df: DataFrame, path: str, sort_by: Sequence[str], n_partitions:
 
 
 def append(df: DataFrame, database: str, name: str) -> None:
-    """Add rows; columns are matched by name. Text beyond the declared length fails the write."""
-    spark = df.sparkSession
-    columns = load(spark, database, name).columns
-    df.select(*columns).write.insertInto(f"`{database}`.`{name}`", overwrite=False)
+    """Add rows; columns are matched by name. Text beyond the declared length fails the write.
+
+    Rows of a table divided by day are sorted by day and sort key inside each task: one open file at a time, in order.
+    """
+    full_name = f"`{database}`.`{name}`"
+    table = star_tables()[name]
+    rows = df
+    if table.day_of:
+        rows = df.withColumn(DAY, F.to_date(table.day_of)).sortWithinPartitions(DAY, *table.sort_by)
+    rows.select(*df.sparkSession.table(full_name).columns).write.insertInto(full_name, overwrite=False)
 
 
 def _folder(spark: SparkSession, database: str, name: str) -> str:
@@ -114,6 +139,8 @@ def replace(
     ``check_text=False`` is for rows whose text lengths have been checked already.
     """
     spark = df.sparkSession
+    if star_tables()[name].day_of:
+        raise ValueError(f"{name} is divided by day and only grows; it cannot be replaced")
     full_name = f"`{database}`.`{name}`"
     old = _folder(spark, database, name)
     table_folder, old_version = old.rsplit("/", 1)
@@ -129,4 +156,27 @@ def replace(
 
 def clear(spark: SparkSession, database: str, name: str) -> None:
     """Empty a table."""
-    replace(load(spark, database, name).limit(0), database, name)
+    table = star_tables()[name]
+    if table.day_of is None:
+        replace(load(spark, database, name).limit(0), database, name)
+        return
+    table_folder = _folder(spark, database, name).rsplit("/", 1)[0]
+    spark.sql(f"DROP TABLE `{database}`.`{name}`")
+    _create(spark, database, table, table_folder)
+
+
+def reserve_ids(spark: SparkSession, database: str, name: str, id_column: str, n: int) -> int:
+    """First of ``n`` ids that no row has and no later call gets.
+
+    The next free id is kept with the table and is moved on before any row is written: a load that fails afterwards
+    leaves a gap, never a duplicate. A table without the entry is asked for its greatest id once.
+    """
+    full_name = f"`{database}`.`{name}`"
+    kept = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {full_name}").collect()}
+    if NEXT_ID in kept:
+        first = int(kept[NEXT_ID])
+    else:
+        last = load(spark, database, name).agg(F.max(id_column).alias("id")).first().id
+        first = 0 if last is None else last + 1
+    spark.sql(f"ALTER TABLE {full_name} SET TBLPROPERTIES ('{NEXT_ID}' = '{first + n}')")
+    return first
