@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,48 +36,61 @@ class Star:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.tables = a.Tables(spark, sf_dir)
 
+    @cached_property
     def log(self) -> DataFrame:
         return a.event_log(self.tables)
 
+    @cached_property
     def people(self) -> DataFrame:
-        return a.with_people(self.log(), self.tables)
+        return a.with_people(self.log, self.tables)
 
+    @cached_property
     def named(self) -> DataFrame:
-        return a.with_song_names(self.log(), self.tables)
+        return a.with_song_names(self.log, self.tables)
 
+    @cached_property
     def events(self) -> DataFrame:
         return a.stage_events(self.tables)
 
+    @cached_property
     def catalogue(self) -> DataFrame:
         return a.stage_songs(self.tables)
 
+    @cached_property
     def plays(self) -> DataFrame:
-        return filters.select_play_columns(filters.plays_only(self.named(), a.PLAY), "event_id")
+        return filters.select_play_columns(filters.plays_only(self.named, a.PLAY), "event_id")
 
+    @cached_property
     def fact(self) -> DataFrame:
-        return facts.resolve_songs(self.plays(), self.catalogue(), ["event_id"])
+        return facts.resolve_songs(self.plays, self.catalogue, ["event_id"])
 
+    @cached_property
     def users(self) -> DataFrame:
-        return d.users_from(self.people(), a.PLAY)
+        return d.users_from(self.people, a.PLAY)
 
+    @cached_property
     def current_users(self) -> DataFrame:
-        return update_users(self.users(), self.people(), EVENT_ORDER)
+        return update_users(self.users, self.people, EVENT_ORDER)
 
+    @cached_property
     def songs(self) -> DataFrame:
-        return incremental.ensure_member(d.songs_from(self.catalogue()), UNKNOWN_SONG, "song_id")
+        return incremental.ensure_member(d.songs_from(self.catalogue), UNKNOWN_SONG, "song_id")
 
+    @cached_property
     def artists(self) -> DataFrame:
-        return incremental.ensure_member(d.artists_from(self.catalogue()), UNKNOWN_ARTIST, "artist_id")
+        return incremental.ensure_member(d.artists_from(self.catalogue), UNKNOWN_ARTIST, "artist_id")
 
+    @cached_property
     def time(self) -> DataFrame:
-        return d.time_from(self.log(), a.PLAY)
+        return d.time_from(self.log, a.PLAY)
 
+    @cached_property
     def dims(self) -> dict[str, tuple[DataFrame, str]]:
         return {
-            "time": (self.time(), "start_time"),
-            "users": (self.users(), "user_id"),
-            "songs": (self.songs(), "song_id"),
-            "artists": (self.artists(), "artist_id"),
+            "time": (self.time, "start_time"),
+            "users": (self.users, "user_id"),
+            "songs": (self.songs, "song_id"),
+            "artists": (self.artists, "artist_id"),
         }
 
 
@@ -89,33 +103,33 @@ def _before(events: DataFrame, instant: str) -> DataFrame:
 
 @registered
 def stage_events(spark, sf_dir):
-    return Star(spark, sf_dir).events()
+    return Star(spark, sf_dir).events
 
 
 @registered
 def stage_songs(spark, sf_dir):
-    return Star(spark, sf_dir).catalogue()
+    return Star(spark, sf_dir).catalogue
 
 
 @registered
 def plays_only(spark, sf_dir):
-    return filters.plays_only(Star(spark, sf_dir).events(), a.PLAY)
+    return filters.plays_only(Star(spark, sf_dir).events, a.PLAY)
 
 
 @registered
 def in_list(spark, sf_dir):
-    return filters.value_in(Star(spark, sf_dir).events(), "page", ["view", "click"])
+    return filters.value_in(Star(spark, sf_dir).events, "page", ["view", "click"])
 
 
 @registered
 def case_decode(spark, sf_dir):
     code = decode(F.col("page"), PAGE_CODES).alias("code")
-    return star.rows_per_key(Star(spark, sf_dir).log().select("page", code), ["page", "code"])
+    return star.rows_per_key(Star(spark, sf_dir).log.select("page", code), ["page", "code"])
 
 
 @registered
 def epoch_to_timestamp(spark, sf_dir):
-    return d.start_times(Star(spark, sf_dir).log())
+    return d.start_times(Star(spark, sf_dir).log)
 
 
 @registered
@@ -128,54 +142,54 @@ def source_inventory(spark, sf_dir):
 
 @registered
 def users_dim(spark, sf_dir):
-    return Star(spark, sf_dir).users()
+    return Star(spark, sf_dir).users
 
 
 @registered
 def songs_dim(spark, sf_dir):
-    return Star(spark, sf_dir).songs()
+    return Star(spark, sf_dir).songs
 
 
 @registered
 def artists_dim(spark, sf_dir):
-    return Star(spark, sf_dir).artists()
+    return Star(spark, sf_dir).artists
 
 
 @registered
 def time_dim(spark, sf_dir):
-    return Star(spark, sf_dir).time()
+    return Star(spark, sf_dir).time
 
 
 @registered
 def ensure_member_idempotent(spark, sf_dir):
-    once = Star(spark, sf_dir).songs()
+    once = Star(spark, sf_dir).songs
     return incremental.ensure_member(once, UNKNOWN_SONG, "song_id")
 
 
 @registered
 def users_incremental(spark, sf_dir):
     s = Star(spark, sf_dir)
-    loaded = d.users_from(_before(s.people(), a.LOADED_USERS_BEFORE), a.PLAY)
-    return incremental.absent_members(loaded, s.users(), "user_id")
+    loaded = d.users_from(_before(s.people, a.LOADED_USERS_BEFORE), a.PLAY)
+    return incremental.absent_members(loaded, s.users, "user_id")
 
 
 @registered
 def songs_incremental(spark, sf_dir):
-    catalogue = Star(spark, sf_dir).catalogue()
+    catalogue = Star(spark, sf_dir).catalogue
     loaded = d.songs_from(catalogue.filter(F.col("year") <= a.LOADED_SONGS_UNTIL))
     return incremental.absent_members(loaded, d.songs_from(catalogue), "song_id")
 
 
 @registered
 def artists_incremental(spark, sf_dir):
-    catalogue = Star(spark, sf_dir).catalogue()
+    catalogue = Star(spark, sf_dir).catalogue
     loaded = d.artists_from(catalogue.filter(F.col("year") <= a.LOADED_SONGS_UNTIL))
     return incremental.absent_members(loaded, d.artists_from(catalogue), "artist_id")
 
 
 @registered
 def time_incremental(spark, sf_dir):
-    log = Star(spark, sf_dir).log()
+    log = Star(spark, sf_dir).log
     loaded = d.time_from(_before(log, a.LOADED_PLAYS_BEFORE), a.PLAY)
     times = d.start_times(filters.plays_only(log, a.PLAY))
     return d.with_calendar(incremental.new_keys_only(times, loaded, ["start_time"], source_unique=True))
@@ -183,14 +197,14 @@ def time_incremental(spark, sf_dir):
 
 @registered
 def users_upsert(spark, sf_dir):
-    return Star(spark, sf_dir).current_users()
+    return Star(spark, sf_dir).current_users
 
 
 @registered
 def users_changed(spark, sf_dir):
     s = Star(spark, sf_dir)
     columns = [c for c in USERS.names if c != "user_id"]
-    return changed_members(s.users(), s.current_users(), "user_id", columns)
+    return changed_members(s.users, s.current_users, "user_id", columns)
 
 
 # --- fact ----------------------------------------------------------------------------------------------------------
@@ -198,53 +212,53 @@ def users_changed(spark, sf_dir):
 
 @registered
 def songplays_full(spark, sf_dir):
-    return Star(spark, sf_dir).fact()
+    return Star(spark, sf_dir).fact
 
 
 @registered
 def songplays_incremental(spark, sf_dir):
     s = Star(spark, sf_dir)
-    plays = s.plays()
+    plays = s.plays
     loaded = plays.filter(F.col("start_time") < F.expr(f"timestamp_ntz'{a.LOADED_PLAYS_BEFORE}'"))
     new_plays = incremental.new_keys_only(plays, loaded, PLAY_KEY)
-    return facts.resolve_songs(new_plays, s.catalogue(), ["event_id"], hot_from=plays)
+    return facts.resolve_songs(new_plays, s.catalogue, ["event_id"], hot_from=plays)
 
 
 @registered
 def songplays_fallback(spark, sf_dir):
     s = Star(spark, sf_dir)
-    return facts.resolve_with_source_text(s.plays(), s.catalogue(), ["event_id"])
+    return facts.resolve_with_source_text(s.plays, s.catalogue, ["event_id"])
 
 
 @registered
 def songplays_keyed(spark, sf_dir):
-    return assign_ids(Star(spark, sf_dir).fact(), ["event_id", "song_id"])
+    return assign_ids(Star(spark, sf_dir).fact, ["event_id", "song_id"])
 
 
 @registered
 def loose_preview(spark, sf_dir):
     s = Star(spark, sf_dir)
-    return facts.resolve_loose(s.plays(), s.artists(), s.songs(), ["event_id"])
+    return facts.resolve_loose(s.plays, s.artists, s.songs, ["event_id"])
 
 
 @registered
 def like_song(spark, sf_dir):
-    return filters.with_prefix(Star(spark, sf_dir).fact(), "song_id", "SO")
+    return filters.with_prefix(Star(spark, sf_dir).fact, "song_id", "SO")
 
 
 @registered
 def like_artist(spark, sf_dir):
-    return filters.with_prefix(Star(spark, sf_dir).fact(), "artist_id", "AR")
+    return filters.with_prefix(Star(spark, sf_dir).fact, "artist_id", "AR")
 
 
 @registered
 def not_like_song(spark, sf_dir):
-    return filters.without_prefix(Star(spark, sf_dir).fact(), "song_id", "SO")
+    return filters.without_prefix(Star(spark, sf_dir).fact, "song_id", "SO")
 
 
 @registered
 def preview_songplays(spark, sf_dir):
-    return filters.preview(Star(spark, sf_dir).fact(), 10, ["event_id", "song_id"])
+    return filters.preview(Star(spark, sf_dir).fact, 10, ["event_id", "song_id"])
 
 
 # --- reports -------------------------------------------------------------------------------------------------------
@@ -254,10 +268,10 @@ def preview_songplays(spark, sf_dir):
 def count_tables(spark, sf_dir):
     s = Star(spark, sf_dir)
     frames = {
-        "staging_events": s.events(),
-        "staging_songs": s.catalogue(),
-        "songplays": s.fact(),
-        **{name: dim for name, (dim, _) in s.dims().items()},
+        "staging_events": s.events,
+        "staging_songs": s.catalogue,
+        "songplays": s.fact,
+        **{name: dim for name, (dim, _) in s.dims.items()},
     }
     return star.count_tables(frames)
 
@@ -265,67 +279,67 @@ def count_tables(spark, sf_dir):
 @registered
 def count_fact_time(spark, sf_dir):
     s = Star(spark, sf_dir)
-    return star.referential_count(s.fact(), s.time(), "start_time")
+    return star.referential_count(s.fact, s.time, "start_time")
 
 
 @registered
 def count_fact_users(spark, sf_dir):
     s = Star(spark, sf_dir)
-    return star.referential_count(s.fact(), s.users(), "user_id")
+    return star.referential_count(s.fact, s.users, "user_id")
 
 
 @registered
 def count_fact_songs(spark, sf_dir):
     s = Star(spark, sf_dir)
-    return star.referential_count(s.fact(), s.songs(), "song_id")
+    return star.referential_count(s.fact, s.songs, "song_id")
 
 
 @registered
 def count_fact_artists(spark, sf_dir):
     s = Star(spark, sf_dir)
-    return star.referential_count(s.fact(), s.artists(), "artist_id")
+    return star.referential_count(s.fact, s.artists, "artist_id")
 
 
 @registered
 def plays_by_week(spark, sf_dir):
     s = Star(spark, sf_dir)
-    return star.plays_by(s.fact(), {"start_time": s.time()}, ["year", "month", "week"])
+    return star.plays_by(s.fact, {"start_time": s.time}, ["year", "month", "week"])
 
 
 @registered
 def plays_by_week_level(spark, sf_dir):
     s = Star(spark, sf_dir)
-    dims = {"start_time": s.time(), "user_id": s.current_users()}
-    return star.plays_by(s.fact(), dims, ["year", "month", "week", "level"])
+    dims = {"start_time": s.time, "user_id": s.current_users}
+    return star.plays_by(s.fact, dims, ["year", "month", "week", "level"])
 
 
 @registered
 def plays_by_week_gender(spark, sf_dir):
     s = Star(spark, sf_dir)
-    dims = {"start_time": s.time(), "user_id": s.current_users()}
-    return star.plays_by(s.fact(), dims, ["year", "month", "week", "gender"])
+    dims = {"start_time": s.time, "user_id": s.current_users}
+    return star.plays_by(s.fact, dims, ["year", "month", "week", "gender"])
 
 
 @registered
 def known_unknown(spark, sf_dir):
-    return star.match_rate(Star(spark, sf_dir).fact())
+    return star.match_rate(Star(spark, sf_dir).fact)
 
 
 @registered
 def songs_artists(spark, sf_dir):
     s = Star(spark, sf_dir)
-    return star.songs_with_artists(s.songs(), s.artists())
+    return star.songs_with_artists(s.songs, s.artists)
 
 
 @registered
 def songs_artists_count(spark, sf_dir):
     s = Star(spark, sf_dir)
-    return star.referential_count(s.songs(), s.artists(), "artist_id")
+    return star.referential_count(s.songs, s.artists, "artist_id")
 
 
 @registered
 def topk_songs(spark, sf_dir):
-    return star.top_k(Star(spark, sf_dir).songs(), ["song_id"], 5)
+    return star.top_k(Star(spark, sf_dir).songs, ["song_id"], 5)
 
 
 # --- checks --------------------------------------------------------------------------------------------------------
@@ -333,28 +347,28 @@ def topk_songs(spark, sf_dir):
 
 @registered
 def dq_nulls(spark, sf_dir):
-    events = Star(spark, sf_dir).events()
+    events = Star(spark, sf_dir).events
     return quality.null_violations(events, events.columns)
 
 
 @registered
 def dq_duplicates(spark, sf_dir):
-    return quality.duplicate_keys(Star(spark, sf_dir).catalogue(), ["artist_name", "title"])
+    return quality.duplicate_keys(Star(spark, sf_dir).catalogue, ["artist_name", "title"])
 
 
 @registered
 def dq_orphans(spark, sf_dir):
     s = Star(spark, sf_dir)
-    return quality.orphans(s.plays(), s.catalogue(), {"artist": "artist_name", "song": "title"})
+    return quality.orphans(s.plays, s.catalogue, {"artist": "artist_name", "song": "title"})
 
 
 @registered
 def completeness(spark, sf_dir):
     s = Star(spark, sf_dir)
-    return quality.completeness(s.fact(), s.dims())
+    return quality.completeness(s.fact, s.dims)
 
 
 @registered
 def layout_report(spark, sf_dir):
     s = Star(spark, sf_dir)
-    return layout.layout_report({"staging_events": s.events(), "staging_songs": s.catalogue(), "songplays": s.fact()})
+    return layout.layout_report({"staging_events": s.events, "staging_songs": s.catalogue, "songplays": s.fact})

@@ -1,3 +1,5 @@
+import tempfile
+
 import pytest
 
 from starloom.session import discard, materialize, work_folder
@@ -33,7 +35,7 @@ def test_work_folder_follows_the_setting():
 def test_no_machine_local_folder_on_a_cluster():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         work_folder(FakeSession(None, "spark://host:7077"))
-    assert work_folder(FakeSession(None, "local[2]")).startswith("/tmp/")
+    assert work_folder(FakeSession(None, "local[2]")).startswith(tempfile.gettempdir())
 
 
 def test_materialized_rows_are_read_back_and_discarded(spark, tmp_path):
