@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import near_dup, token_counts, token_files
+from starloom.llm import decontaminate, line_rules, near_dup, token_counts, token_files
 from starloom.session import work_folder
 
 
@@ -40,4 +40,25 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_documents(spark, folder)
 
 
-QUERIES = {q.__name__: q for q in (op3_token_counts, op4_near_duplicates, op10_token_files)}
+def op6_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_rules.verdicts(_table(spark, sf_dir, "documents"))
+    columns = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return found.select("doc_id", *columns)
+
+
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    digest = F.sha2(F.array_join("item_ids", ",").cast("binary"), 256)
+    return found.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
+
+
+QUERIES = {
+    q.__name__: q
+    for q in (
+        op2_decontaminate,
+        op3_token_counts,
+        op4_near_duplicates,
+        op6_line_rules,
+        op10_token_files,
+    )
+}
