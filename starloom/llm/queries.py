@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import decontaminate, line_rules, near_dup, token_counts, token_files
+from starloom.llm import decontaminate, licences, line_rules, near_dup, token_counts, token_files
 from starloom.session import work_folder
 
 
@@ -52,6 +52,21 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
 
 
+def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licences.scan(_table(spark, sf_dir, "documents"))
+    at = F.col("base.at")
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("base").cast("bigint").alias("n_base"),
+        F.array_min(at).cast("bigint").alias("first_word"),
+        F.array_max(at).cast("bigint").alias("last_word"),
+        F.array_join(F.array_sort(F.array_distinct("base.label")), ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+    )
+
+
 QUERIES = {
     q.__name__: q
     for q in (
@@ -59,6 +74,7 @@ QUERIES = {
         op3_token_counts,
         op4_near_duplicates,
         op6_line_rules,
+        op8_licences,
         op10_token_files,
     )
 }
