@@ -2,8 +2,7 @@
 
 Text is cut into words (a run of spaces and what follows it); no piece reaches over such a cut. Distinct words of a
 slice are segmented together: substring hashes of all positions and lengths probe the sorted keys of the pieces, words
-of equal length advance together position by position, and the maximum over the lengths of the last piece stores the
-backpointer.
+of equal length advance together position by position, and the maximum over the last pieces stores the backpointer.
 
 The model file is a BPE model, so the path wanted is not the one of greatest summed score but the one that merging
 gives. That is a property of neighbours: a segmentation is what merging gives exactly if each of its pieces and each
@@ -33,6 +32,7 @@ from starloom.llm.text import PieceCache, distinct, expand, flat, hashes, mix, s
 
 SPACE = "▁"
 _BASE = np.uint64(0x9E3779B97F4A7C55)
+_LONG = 200  # characters; longer words are merged one by one
 _UNKNOWN = -2  # in paths: a character without a piece
 
 
@@ -75,9 +75,11 @@ class Model:
             self.length[i] = len(text)
             h, p = 0, 1
             for c in text:
-                h, p = (h * int(_BASE) + ord(c)) % 2**64, p * int(_BASE) % 2**64
+                h, p = (h * int(_BASE) + ord(c) + 1) % 2**64, p * int(_BASE) % 2**64
             self.key[i], self.power[i] = h, p
         self.longest = int(self.length.max())
+        self.barrier = np.zeros(256, bool)  # ASCII characters that no piece holds
+        self.barrier[sorted(set(range(128)) - {ord(c) for text in pieces for c in text} - {0x20})] = True
         self.all_keys = self._sorted(np.array(list(pieces.values())))
         self.keys = self._sorted(np.array(usable))
         self.seen = np.full(1 << 20, -1, np.int64), np.zeros(1 << 20, bool)
@@ -118,7 +120,7 @@ class Model:
 
     def apart(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether merging keeps piece ``a`` before piece ``b`` apart; pairs seen lately are remembered."""
-        pair = a * np.int64(1 << 24) + b
+        pair = (a.astype(np.int64) << 24) + b
         slot = (mix(pair.view(np.uint64)) >> np.uint64(44)).astype(np.int64)
         known, answer = self.seen
         out = answer[slot]
@@ -164,66 +166,67 @@ class Model:
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         start = np.cumsum(sizes) - sizes
         room = np.repeat(start + sizes, sizes) - np.arange(len(points))  # characters of the word from here on
-        found = np.full((len(points), self.longest), -1, np.int32)  # piece by position and length - 1
-        h = np.zeros(len(points), np.uint64)
-        at = np.arange(len(points))
+        h, at = np.zeros(len(points), np.uint64), np.arange(len(points))
+        first, edges = np.zeros(0, np.int64), []
         for n in range(1, self.longest + 1):
             at = at[room[at] >= n]
-            h[at] = h[at] * _BASE + points[at + n - 1]
-            found[at, n - 1] = self.find(h[at], self.keys)
-        found[found[:, 0] < 0, 0] = _UNKNOWN
-        ids = [b""] * len(words)
-        order = np.argsort(sizes, kind="stable")
-        edges = np.flatnonzero(np.diff(sizes[order], prepend=-1, append=-1))
-        for a, b in zip(edges[:-1], edges[1:], strict=True):
-            group = order[a:b]
-            size = int(sizes[group[0]])
-            if size * 4 > len(group) * 64 and size > 64:
-                for w in group:
-                    ids[w] = self._one(found[start[w] : start[w] + size], points[start[w] : start[w] + size])
-            else:
-                self._together(found, points, start[group], size, group, ids)
+            h[at] = h[at] * _BASE + (points[at + n - 1] + np.uint64(1))
+            piece = self.find(h[at], self.keys)
+            if n == 1:
+                first = piece = np.where(piece < 0, _UNKNOWN, piece)
+            hit = piece != -1
+            edges.append((at[hit].astype(np.int32), np.full(hit.sum(), n, np.int16), piece[hit].astype(np.int32)))
+        long = np.flatnonzero(sizes > _LONG)
+        ids = self._together(points, start, sizes, *(np.concatenate(v) for v in zip(*edges, strict=True)))
+        for w in long.tolist():
+            ids[w] = self._one(first[start[w] : start[w] + sizes[w]], points[start[w] : start[w] + sizes[w]])
         return ids
 
-    def _together(self, found, points, start, size, group, ids) -> None:
-        """Viterbi over words of one length. State: the last piece of the prefix; score: whether it can be reached."""
-        n = len(group)
-        last = np.full((n, size + 1), -1, np.int64)
-        back = np.zeros((n, size + 1), np.int8)
-        for e in range(1, size + 1):
-            lengths = np.arange(1, min(self.longest, e) + 1)
-            piece = found[start[:, None] + e - lengths, lengths - 1].astype(np.int64)
-            before = last[:, e - lengths]
-            opens = (e - lengths == 0)[None, :]
-            score = (piece != -1) & (opens | (before != -1))
-            test = score & ~opens & (piece >= 0) & (before >= 0)
-            w, k = np.nonzero(test)
-            score[w, k] = self.apart(before[w, k], piece[w, k])
-            best = score.argmax(1)
-            reached = score[np.arange(n), best]
-            last[:, e] = np.where(reached, piece[np.arange(n), best], -1)
-            back[:, e] = best + 1
-        rows, ends, out = np.arange(n), np.full(n, size), []
-        while len(rows):
-            out.append((rows, ends, last[rows, ends]))
-            ends = ends - back[rows, ends]
-            rows, ends = rows[ends > 0], ends[ends > 0]
+    def _together(self, points, start, sizes, at, n, piece) -> list[bytes]:
+        """Viterbi over the words that are not long, those of one length together.
+
+        State: the last piece of the prefix that ends at a character. Score: nothing if merging gives that path, else
+        minus infinity; as one path at most is possible for a prefix, the maximum is the transition that is allowed.
+        """
+        to = at + n - 1
+        place = (np.arange(len(points)) - np.repeat(start, sizes)).astype(np.int32)
+        step = np.repeat(np.where(sizes <= _LONG, sizes * (_LONG + 1), 0), sizes).astype(np.uint16)
+        step = np.where(step > 0, step + place.astype(np.uint16), 0).astype(np.uint16)[to]
+        order = np.argsort(step, kind="stable")[np.count_nonzero(step == 0) :]
+        at, to, n, piece, step = at[order], to[order], n[order], piece[order], step[order]
+        opens = place[at] == 0
+        last = np.full(len(points), -1, np.int32)
+        back = np.zeros(len(points), np.int16)
+        cuts = np.flatnonzero(np.diff(step.astype(np.int32), prepend=-1, append=-1))
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            own, first, before = piece[a:b], opens[a:b], last[at[a:b] - 1]
+            allowed = first | (before != -1)
+            test = np.flatnonzero(allowed & ~first & (own >= 0) & (before >= 0))
+            allowed[test] = self.apart(before[test], own[test])
+            reached = to[a:b][allowed]
+            last[reached], back[reached] = own[allowed], n[a:b][allowed]
+        row = np.flatnonzero((sizes > 0) & (sizes <= _LONG))
+        end, out = start[row] + sizes[row] - 1, []
+        while len(row):
+            out.append((row, end, last[end]))
+            end = end - back[end]
+            more = end >= start[row]
+            row, end = row[more], end[more]
         if not out:
-            return
+            return [b""] * len(start)
         row, end, piece = (np.concatenate(v) for v in zip(*out, strict=True))
-        order = np.lexsort((end, row))
+        order = np.argsort(end, kind="stable")
         row, end, piece = row[order], end[order], piece[order]
         if (piece == _UNKNOWN).any():
-            parts = [self._bytes(points[start[r] + e - 1]) if p == _UNKNOWN else [p] for r, e, p in zip(row, end, piece, strict=True)]
+            parts = [self._bytes(points[e]) if p == _UNKNOWN else [p] for e, p in zip(end.tolist(), piece.tolist(), strict=True)]
             row = np.repeat(row, [len(p) for p in parts])
             piece = np.concatenate(parts)
-        data, edge = piece.astype("<u4").tobytes(), np.searchsorted(row, np.arange(n + 1)) * 4
-        for i, g in enumerate(group):
-            ids[g] = data[edge[i] : edge[i + 1]]
+        data, edge = piece.astype("<u4").tobytes(), (np.searchsorted(row, np.arange(len(start) + 1)) * 4).tolist()
+        return [data[x:y] for x, y in zip(edge[:-1], edge[1:], strict=True)]
 
-    def _one(self, found: np.ndarray, points: np.ndarray) -> bytes:
+    def _one(self, first: np.ndarray, points: np.ndarray) -> bytes:
         """The same for a single long word, by merging with a queue: positions in turn would be all overhead."""
-        symbols = found[:, 0].astype(np.int64).tolist()
+        symbols = first.tolist()
         n = len(symbols)
         after, before, alive = [*range(1, n), -1], list(range(-1, n - 1)), [True] * n
         key, power, rank = self.key, self.power, self.rank
@@ -263,12 +266,18 @@ def model(path: str) -> tuple[Model, PieceCache]:
     return Model(path), PieceCache()
 
 
-def _words(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of words, each with its leading spaces, and the first word of each text (n + 1)."""
+def _words(buf: np.ndarray, offsets: np.ndarray, barrier: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of words, each with its leading spaces, and the first word of each text (n + 1).
+
+    A character that no piece holds is a word of its own.
+    """
     n = len(buf)
     space = buf == 0x20
     cut = space.copy()
     cut[1:] &= ~space[:-1]
+    alone = barrier[buf]
+    cut |= alone
+    cut[1:] |= alone[:-1]
     cut[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
     starts = np.flatnonzero(cut)
     return starts, np.append(starts[1:], n)[: len(starts)], np.searchsorted(starts, offsets)
@@ -282,7 +291,7 @@ def encode_texts(path: str, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         buf, offsets = flat(pa.array([(t or "").replace(SPACE, " ") for t in column.to_pylist()]))
     if not len(buf):
         return np.zeros(0, np.uint32), offsets
-    starts, ends, first = _words(buf, offsets)
+    starts, ends, first = _words(buf, offsets, spm.barrier)
     key = hashes(buf, starts, ends)
     opening = np.zeros(len(starts), bool)
     opening[first[:-1][first[:-1] < first[1:]]] = True

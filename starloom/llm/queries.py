@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import decontaminate, licences, line_rules, near_dup, token_counts, token_files
+from starloom.llm import decontaminate, licences, line_rules, near_dup, piece_viterbi, quality_svm, token_counts, token_files
 from starloom.session import work_folder
 
 
@@ -67,14 +67,40 @@ def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = piece_viterbi.decode(piece_viterbi.encode(docs, path), path)
+    plain = F.replace(F.coalesce("text", F.lit("")), F.lit(piece_viterbi.SPACE), F.lit(" "))
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_pieces"),
+        F.crc32(F.array_join("ids", ",").cast("binary")).alias("ids_crc32"),
+        (F.col("decoded") == plain).alias("round_trip"),
+    )
+
+
+def _remainder(divisor: int):
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(divisor))
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    scores = quality_svm.score_quality(docs, labels, _remainder(5) != 0)
+    held_out = F.coalesce(_remainder(5) == 0, F.lit(False))
+    return scores.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 QUERIES = {
     q.__name__: q
     for q in (
         op2_decontaminate,
         op3_token_counts,
         op4_near_duplicates,
+        op5_quality,
         op6_line_rules,
         op8_licences,
+        op9_pieces,
         op10_token_files,
     )
 }
