@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import decontaminate, licences, line_rules, near_dup, piece_viterbi, quality_svm, token_counts, token_files
+from starloom.llm import decontaminate, licences, line_rules, near_dup, piece_viterbi, pii_crf, quality_svm, token_counts, token_files
 from starloom.session import work_folder
 
 
@@ -91,6 +91,24 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii_crf.find_spans(_table(spark, sf_dir, "documents"))
+    names = F.array(*map(F.lit, pii_crf.KINDS))
+
+    def text_of(spans):
+        ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["kind"], s["start"], s["end"])))
+        return F.array_join(F.transform(ordered, lambda s: F.concat_ws(":", names[s["kind"]], s["start"], s["end"])), ",")
+
+    base = F.filter("spans", lambda s: s["base"])
+    counts = [F.size(F.filter(base, _of_kind(k))).cast("bigint").alias(f"n_{pii_crf.KINDS[k]}") for k in range(4)]
+    digest = F.sha2(text_of(base).cast("binary"), 256)
+    return found.select("doc_id", *counts, digest.alias("base_sha256"), text_of(F.col("spans")).alias("spans"))
+
+
+def _of_kind(k: int):
+    return lambda s: s["kind"] == k
+
+
 QUERIES = {
     q.__name__: q
     for q in (
@@ -99,6 +117,7 @@ QUERIES = {
         op4_near_duplicates,
         op5_quality,
         op6_line_rules,
+        op7_personal_data,
         op8_licences,
         op9_pieces,
         op10_token_files,
