@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import decontaminate, licences, line_rules, near_dup, piece_viterbi, pii_crf, quality_svm, token_counts, token_files
+from starloom.llm import decontaminate, licences, line_rules, lm_scoring, near_dup, piece_viterbi, pii_crf, quality_svm, token_counts, token_files
 from starloom.session import work_folder
 
 
@@ -25,6 +25,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _remainder(divisor: int):
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(divisor))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return token_counts.with_limit(token_counts.count_tokens(_table(spark, sf_dir, "documents"), path))
@@ -80,10 +84,6 @@ def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _remainder(divisor: int):
-    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(divisor))
-
-
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     scores = quality_svm.score_quality(docs, labels, _remainder(5) != 0)
@@ -109,9 +109,16 @@ def _of_kind(k: int):
     return lambda s: s["kind"] == k
 
 
+def op1_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    docs = _table(spark, sf_dir, "documents")
+    return lm_scoring.score_texts(docs, _remainder(10) == 0, path, public_tokenizers.PATTERN, n_ids=50_256)
+
+
 QUERIES = {
     q.__name__: q
     for q in (
+        op1_lm_scores,
         op2_decontaminate,
         op3_token_counts,
         op4_near_duplicates,
