@@ -53,7 +53,11 @@ def new_keys_only(
 
 
 def first_version(df: DataFrame, key: str, columns: Mapping[str, str]) -> DataFrame:
-    """One row per key with the least value of each column on its own; ``columns`` maps output names to inputs."""
+    """One row per key with the least value of each column on its own; ``columns`` maps output names to inputs.
+
+    A least text has no buffer of fixed width and needs sorted rows, so equal rows are first collapsed by hash.
+    """
+    df = df.select(*dict.fromkeys([key, *columns.values()])).distinct()
     return df.groupBy(key).agg(*[F.min(source).alias(name) for name, source in columns.items()])
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, IntegerType
 
@@ -18,6 +18,9 @@ LOADED_PLAYS_BEFORE = "2024-01-16 00:00:00"
 LOADED_USERS_BEFORE = "2024-01-02 00:00:00"
 LOADED_SONGS_UNTIL = 1
 
+TITLE_BLOCK = 64  # parts with neighbouring keys that draw on the same titles
+CATALOGUED_SIZE = 40
+
 
 class Tables:
     """The Parquet tables of one driver folder; each is opened once."""
@@ -48,11 +51,18 @@ def event_log(tables: Tables) -> DataFrame:
     )
 
 
+def song_title() -> Column:
+    """Title of a part. Parts of one block of keys share titles, so a title has a few songs at any size of the table."""
+    return F.concat("p_name", F.lit(" "), F.floor(F.col("p_partkey") / TITLE_BLOCK).cast("string"))
+
+
 def with_song_names(events: DataFrame, tables: Tables) -> DataFrame:
-    """Adds ``artist`` and ``song``; about one event in five has them. Both keys are unique, so no key is frequent."""
-    parts = tables["part"].select(
-        F.col("p_partkey").alias("event_id"), F.col("p_type").alias("artist"), F.col("p_name").alias("song")
-    )
+    """Adds ``artist`` and ``song``; about one event in five has them. Both keys are unique, so no key is frequent.
+
+    Large parts stand for recordings the catalogue does not have.
+    """
+    song = F.when(F.col("p_size") > CATALOGUED_SIZE, F.concat(song_title(), F.lit(" (live)"))).otherwise(song_title())
+    parts = tables["part"].select(F.col("p_partkey").alias("event_id"), F.col("p_type").alias("artist"), song.alias("song"))
     return events.join(parts, "event_id", "left")
 
 
@@ -73,11 +83,10 @@ def stage_events(tables: Tables) -> DataFrame:
 
 
 def stage_songs(tables: Tables) -> DataFrame:
-    """A tenth of the parts as a catalogue; several rows share an artist name and title."""
+    """The parts as a catalogue; a few rows share an artist name and title."""
     key = F.col("p_partkey").cast("string")
     return (
         tables["part"]
-        .filter(F.col("p_size") <= 5)
         .select(
             F.lit(1).alias("num_songs"),
             F.concat(F.lit("AR"), (F.col("p_partkey") % 50).cast("string")).alias("artist_id"),
@@ -86,7 +95,7 @@ def stage_songs(tables: Tables) -> DataFrame:
             F.col("p_brand").alias("artist_location"),
             F.col("p_type").alias("artist_name"),
             F.concat(F.lit("SO"), key).alias("song_id"),
-            F.col("p_name").alias("title"),
+            song_title().alias("title"),
             F.col("p_retailprice").cast(duration_type()).alias("duration"),
             F.col("p_size").alias("year"),
         )

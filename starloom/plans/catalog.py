@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,12 +11,11 @@ from pyspark.sql import functions as F
 from starloom.functions.calendar import epoch_ms_to_timestamp
 from starloom.functions.labels import decode
 from starloom.operators import dimensions as d
-from starloom.operators import facts, filters, incremental, layout, quality, star
+from starloom.operators import facts, filters, incremental, quality, star
 from starloom.operators.surrogate_keys import assign_ids
 from starloom.operators.upsert import changed_members, update_users
 from starloom.plans import analogs as a
-from starloom.schemas import PLAY_KEY, UNKNOWN_ARTIST, UNKNOWN_SONG, USERS
-from starloom.sources import json_files
+from starloom.schemas import PLAY_KEY, UNKNOWN_ARTIST, UNKNOWN_SONG, USERS, star_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -132,11 +131,6 @@ def epoch_to_timestamp(spark, sf_dir):
     return d.start_times(Star(spark, sf_dir).log)
 
 
-@registered
-def source_inventory(spark, sf_dir):
-    return json_files.source_inventory(spark, f"{sf_dir}/")
-
-
 # --- dimensions ----------------------------------------------------------------------------------------------------
 
 
@@ -351,6 +345,19 @@ def dq_nulls(spark, sf_dir):
     return quality.null_violations(events, events.columns)
 
 
+@registered
+def dq_required(spark, sf_dir):
+    """NULLs in the required columns of the fact and its dimensions."""
+    s = Star(spark, sf_dir)
+    tables, frames = star_tables(), {"songplays": s.fact, **{name: dim for name, (dim, _) in s.dims.items()}}
+    parts = []
+    for name, frame in frames.items():
+        columns = [c for c in tables[name].required if c in frame.columns]
+        if columns:
+            parts.append(quality.null_violations(frame, columns).select(F.lit(name).alias("table_name"), "column_name", "n_nulls"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @registered
 def dq_duplicates(spark, sf_dir):
     return quality.duplicate_keys(Star(spark, sf_dir).catalogue, ["artist_name", "title"])
@@ -366,9 +373,3 @@ def dq_orphans(spark, sf_dir):
 def completeness(spark, sf_dir):
     s = Star(spark, sf_dir)
     return quality.completeness(s.fact, s.dims)
-
-
-@registered
-def layout_report(spark, sf_dir):
-    s = Star(spark, sf_dir)
-    return layout.layout_report({"staging_events": s.events, "staging_songs": s.catalogue, "songplays": s.fact})

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -13,7 +14,7 @@ from starloom.functions.conversion import convert, is_rejected
 from starloom.operators import dimensions as d
 from starloom.operators.facts import resolve_songs
 from starloom.operators.filters import plays_only, select_play_columns
-from starloom.operators.incremental import absent_members, missing_member, new_keys_only, within_range_of
+from starloom.operators.incremental import absent_members, missing_member, new_keys_only, null_key_count, within_range_of
 from starloom.operators.star import count_tables
 from starloom.operators.surrogate_keys import assign_ids
 from starloom.operators.upsert import update_users
@@ -41,6 +42,7 @@ class LoadResult:
     before: list[Row] = field(default_factory=list)
     after: list[Row] = field(default_factory=list)
     rejected: dict[str, int] = field(default_factory=dict)
+    seconds: float = 0.0
 
 
 def _strict(text: DataFrame, schema: StructType) -> DataFrame:
@@ -86,17 +88,34 @@ def stage(
     return seen.get["n_rejected"] if on_reject == "null" else 0
 
 
+def _nulls(rows: DataFrame, name: str, columns: Sequence[str], on_reject: str) -> dict[str, int]:
+    """NULLs in required columns as ``table.column``; with ``on_reject='fail'`` the first load step that has any fails."""
+    counts = rows.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first()
+    found = {f"{name}.{c}": counts[c] for c in columns if counts[c]}
+    if found and on_reject == "fail":
+        raise ValueError(f"NULL in required columns: {found}")
+    return found
+
+
 def load_dimensions(
-    spark: SparkSession, database: str, page: str = PLAY_PAGE, event_order: Sequence[str] = EVENT_ORDER
-) -> None:
-    """Add new members to the four dimensions, and bring existing users up to date.
+    spark: SparkSession,
+    database: str,
+    page: str = PLAY_PAGE,
+    event_order: Sequence[str] = EVENT_ORDER,
+    on_reject: str = "null",
+) -> dict[str, int]:
+    """Add new members to the four dimensions, and bring existing users up to date. Returns NULLs in required columns.
 
     New members are appended; only the users table is written anew, in a folder of its own, because it is updated.
     """
     events = load(spark, database, "staging_events")
     catalogue = load(spark, database, "staging_songs")
 
+    rejected: dict[str, int] = {}
+
     def add(name: str, members: DataFrame, key: str) -> None:
+        columns = [c for c in star_tables()[name].required if c in members.columns]
+        rejected.update(_nulls(members, name, columns, on_reject) if columns else {})
         append(lay_out(members, [key]), database, name)
 
     def dim(name: str) -> DataFrame:
@@ -114,16 +133,28 @@ def load_dimensions(
     append(missing_member(dim("artists"), UNKNOWN_ARTIST, "artist_id"), database, "artists")
     add("songs", absent_members(dim("songs"), d.songs_from(catalogue), "song_id"), "song_id")
     append(missing_member(dim("songs"), UNKNOWN_SONG, "song_id"), database, "songs")
+    return rejected
 
 
 def load_fact(
-    spark: SparkSession, database: str, page: str = PLAY_PAGE, n_partitions: int | None = None
-) -> None:
-    """Append plays whose (start time, user, session) the fact does not have, with ids that go on from the last one."""
+    spark: SparkSession,
+    database: str,
+    page: str = PLAY_PAGE,
+    n_partitions: int | None = None,
+    on_reject: str = "null",
+) -> dict[str, int]:
+    """Append plays whose (start time, user, session) the fact does not have, with ids that go on from the last one.
+
+    Plays with a NULL in that key are not loaded; returns how many there are.
+    """
     plays = select_play_columns(plays_only(load(spark, database, "staging_events"), page))
+    n_rejected = null_key_count(plays, PLAY_KEY).first()["n_rejected"]
+    if n_rejected and on_reject == "fail":
+        raise ValueError(f"{n_rejected} plays without {', '.join(PLAY_KEY)}")
+    rejected = {"songplays": n_rejected} if n_rejected else {}
     span = plays.agg(F.min("start_time").alias("low"), F.max("start_time").alias("high")).first()
     if span.low is None:
-        return
+        return rejected
     known = load_between(spark, database, "songplays", "start_time", span.low, span.high)
     new_plays = new_keys_only(plays, known, PLAY_KEY)
     rows = resolve_songs(new_plays, load(spark, database, "staging_songs"), hot_from=plays)
@@ -140,6 +171,7 @@ def load_fact(
         append(keyed, database, "songplays")
     finally:
         discard(spark, work)
+    return rejected
 
 
 def run_load(
@@ -157,7 +189,7 @@ def run_load(
     n_partitions: int | None = None,
 ) -> LoadResult:
     """Stage, build and count. Each step commits on its own; after a failure the same call completes the load."""
-    result = LoadResult()
+    result, began = LoadResult(), time.perf_counter()
 
     def count(tag: str) -> list[Row]:
         frames = {name: load(spark, database, name) for name in star_tables()}
@@ -176,8 +208,9 @@ def run_load(
         for name, text in sources.items():
             result.rejected[name] = stage(spark, database, name, text, staging_mode, on_reject)
     if not skip_dwh:
-        load_dimensions(spark, database, page)
-        load_fact(spark, database, page, n_partitions)
+        result.rejected |= load_dimensions(spark, database, page, on_reject=on_reject)
+        result.rejected |= load_fact(spark, database, page, n_partitions, on_reject)
     if not skip_count:
         result.after = count("after")
+    result.seconds = time.perf_counter() - began
     return result

@@ -2,7 +2,16 @@
 
 from __future__ import annotations
 
-from starloom.plans.analogs import LOADED_PLAYS_BEFORE, LOADED_SONGS_UNTIL, LOADED_USERS_BEFORE
+from starloom.plans.analogs import (
+    CATALOGUED_SIZE,
+    LOADED_PLAYS_BEFORE,
+    LOADED_SONGS_UNTIL,
+    LOADED_USERS_BEFORE,
+    TITLE_BLOCK,
+)
+from starloom.schemas import star_tables
+
+_TITLE = f"p_name || ' ' || CAST(p_partkey // {TITLE_BLOCK} AS VARCHAR)"
 
 
 def _start_time(ms: str) -> str:
@@ -13,8 +22,8 @@ def _start_time(ms: str) -> str:
 _VIEWS: dict[str, tuple[list[str], str]] = {
     "stg_events": (
         [],
-        """
-        SELECT p.p_type AS artist, p.p_name AS song, c.c_name AS firstname,
+        f"""
+        SELECT p.p_type AS artist, {_TITLE} || CASE WHEN p_size > {CATALOGUED_SIZE} THEN ' (live)' ELSE '' END AS song, c.c_name AS firstname,
                'N' || CAST(c.c_nationkey AS VARCHAR) AS lastname, c.c_mktsegment AS gender,
                CASE WHEN e.value >= 50 THEN 'paid' ELSE 'free' END AS level,
                CAST(CAST(e.value AS DECIMAL(18,2)) AS DECIMAL(18,0)) AS length,
@@ -28,13 +37,13 @@ _VIEWS: dict[str, tuple[list[str], str]] = {
     ),
     "stg_songs": (
         [],
-        """
+        f"""
         SELECT CAST(1 AS INTEGER) AS num_songs, 'AR' || CAST(p_partkey % 50 AS VARCHAR) AS artist_id,
                CAST(p_retailprice AS DECIMAL(20,6)) AS artist_latitude,
                CAST(p_size AS DECIMAL(20,6)) AS artist_longitude, p_brand AS artist_location,
-               p_type AS artist_name, 'SO' || CAST(p_partkey AS VARCHAR) AS song_id, p_name AS title,
+               p_type AS artist_name, 'SO' || CAST(p_partkey AS VARCHAR) AS song_id, {_TITLE} AS title,
                CAST(p_retailprice AS DECIMAL(12,4)) AS duration, p_size AS year
-          FROM part WHERE p_size <= 5
+          FROM part
         """,
     ),
     "plays": (
@@ -191,6 +200,17 @@ def _null_counts() -> str:
     return _with(" UNION ALL ".join(parts), "stg_events")
 
 
+def _required() -> str:
+    views = {"songplays": "fact", "time": "time_rows", "users": "users", "songs": "songs", "artists": "artists"}
+    present = {"songplays": {"songplay_id"}}  # the fact view has no ids
+    parts = []
+    for name, view in views.items():
+        for c in star_tables()[name].required:
+            if c not in present.get(name, set()):
+                parts.append(f"SELECT '{name}' AS table_name, '{c}' AS column_name, count(*) - count({c}) AS n_nulls FROM {view}")
+    return _with(" UNION ALL ".join(parts), *views.values())
+
+
 ORACLE: dict[str, str] = {
     "stage_events": _with("SELECT * FROM stg_events", "stg_events"),
     "stage_songs": _with("SELECT * FROM stg_songs", "stg_songs"),
@@ -288,6 +308,7 @@ ORACLE: dict[str, str] = {
     "songs_artists_count": _count_join("songs", "artists", "artist_id"),
     "topk_songs": _with("SELECT * FROM songs ORDER BY song_id LIMIT 5", "songs"),
     "dq_nulls": _null_counts(),
+    "dq_required": _required(),
     "dq_duplicates": _with(
         "SELECT artist_name, title, count(*) AS n FROM stg_songs GROUP BY ALL HAVING count(*) > 1", "stg_songs"
     ),
