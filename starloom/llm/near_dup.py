@@ -3,14 +3,17 @@
 A document is the set of its distinct word shingles. Documents with equal sets form a class; one of them stands for all,
 so copies never become pairs. From ``SAMPLES`` MinHash values come ``BANDS`` band keys and an odd sketch: each value
 flips one bit of a bitmap, so common values cancel in the XOR of two sketches and its population count estimates the
-similarity best where it is high. Two documents at the similarity limit share a band with probability 1 - 4e-6.
-
-Candidates are taken in two rounds, so that a large group of near copies costs no pairs within itself:
-1. Every member of a bucket is compared with the smallest id of the bucket; confirmed links give components.
-2. In buckets that still hold several components, every member outside the first one's component is compared with all
-   members of other components. This round is complete: each candidate pair is either compared or already connected.
-A candidate is dropped early only if sizes alone rule it out, or if the sketches differ by more bits than a pair at the
-limit shows once in a million times. What is left is confirmed on the full sets.
+similarity best where it is high. A second odd sketch folds the whole set: its XOR never has more bits than the sets
+have differing shingles. Two documents at the similarity limit share a band with probability 1 - 4e-6.
+
+Candidates are taken in rounds, so that a large group of near copies costs no pairs within itself:
+1. Every member of a bucket is compared with its hub, the member whose buckets hold most documents; confirmed links give
+   components. Rounds with other members as hubs follow, in buckets that hold several components, while they still
+   connect a fair share of what is left.
+2. Every member outside the component of the bucket's largest id is compared with all members of other components. This
+   round is complete: each candidate pair is either compared or already connected.
+A candidate is dropped early only if sizes or the second sketch rule it out, or if the sketches differ by more bits than
+a pair at the limit shows once in a million times. What is left is confirmed on the full sets.
 
 Edge cases: an empty or null text has no shingles and no links; a text shorter than a shingle is one shingle; a null
 ``doc_id`` has no component, is linked with nothing and kept; rows with equal ``doc_id`` count as one document and
@@ -23,7 +26,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.graph import components
@@ -33,7 +36,8 @@ from starloom.session import materialize, work_folder
 SHINGLE_WORDS, PERCENT = 5, 80
 ROWS, BANDS = 4, 24
 SAMPLES = ROWS * BANDS
-ODD_WORDS = 8  # 512 bits
+ODD_WORDS, WHOLE_WORDS = 8, 32  # of 64 bits
+FAIR_SHARE = 0.5
 
 _RNG = np.random.Generator(np.random.PCG64(20240607))
 _FLIP = _RNG.integers(0, 1 << 63, SAMPLES, dtype=np.uint64)
@@ -96,6 +100,15 @@ def _signatures(sets: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.nda
     return bands.view(np.int64), odd.view(np.int64)
 
 
+def _whole_sketches(sets: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Parity bitmaps of the whole sets of texts that have shingles."""
+    filled, bits = np.flatnonzero(np.diff(first)), WHOLE_WORDS * 64
+    row, _ = expand(np.diff(first)[filled])
+    cell = row * bits + (mix(sets ^ np.uint64(0x51ED270B)) % np.uint64(bits)).astype(np.int64)
+    odd = (np.bincount(cell, minlength=len(filled) * bits) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64).reshape(len(filled), WHOLE_WORDS)
+
+
 def _signed(words: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
@@ -105,11 +118,11 @@ def _signed(words: int):
             bands, odd = _signatures(sets, first)
             where = np.append(0, np.cumsum(n > 0)).astype(np.int32)
             lists = [
-                pa.ListArray.from_arrays(where * v.shape[1], pa.array(v.reshape(-1))) for v in (bands, odd)
+                pa.ListArray.from_arrays(where * v.shape[1], pa.array(v.reshape(-1))) for v in (bands, odd, _whole_sketches(sets, first))
             ]
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(n), pa.array(one), pa.array(two), *lists],
-                ["doc_id", "n_shingles", "one", "two", "bands", "odd"],
+                ["doc_id", "n_shingles", "one", "two", "bands", "odd", "whole"],
             )
 
     return run
@@ -141,11 +154,19 @@ def _confirmed(percent: int):
     return run
 
 
-def _like(percent: int):
-    """Whether sizes and odd sketches of ``n_a``/``odd_a`` and ``n_b``/``odd_b`` allow the similarity."""
-    differ = sum((F.bit_count(F.col("odd_a")[i].bitwiseXOR(F.col("odd_b")[i])) for i in range(ODD_WORDS)), F.lit(0))
+def _differ(name: str, n: int) -> Column:
+    return sum((F.bit_count(F.col(f"{name}_a")[i].bitwiseXOR(F.col(f"{name}_b")[i])) for i in range(n)), F.lit(0))
+
+
+def _like(percent: int) -> Column:
+    """Whether sizes and sketches of ``n``, ``odd`` and ``whole`` (``_a``, ``_b``) allow the similarity."""
     small, large = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
-    return (small * 100 >= large * percent) & (differ <= odd_limit(percent))
+    unlike = (F.col("n_a") + F.col("n_b")) * ((100 - percent) / (100 + percent))  # differing shingles at the limit
+    bits = WHOLE_WORDS * 64
+    likely = bits / 2 * (1 - F.exp(-2 / bits * unlike))
+    whole = _differ("whole", WHOLE_WORDS)
+    possible = (whole <= unlike + 1e-6) & (whole <= likely + 6 * F.sqrt(likely) + 2)
+    return (small * 100 >= large * percent) & (_differ("odd", ODD_WORDS) <= odd_limit(percent)) & possible
 
 
 def _confirm(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -162,45 +183,56 @@ def _confirm(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Dat
     return materialize(found.distinct(), work_folder(spark))
 
 
-def link_documents(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` of every row of ``docs`` (``doc_id``, ``text``)."""
-    spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    signed = docs.mapInArrow(
-        _signed(words), "doc_id bigint, n_shingles bigint, one bigint, two bigint, bands array<bigint>, odd array<bigint>"
-    )
-    signed = materialize(signed, work_folder(spark))
-    linkable = signed.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = linkable.groupBy("n_shingles", "one", "two").agg(
-        F.min("doc_id").alias("id"), F.first("bands").alias("bands"), F.first("odd").alias("odd")
-    )
-    classes = materialize(classes, work_folder(spark))
+def _described(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """``pairs`` (``a``, ``b``) with what :func:`_like` reads, from ``classes``."""
+    for side in "ab":
+        names = {"id": side, **{c: f"{n}_{side}" for c, n in (("one", "one"), ("n_shingles", "n"), ("odd", "odd"), ("whole", "whole"))}}
+        pairs = pairs.join(classes.select(*[F.col(c).alias(n) for c, n in names.items()]), side)
+    return pairs
 
+
+def _stars(rows: DataFrame, order: Column) -> DataFrame:
+    """Pairs of the members of each bucket with the member that comes first; those of its component are left out."""
+    hubs = rows.groupBy("bucket").agg(F.max(F.struct(order.alias("order"), "id", "label")).alias("hub"))
+    hubs = materialize(hubs.select("bucket", F.col("hub.id").alias("hub"), F.col("hub.label").alias("own")), work_folder(rows.sparkSession))
+    pairs = rows.join(hubs, "bucket").filter("label <> own")
+    return pairs.select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b")).distinct()
+
+
+def _labels(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
+    """``node`` and ``label`` of all classes that are linked with another one."""
+    spark = docs.sparkSession
     members = classes.select("id", F.explode("bands").alias("bucket"))
-    buckets = members.groupBy("bucket").agg(F.min("id").alias("lead"), F.max("id").alias("last")).filter("lead < last")
-    buckets = materialize(buckets.select("bucket", "lead"), work_folder(spark))
-    shared = materialize(members.join(buckets, "bucket"), work_folder(spark))
-
-    def described(pairs: DataFrame) -> DataFrame:
-        for side in "ab":
-            own = classes.select(*[F.col(c).alias(f"{n}{side}") for c, n in (("id", ""), ("one", "one_"), ("n_shingles", "n_"), ("odd", "odd_"))])
-            pairs = pairs.join(own, side)
-        return pairs.filter(_like(percent)).select("a", "one_a", "b", "one_b")
-
-    stars = shared.filter("id > lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
-    links = _confirm(described(stars), docs, words, percent)
-    labels = components(links)
-
-    # Members of buckets that hold several components, with what the comparison needs.
-    mine = shared.join(labels, F.col("id") == F.col("node"), "left").select("bucket", "id", "lead", F.coalesce("label", "id").alias("label"))
-    mine = materialize(mine, work_folder(spark))
-    mixed = mine.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min(F.when(F.col("id") == F.col("lead"), F.col("label"))).alias("main"))
-    mixed = materialize(mixed.filter("low < high").select("bucket", "main"), work_folder(spark))
-    inside = mine.join(mixed, "bucket")
-    own = classes.select("id", "one", F.col("n_shingles").alias("n"), "odd")
-    inside = materialize(inside.join(own, "id"), work_folder(spark))
-    others = inside.filter("label <> main").select("bucket", *[F.col(c).alias(f"{c}_a") for c in ("id", "label", "one", "n", "odd")])
-    everyone = inside.select("bucket", F.col("main").alias("main_b"), *[F.col(c).alias(f"{c}_b") for c in ("id", "label", "one", "n", "odd")])
+    buckets = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    shared = materialize(members.join(materialize(buckets, work_folder(spark)), "bucket"), work_folder(spark))
+    weight = shared.groupBy("id").agg(F.sum("size").alias("weight"))
+    mixed = materialize(shared.join(weight, "id").select("bucket", "id", "weight", F.col("id").alias("label")), work_folder(spark))
+    links = labels = None
+    order, left, turn = F.col("weight"), weight.count(), 0
+    while True:
+        pairs = _described(_stars(mixed, order), classes).filter(_like(percent)).select("a", "one_a", "b", "one_b")
+        found = _confirm(pairs, docs, words, percent)
+        if links is not None and found.isEmpty():
+            break
+        links = found if links is None else links.union(found)
+        labels = components(links)
+        now = mixed.drop("label").join(labels, F.col("id") == F.col("node"), "left").select("bucket", "id", "weight", F.coalesce("label", "id").alias("label"))
+        now = materialize(now, work_folder(spark))
+        several = now.groupBy("bucket").agg((F.min("label") < F.max("label")).alias("several")).filter("several").select("bucket")
+        mixed = materialize(now.join(materialize(several, work_folder(spark)), "bucket"), work_folder(spark))
+        before, left = left, mixed.select("label").distinct().count()
+        turn += 1
+        order = F.xxhash64("id", F.lit(turn))
+        if left > (1 - FAIR_SHARE) * before or not left:
+            break
+
+    main = mixed.groupBy("bucket").agg(F.max(F.struct("id", "label")).alias("main")).select("bucket", F.col("main.label").alias("main"))
+    inside = mixed.join(materialize(main, work_folder(spark)), "bucket")
+    own = classes.select("id", "one", F.col("n_shingles").alias("n"), "odd", "whole")
+    inside = materialize(inside.drop("weight").join(own, "id"), work_folder(spark))
+    columns = ("id", "label", "one", "n", "odd", "whole")
+    others = inside.filter("label <> main").select("bucket", *[F.col(c).alias(f"{c}_a") for c in columns])
+    everyone = inside.select("bucket", F.col("main").alias("main_b"), *[F.col(c).alias(f"{c}_b") for c in columns])
     pairs = others.join(everyone, "bucket").filter(
         (F.col("label_a") != F.col("label_b")) & ((F.col("label_b") == F.col("main_b")) | (F.col("id_a") < F.col("id_b"))) & _like(percent)
     )
@@ -211,10 +243,24 @@ def link_documents(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = P
         F.greatest("id_a", "id_b").alias("b"),
         F.when(low, F.col("one_b")).otherwise(F.col("one_a")).alias("one_b"),
     ).distinct()
-    more = _confirm(pairs.join(stars, ["a", "b"], "left_anti"), docs, words, percent)
-    if not more.isEmpty():
-        labels = components(links.union(more))
+    more = _confirm(pairs, docs, words, percent)
+    return labels if more.isEmpty() else components(links.union(more))
 
+
+def link_documents(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
+    """``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` of every row of ``docs`` (``doc_id``, ``text``)."""
+    spark = docs.sparkSession
+    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    signed = docs.mapInArrow(
+        _signed(words), "doc_id bigint, n_shingles bigint, one bigint, two bigint, bands array<bigint>, odd array<bigint>, whole array<bigint>"
+    )
+    signed = materialize(signed, work_folder(spark))
+    linkable = signed.filter("n_shingles > 0 AND doc_id IS NOT NULL")
+    classes = linkable.groupBy("n_shingles", "one", "two").agg(
+        F.min("doc_id").alias("id"), *[F.first(c).alias(c) for c in ("bands", "odd", "whole")]
+    )
+    classes = materialize(classes, work_folder(spark))
+    labels = _labels(docs, classes, words, percent)
     classes = classes.select("n_shingles", "one", "two", "id").join(labels, F.col("id") == F.col("node"), "left")
     classes = classes.select("n_shingles", "one", "two", F.coalesce("label", "id").alias("component_id"))
     known = linkable.select("doc_id", "n_shingles", "one", "two").join(classes, ["n_shingles", "one", "two"])
