@@ -33,6 +33,7 @@ from starloom.llm.text import PieceCache, distinct, expand, flat, hashes, mix, s
 SPACE = "▁"
 _BASE = np.uint64(0x9E3779B97F4A7C55)
 _LONG = 200  # characters; longer words are merged one by one
+_SLICE_BYTES, _SLICE_IDS = 1 << 20, 1 << 18  # a task works on so much at once
 _UNKNOWN = -2  # in paths: a character without a piece
 
 
@@ -324,7 +325,7 @@ def decode_ids(path: str, ids: np.ndarray, offsets: np.ndarray) -> list[str]:
 
 def _encoded(path: str, text_column: str):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, text_column):
+        for b in slices(batches, text_column, _SLICE_BYTES):
             ids, offsets = encode_texts(path, b.column(text_column))
             lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids.astype(np.int32)))
             yield pa.RecordBatch.from_arrays([*b.columns, lists], [*b.schema.names, "ids"])
@@ -334,7 +335,7 @@ def _encoded(path: str, text_column: str):
 
 def _decoded(path: str):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches, "ids", _SLICE_IDS):
             lists = b.column("ids").fill_null([]) if b.column("ids").null_count else b.column("ids")
             offsets = np.append(0, np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False)))
             texts = decode_ids(path, lists.flatten().to_numpy(zero_copy_only=False), offsets.astype(np.int64))

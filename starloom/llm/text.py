@@ -26,11 +26,13 @@ _M3 = np.uint64(0x94D049BB133111EB)
 
 
 def slices(batches: Iterable[pa.RecordBatch], column: str = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The rows of ``batches`` in order, in slices of about ``size`` bytes of ``column``."""
+    """The rows of ``batches`` in order, in slices of about ``size`` bytes of ``column``, or entries where it holds lists."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+        values = batch.column(column)
+        length = pc.list_value_length(values) if pa.types.is_list(values.type) else pc.binary_length(values)
+        ends = np.cumsum(pc.fill_null(length, 0).to_numpy(zero_copy_only=False), dtype=np.int64)
         at, n = 0, batch.num_rows
         while at < n:
             before = ends[at - 1] if at else 0
