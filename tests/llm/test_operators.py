@@ -246,6 +246,20 @@ def test_lm_scores(docs, empty):
     assert lm_scoring.score_texts(empty, held, *args).count() == 0
 
 
+def test_every_word_of_a_long_text_is_learned_from():
+    subwords = lm_scoring.Subwords(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, 50_256)
+    texts = ["", "a b c", None, " ".join(f"w{k % 7} the of" for k in range(400)), "x " * 31, "x " * 32, "x " * 33]
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts), "learn": pa.array([True] * len(texts))})
+    rows = [r for b in lm_scoring._gathered(subwords)([batch]) for r in b.to_pylist()]
+    pairs = Counter(p for r in rows if r["kind"] == 2 for p in zip(r["window"], r["window"][1:]))
+    first = {w: subwords.words(pa.RecordBatch.from_pydict({"text": [w]}))[1] for t in texts for w in words(t)}
+    expected = Counter()
+    for t in texts:
+        ids = [subwords.size, *(int(subwords.ids(first[w])[0][0]) for w in words(t)), subwords.size]
+        expected.update(zip(ids, ids[1:]))
+    assert pairs == expected and sum(pairs.values()) == sum(r["n"] for r in rows if r["kind"] == 0)
+
+
 def test_windows_give_every_class_once_with_all_its_context():
     rng = np.random.default_rng(5)
     model = rng.normal(size=(lm_scoring.CLASSES,) * 2).astype(np.float32), lm_scoring._start()
