@@ -2,10 +2,12 @@
 
 Templates are short notices and opening passages of licences. The index holds the place of every template word that is
 no function word. One pass over the texts keeps, per file, the places of indexed words (and the words of files that have
-any). Document frequencies of indexed words over all files give their weight; each file looks up its ``LOOKED_UP`` words
-of highest inverse document frequency, meets the template postings, and votes for (template, relative position). Places
-with enough votes are verified: every mandatory phrase of the template must stand in the words around, and a share of
-its words. Only vocabulary-sized tables are broadcast: the templates are part of this file.
+any). Document frequencies of indexed words over all files give their weight: of every mandatory phrase of every template
+the ``VOTES`` words of highest inverse document frequency are looked up, at all their places in all files, and vote for
+(phrase, position). Where all of them agree, the template is verified: every mandatory phrase must stand in the words
+around, up to ``SLACK`` more on either side, and a share of its words. A phrase stands in a notice as it is, so its rare
+words agree wherever it stands: frequencies decide what is looked up, never what is found, and no template loses votes
+to the words of another. Only vocabulary-sized tables are broadcast: the templates are part of this file.
 
 Edge cases: a null or empty text has no words, no labels and score 0; repeated rows give a row each; an empty table
 gives an empty result; columns other than ``doc_id`` and ``text`` are not read.
@@ -13,13 +15,13 @@ gives an empty result; columns other than ``doc_id`` and ``text`` are not read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.llm.decontaminate import lower_ascii, raw_words
 from starloom.session import materialize, work_folder
 
-LOOKED_UP, SLACK, LEAST_SHARE = 8, 8, 0.6
+VOTES, SLACK, LEAST_SHARE = 2, 8, 0.6
 
 # Phrases that always label a file.
 PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
@@ -73,17 +75,22 @@ def _places(words: Column, phrase: str, label: str) -> Column:
     return F.transform(starts, lambda i: F.struct(F.lit(label).alias("label"), (i - 1).alias("at")))
 
 
-def _templates(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
-    """Postings (word, template, place) and templates (template, label, words, keys)."""
-    posts, rows = [], []
-    for n, (label, text, keys) in enumerate(TEMPLATES):
+def _anchors() -> list[tuple[int, int, dict[str, int]]]:
+    """Of every mandatory phrase: its template, its place there, and the places of its indexed words in it."""
+    out = []
+    for n, (_, text, keys) in enumerate(TEMPLATES):
         words = text.split()
-        posts += [(w, n, i) for i, w in enumerate(words) if w not in FUNCTION_WORDS]
-        rows.append((n, label, sorted(set(words)), len(words), keys, min(2, len(set(words) - FUNCTION_WORDS))))
-    return (
-        spark.createDataFrame(posts, "word string, template int, place int"),
-        spark.createDataFrame(rows, "template int, label string, own array<string>, length int, keys array<string>, votes_needed int"),
-    )
+        for key in keys:
+            parts = key.split()
+            at = next(i for i in range(len(words)) if words[i : i + len(parts)] == parts)
+            out.append((n, at, {w: parts.index(w) for w in parts if w not in FUNCTION_WORDS}))
+    return out
+
+
+def _templates(spark: SparkSession) -> DataFrame:
+    """Template, label, words and keys."""
+    rows = [(n, label, sorted(set(text.split())), len(text.split()), keys) for n, (label, text, keys) in enumerate(TEMPLATES)]
+    return spark.createDataFrame(rows, "template int, label string, own array<string>, length int, keys array<string>")
 
 
 def _files(docs: DataFrame) -> DataFrame:
@@ -97,18 +104,23 @@ def _files(docs: DataFrame) -> DataFrame:
     return materialize(rows.select("uid", "doc_id", "n_words", "hits", words.alias("words")), work_folder(docs.sparkSession))
 
 
-def _candidates(files: DataFrame, postings: DataFrame) -> DataFrame:
-    """``uid``, ``template``, ``start`` (of the template in the file) and ``votes`` (distinct rare words that agree)."""
+def _postings(files: DataFrame) -> DataFrame:
+    """Word, template, anchor (number of the phrase), place in the template and votes needed, of the rarest words of every phrase."""
+    each = files.filter(F.size("hits") > 0).select(F.explode(F.array_distinct("hits.word")).alias("word"))
+    frequency = dict(each.groupBy("word").agg(F.count(F.lit(1))).collect())  # a row for each word of VOCABULARY at most
+    posts = []
+    for anchor, (template, at, places) in enumerate(_anchors()):
+        rarest = sorted(places, key=lambda w: (frequency.get(w, 0), w))[:VOTES]
+        posts += [(w, template, anchor, at + places[w], len(rarest)) for w in rarest]
+    return files.sparkSession.createDataFrame(posts, "word string, template int, anchor int, place int, votes_needed int")
+
+
+def _candidates(files: DataFrame) -> DataFrame:
+    """``uid``, ``template`` and ``start`` (of the template in the file) wherever the rare words of a mandatory phrase agree."""
     found = files.filter(F.size("hits") > 0).select("uid", F.explode("hits").alias("hit")).select("uid", "hit.word", "hit.pos")
-    per_file = found.groupBy("uid", "word").agg(F.array_sort(F.collect_set("pos")).alias("at"))
-    frequency = per_file.groupBy("word").agg(F.count(F.lit(1)).alias("files"))  # a row for each word of VOCABULARY at most
-    rarest = Window.partitionBy("uid").orderBy("files", "word")
-    looked_up = per_file.join(F.broadcast(frequency), "word").withColumn("rank", F.row_number().over(rarest)).filter(F.col("rank") <= LOOKED_UP)
-    met = looked_up.select("uid", "word", F.explode("at").alias("pos")).join(F.broadcast(postings), "word")
-    # Shifts that differ by less than SLACK share one of two overlapping bins.
-    shift = F.col("pos") - F.col("place")
-    bins = met.select("uid", "template", "word", shift.alias("shift"), F.explode(F.array(F.floor(shift / SLACK), F.floor(shift / SLACK) + 1)).alias("bin"))
-    return bins.groupBy("uid", "template", "bin").agg(F.count_distinct("word").alias("votes"), F.min("shift").alias("start"))
+    met = found.join(F.broadcast(_postings(files)), "word")
+    votes = met.groupBy("uid", "template", "anchor", (F.col("pos") - F.col("place")).alias("start"), "votes_needed").agg(F.count(F.lit(1)).alias("votes"))
+    return votes.filter(F.col("votes") == F.col("votes_needed")).select("uid", "template", "start").distinct()
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -119,9 +131,7 @@ def scan(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     files = _files(docs)
-    postings, templates = _templates(spark)
-    candidates = _candidates(files, postings).join(F.broadcast(templates), "template").filter(F.col("votes") >= F.col("votes_needed"))
-    candidates = candidates.select("uid", "template", "start", "label", "own", "length", "keys").distinct()
+    candidates = _candidates(files).join(F.broadcast(_templates(spark)), "template")
     around = candidates.join(files.filter("words IS NOT NULL").select("uid", "words"), "uid")
     low = F.greatest(F.col("start") - SLACK, F.lit(0))
     near = around.withColumn("near", F.slice("words", low + 1, (F.col("start") + F.col("length") + SLACK - low).cast("int")))

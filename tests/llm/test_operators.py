@@ -178,6 +178,17 @@ def test_templates_find_reworded_notices(spark, docs):
     assert found == {1: ["gpl-3"], 2: []}
 
 
+def test_no_notice_is_lost_to_rarer_words_of_another(spark, docs):
+    mit = next(t for label, t, _ in licences.TEMPLATES if label == "mit" and len(t) > 100)
+    cases = [(text, label) for label, text, _ in licences.TEMPLATES]
+    rows = [(i, f"{mit}. filler words stand here\n{text}") for i, (text, _) in enumerate(cases)]
+    common = "released under the license, licensed 4 0 cc version public general gnu terms creative commons international"
+    rows += [(1000 + i, common) for i in range(40)]
+    found = {r.doc_id: r.labels for r in licences.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert all({"mit", label} <= set(found[i]) for i, (_, label) in enumerate(cases))
+    assert all(len(anchor[2]) >= 2 for anchor in licences._anchors())
+
+
 def test_pieces(docs, empty):
     import sentencepiece
 
