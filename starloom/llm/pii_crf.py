@@ -7,9 +7,11 @@ and not with their square. Loopy message passing (all documents of a slice at on
 labels of a document in line: a number that is a phone number in one place is one in the other. Confident labels outside
 base spans become spans of their own.
 
-Node weights are fitted by logistic regression and pair potentials by counting, on the ``SAMPLE_TOKENS`` candidate
-tokens of smallest hash; their labels come from the patterns and from key names that stand before a value. Everything
-else covers whole texts.
+Node weights are fitted by logistic regression and pair potentials by counting, on all candidate tokens of all texts;
+their labels come from the patterns and from key names that stand before a value. Tokens of the same features and label
+are one row with a count, summed per task and then in a shuffle, and pairs of labels are 36 counts of each sort of edge,
+so copies cost nothing and crowd nothing out. More than ``FITTED_ROWS`` rows are fitted in parts of about that size,
+whose weights are averaged by the tokens that have the feature.
 
 Edge cases: a null or empty text has no spans; repeated rows give a row each; ties between labels go to the earlier
 kind; without candidate tokens to learn from only base spans are returned; an empty table gives an empty result;
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from itertools import pairwise
 
@@ -29,9 +32,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.text import flat, slices
+from starloom.session import materialize, work_folder
 
 KINDS = ("email", "ip", "card", "phone", "secret")
-SAMPLE_TOKENS = 20_000
+FITTED_ROWS = 20_000
 CONFIDENT = 0.9
 _PLACES, _ROUNDS = 1024, 30
 
@@ -163,56 +167,92 @@ def _with_candidates(b: pa.RecordBatch) -> Iterator[tuple[int, str]]:
         yield i, b.column("text")[i].as_py()
 
 
+_COUNTED = "sort int, places array<int>, `first` int, label int, n bigint"
+
+
 def _examples(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How often the tokens have features (sort 0) and a label, and chain (1) and skip (2) edges have a pair of labels."""
+    types = (pa.int32(), pa.list_(pa.int32()), pa.int32(), pa.int32(), pa.int64())
+
+    def rows():
+        columns = zip(*((*key, n) for key, n in counts.items()), strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["sort", "places", "first", "label", "n"])
+
+    counts: Counter = Counter()
     for b in slices(batches):
-        rows: tuple[list, ...] = ([], [], [], [], [])
         for _, text in _with_candidates(b):
             base = base_spans(text)
             words, nodes, at = _tokens(text)
             label = [_weak_label(words, i, p, base) for i, p in zip(nodes, at, strict=True)]
-            chain, skip = _edges(words, nodes)
-            left, alike = ({j: label[i] for i, j in e} for e in (chain, skip))
-            seed = zlib.crc32(text.encode())
-            for k, i in enumerate(nodes):
-                row = (zlib.crc32(f"{seed} {i}".encode()), _features(words, i), label[k], left.get(k, -1), alike.get(k, -1))
-                for column, v in zip(rows, row, strict=True):
-                    column.append(v)
-        types = (pa.int64(), pa.list_(pa.int32()), pa.int32(), pa.int32(), pa.int32())
-        yield pa.RecordBatch.from_arrays([pa.array(r, t) for r, t in zip(rows, types, strict=True)], ["draw", "places", "label", "left", "alike"])
-
-
-def fit(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
-    """Node weights (place x label), chain and skip potentials (label x label)."""
-    rows = docs.select("text").mapInArrow(_examples, "draw bigint, places array<int>, label int, `left` int, alike int")
-    rows = rows.orderBy("draw", "places", "label").limit(SAMPLE_TOKENS).toPandas()
-    if rows.empty:
-        return None
-    y, n = rows["label"].to_numpy(), len(KINDS) + 1
-    at = np.concatenate(rows["places"].to_list())
-    row = np.repeat(np.arange(len(y)), [len(p) for p in rows["places"]])
+            counts.update((0, tuple(_features(words, i)), 0, y) for i, y in zip(nodes, label, strict=True))
+            for sort, edges in enumerate(_edges(words, nodes), 1):
+                counts.update((sort, (), label[i], label[j]) for i, j in edges)
+        if len(counts) > 1 << 16:
+            yield rows()
+            counts.clear()
+    if counts:
+        yield rows()
+
+
+def weights(places: list, y: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Logistic regression on rows that count ``times`` each: weights (place x label), and the tokens of each place."""
+    n = len(KINDS) + 1
+    at = np.concatenate(places)
+    row = np.repeat(np.arange(len(y)), [len(p) for p in places])
     w, speed = np.zeros((_PLACES, n)), np.zeros((_PLACES, n))
     target = np.eye(n)[y]
-    per_place = np.maximum(np.bincount(at, minlength=_PLACES), 1)[:, None]
+    tokens = np.bincount(at, times[row], _PLACES)
+    per_place = np.maximum(tokens, 1)[:, None]
     order = np.argsort(at, kind="stable")
     used, first = np.unique(at[order], return_index=True)
     starts = np.flatnonzero(np.diff(row, prepend=-1))
     for _ in range(200):
         z = np.add.reduceat(w[at], starts)
         z = np.exp(z - z.max(1, keepdims=True))
-        miss = z / z.sum(1, keepdims=True) - target
+        miss = (z / z.sum(1, keepdims=True) - target) * times[:, None]
         grad = np.zeros_like(w)
         grad[used] = np.add.reduceat(miss[row[order]], first)
         speed = 0.9 * speed - 0.1 * (grad / per_place + 1e-4 * w)
         w += speed
+    return w, tokens
+
+
+def _fitted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows = [b for b in batches if len(b)]
+    if rows:
+        places, y, times = ([v for b in rows for v in b.column(c).to_pylist()] for c in ("places", "label", "n"))
+        w, tokens = weights(places, np.array(y), np.array(times, float))
+        used = np.flatnonzero(tokens)
+        columns = [pa.array(used), pa.array(tokens[used]), pa.ListArray.from_arrays(np.arange(len(used) + 1, dtype=np.int32) * w.shape[1], pa.array(w[used].reshape(-1)))]
+        yield pa.RecordBatch.from_arrays(columns, ["place", "tokens", "w"])
+
 
-    def potential(other: np.ndarray, agree: float) -> np.ndarray:
-        pairs = other >= 0
-        counts = np.full((n, n), 1.0) + agree * np.eye(n)
-        np.add.at(counts, (other[pairs], y[pairs]), 1)
-        share = counts / counts.sum()
+def fit(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+    """Node weights (place x label), chain and skip potentials (label x label)."""
+    spark, n = docs.sparkSession, len(KINDS) + 1
+    counted = docs.select("text").mapInArrow(_examples, _COUNTED).groupBy("sort", "places", "first", "label").agg(F.sum("n").alias("n"))
+    counted = materialize(counted, work_folder(spark))
+    nodes = counted.filter("sort = 0").select("places", "label", "n")
+    parts = -(-nodes.count() // FITTED_ROWS)
+    if not parts:
+        return None
+    # Sorted, so that a part is summed in the same order whichever task wrote its rows first.
+    dealt = nodes.repartition(parts, "places", "label").sortWithinPartitions("places", "label")
+    fitted = dealt.mapInArrow(_fitted, "place bigint, tokens double, w array<double>")
+    mean = [(F.sum(F.col("tokens") * F.col("w")[k]) / F.sum("tokens")).alias(f"w{k}") for k in range(n)]
+    mean = fitted.groupBy("place").agg(*mean).toPandas()  # a row for each place at most
+    w = np.zeros((_PLACES, n))
+    w[mean["place"]] = mean[[f"w{k}" for k in range(n)]]
+    pairs = np.zeros((3, n, n))
+    for r in counted.filter("sort > 0").collect():  # 72 rows at most
+        pairs[r["sort"], r["first"], r["label"]] = r["n"]
+
+    def potential(counts: np.ndarray, agree: float) -> np.ndarray:
+        share = counts + 1 + agree * np.eye(n)
+        share /= share.sum()
         return 0.5 * np.log(share / (share.sum(1, keepdims=True) * share.sum(0)))
 
-    return w, potential(rows["left"].to_numpy(), 0.0), potential(rows["alike"].to_numpy(), 50.0)
+    return w, potential(pairs[1], 0.0), potential(pairs[2], 50.0)
 
 
 def marginals(node: np.ndarray, edges: np.ndarray, pair: np.ndarray) -> np.ndarray:

@@ -160,6 +160,23 @@ def test_messages_bring_repeated_tokens_in_line():
     assert np.allclose(p[1], joint.sum(0) / joint.sum(), atol=1e-3) and p[1].argmax() == 1
 
 
+def test_the_random_field_learns_from_all_tokens(spark, docs, monkeypatch):
+    copy = "part 1234567 of 77"
+    texts = [copy] * 25_000 + [f"token: zq{k}abcdef{k}x password: Hx{k}kk99zz{k}" for k in range(40)] + ["pay 4111 1111 1111 1111 now"] * 3
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    seen = Counter()
+    for b in pii_crf._examples([pa.RecordBatch.from_pydict({"text": texts})]):
+        for r in b.to_pylist():
+            seen[r["sort"], r["label"]] += r["n"]
+    assert seen[0, 0] == 50_000 and seen[0, 5] == 80 and seen[0, 3] == 12 and seen[1, 3] == 9
+    for most in (pii_crf.FITTED_ROWS, 10):  # in one part, and in several
+        monkeypatch.setattr(pii_crf, "FITTED_ROWS", most)
+        model = pii_crf.fit(rows)
+        words = ["token:", "zq7abcdef7x", "part", "1234567"]
+        node = [model[0][pii_crf._features(words, i)].sum(0).argmax() for i in (1, 3)]
+        assert node == [5, 0] and model[1][3, 3] > 0
+
+
 def test_patterns_stay_fast_on_long_runs():
     assert pii_crf.base_spans("a" * 300_000 + " x@y.zz " + "1" * 100_000)[0][0] == 0
 
