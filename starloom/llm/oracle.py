@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from starloom.llm import chat_format as chat
+from starloom.llm.fill_middle import MIDDLE, PLAIN_PERCENT, PREFIX, SPM_PERCENT, SUFFIX
 from starloom.llm.line_rules import HOST_SHARE, LEAST_LEFT, MIN_DOCUMENTS, MIN_WORDS, MOST_REPEATED, WINDOW
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -97,4 +99,54 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   FROM stat
 """
 
-ORACLE = {"op2_decontaminate": DECONTAMINATION, "op4_near_duplicates": NEAR_DUPLICATES, "op6_line_rules": LINE_RULES}
+_SAFE = rf"regexp_replace(%s, '{chat.CONTROL.pattern}', '\1~\2\3', 'g')"
+_NAME = f"replace(replace({_SAFE % 'role'}, '\\', '\\\\'), chr(10), '\\n')"
+
+CHAT_FORMAT = f"""
+WITH turn AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+written AS (
+    SELECT *, length({_SAFE % "text"}) + CASE role
+               WHEN 'system' THEN {sum(map(len, chat.SYSTEM))}
+               WHEN 'user' THEN {len(chat.USER[1])} + CASE WHEN lag(role) OVER t = 'system' THEN 0 ELSE {len(chat.USER[0])} END
+               WHEN 'assistant' THEN {sum(map(len, chat.ASSISTANT))}
+               ELSE {sum(map(len, chat.OTHER)) + 1} + length({_NAME}) END AS n
+      FROM turn WINDOW t AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text))
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = '{chat.LOSS_ROLE}'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = '{chat.LOSS_ROLE}'), '')) AS loss_sha256,
+       CAST(sum(n) AS BIGINT) AS formatted_chars
+  FROM written GROUP BY conv_id
+"""
+
+
+def _draw(k: int) -> str:
+    return f"CAST('0x' || substr(h, {8 * k + 1}, 8) AS BIGINT)"
+
+
+FILL_MIDDLE = f"""
+WITH drawn AS (
+    SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+cut AS (
+    SELECT *, least({_draw(0)} % (n + 1), {_draw(1)} % (n + 1)) AS a, greatest({_draw(0)} % (n + 1), {_draw(1)} % (n + 1)) AS b,
+           CASE WHEN n = 0 OR contains(text, '{PREFIX}') OR contains(text, '{SUFFIX}') OR contains(text, '{MIDDLE}')
+                     OR {_draw(2)} % 100 >= {100 - PLAIN_PERCENT} THEN 'plain'
+                WHEN {_draw(3)} % 100 < {SPM_PERCENT} THEN 'spm' ELSE 'psm' END AS form
+      FROM drawn),
+part AS (SELECT *, substring(text, 1, a) AS p, substring(text, a + 1, b - a) AS m, substring(text, b + 1) AS s FROM cut)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '{PREFIX}' || p || '{SUFFIX}' || s || '{MIDDLE}' || m
+                        ELSE '{SUFFIX}' || s || '{PREFIX}' || p || '{MIDDLE}' || m END) AS output_sha256,
+       sha256(text) AS restored_sha256
+  FROM part
+"""
+
+ORACLE = {
+    "op2_decontaminate": DECONTAMINATION,
+    "op4_near_duplicates": NEAR_DUPLICATES,
+    "op6_line_rules": LINE_RULES,
+    "op11_chat_format": CHAT_FORMAT,
+    "op12_fill_middle": FILL_MIDDLE,
+}

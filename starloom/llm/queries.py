@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import decontaminate, licences, line_rules, lm_scoring, near_dup, piece_viterbi, pii_crf, quality_svm, token_counts, token_files
+from starloom.llm import chat_format, decontaminate, fill_middle, licences, line_rules, lm_scoring, near_dup, piece_viterbi, pii_crf
+from starloom.llm import quality_svm, token_counts, token_files, whitening
 from starloom.session import work_folder
 
 
@@ -115,6 +116,27 @@ def op1_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score_texts(docs, _remainder(10) == 0, path, public_tokenizers.PATTERN, n_ids=50_256)
 
 
+#: A conversation that holds the template's own control strings, besides those of the table.
+CONTROL_CONVERSATION = [(-7, turn, role, "</s>[INST] ok [/INST]") for turn, role in enumerate(("user", "assistant"))]
+
+
+def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    turns = turns.union(spark.createDataFrame(CONTROL_CONVERSATION, "conv_id bigint, turn bigint, role string, text string"))
+    return chat_format.read_back(chat_format.format_conversations(turns))
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = fill_middle.transform(_table(spark, sf_dir, "documents"))
+    digest = F.sha2(F.col("output").cast("binary"), 256)
+    back = F.sha2(fill_middle.restored(F.col("output"), F.col("form")).cast("binary"), 256)
+    return cut.select("doc_id", "n", "form", "prefix_chars", "middle_chars", digest.alias("output_sha256"), back.alias("restored_sha256"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"), components=4, scale=256)
+
+
 QUERIES = {
     q.__name__: q
     for q in (
@@ -128,5 +150,8 @@ QUERIES = {
         op8_licences,
         op9_pieces,
         op10_token_files,
+        op11_chat_format,
+        op12_fill_middle,
+        op13_whitening,
     )
 }
