@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from starloom.session import materialize, work_folder
+
 Turns = Sequence[tuple[str, str]]  # role, text
 
 BLOCK, STRETCH = 32, 4096
@@ -253,6 +255,8 @@ def format_conversations(
         # What conversations of several stretches need besides: the turn before a stretch, and word that one follows.
         by_conv = Window.partitionBy("conv_id").orderBy("stretch")
         chain = rows.select("conv_id", "stretch").distinct().withColumn("next", F.lead("stretch").over(by_conv)).filter("next IS NOT NULL")
+        spark = conversations.sparkSession
+        chain = materialize(chain, work_folder(spark))  # few rows, mostly: once written, Spark knows their size for the join
         more = chain.select("conv_id", "stretch", F.lit(_MORE).alias("kind"), *[F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in order])
         links = chain.select(F.col("conv_id").alias("__conv"), F.col("stretch").alias("__stretch"), "next")
         ends = rows.join(links, F.col("conv_id").eqNullSafe(F.col("__conv")) & (F.col("stretch") == F.col("__stretch")))
