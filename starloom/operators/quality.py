@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.operators.star import referential_count
+from starloom.operators.references import joined_counts
 
 
 def null_violations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -40,15 +39,8 @@ def orphans(
 
 
 def completeness(fact: DataFrame, dims: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
-    """Per dimension: fact rows, fact rows that join, and whether the two are equal.
+    """Per dimension: fact rows, fact rows that join, and whether the two are equal; the fact is read once.
 
     ``dims`` maps a name to ``(dimension, key)``. A NULL key counts as a fact row that does not join.
     """
-    parts = [
-        referential_count(fact, dim, key, keep_total=True).select(
-            F.lit(name).alias("dimension"), "fact_rows", "joined_rows"
-        )
-        for name, (dim, key) in dims.items()
-    ]
-    report = reduce(DataFrame.unionByName, parts)
-    return report.withColumn("complete", F.col("fact_rows") == F.col("joined_rows"))
+    return joined_counts(fact, dims).withColumn("complete", F.col("fact_rows") == F.col("joined_rows"))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.labels import song_category
-from starloom.operators.skew import HOT_ROWS, skew_join
+from starloom.operators.skew import skew_join
 
 
 def count_rows(df: DataFrame) -> DataFrame:
@@ -32,38 +32,20 @@ def rows_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
 
 
-def referential_count(fact: DataFrame, dim: DataFrame, key: str, keep_total: bool = False) -> DataFrame:
-    """Rows of the inner join of fact and dimension, from one count per key instead of the joined rows.
-
-    ``keep_total`` gives ``(fact_rows, joined_rows)`` from the same pass instead of ``n``.
-    """
-    per_key = rows_per_key(fact, [key])
-    if not keep_total:
-        joined = per_key.join(dim.select(key), key)
-        return joined.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
-    members = rows_per_key(dim, [key]).withColumnRenamed("n", "m")
-    return per_key.join(members, key, "left").agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("fact_rows"),
-        F.coalesce(F.sum(F.col("n") * F.col("m")), F.lit(0)).alias("joined_rows"),
-    )
-
-
-def star_join(fact: DataFrame, dims: Mapping[str, DataFrame], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Fact rows with the attributes of all dimensions; ``dims`` maps fact keys to dimensions with that key.
-
-    Dimensions under Spark's broadcast size are broadcast. For a larger one the rows of frequent keys are split.
-    """
-    joined = fact
-    for key, dim in dims.items():
-        joined = skew_join(joined, dim, [(key, key)], "inner", right_unique=True, hot_from=fact, hot_rows=hot_rows)
-    return joined
+def referential_count(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+    """Rows of the inner join of fact and dimension, from one count per key instead of the joined rows."""
+    joined = rows_per_key(fact, [key]).join(dim.select(key), key)
+    return joined.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
 
 
-def plays_by(fact: DataFrame, dims: Mapping[str, DataFrame], by: Sequence[str]) -> DataFrame:
+def plays_by(
+    fact: DataFrame, dims: Mapping[str, DataFrame], by: Sequence[str], hot_from: DataFrame | None = None
+) -> DataFrame:
     """Plays per combination of dimension attributes, in their order.
 
     The dimensions are joined one after the other, and plays are counted again after each: what reaches the second
-    join is one row per remaining key and attribute, not one per play.
+    join is one row per remaining key and attribute, not one per play. ``hot_from`` has the key columns too and is
+    scanned for frequent keys instead of a fact that is costly to compute.
     """
     waiting = list(dims)
     counts = rows_per_key(fact, waiting) if len(waiting) == 1 else fact.select(*waiting)
@@ -76,7 +58,7 @@ def plays_by(fact: DataFrame, dims: Mapping[str, DataFrame], by: Sequence[str])
             counts = counts.join(attributes, key)
             total = F.sum("n")
         else:
-            counts = skew_join(counts, attributes, [(key, key)], "inner", right_unique=True)
+            counts = skew_join(counts, attributes, [(key, key)], "inner", right_unique=True, hot_from=hot_from)
             total = F.count(F.lit(1))
         found += wanted
         counts = counts.groupBy(*waiting, *found).agg(total.alias("n"))
