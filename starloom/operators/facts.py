@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.operators.skew import HOT_ROWS, skew_join
+from starloom.operators.skew import HOT_ROWS, fits_broadcast, hot_lists, skew_join
 from starloom.schemas import UNKNOWN_ARTIST_ID, UNKNOWN_SONG_ID
 
 FACT_COLUMNS = [
@@ -77,13 +77,16 @@ def resolve_loose(
 ) -> DataFrame:
     """Artist by name and song by title, each on its own: a title may meet another artist's song.
 
-    Every row carries the constant ``dummy`` 9999 in place of a key.
+    Every row carries the constant ``dummy`` 9999 in place of a key. ``hot_from`` (``artist``, ``song``) is scanned for the
+    frequent names of both joins at once, instead of ``plays``.
     """
     by_name = artists.select(F.col("name").alias("__name"), "artist_id")
     by_title = songs.select(F.col("title").alias("__title"), "song_id")
-    keys = plays if hot_from is None else hot_from
-    with_artist = skew_join(plays, by_name, [("artist", "__name")], "left", hot_from=keys, hot_rows=hot_rows)
-    with_both = skew_join(with_artist, by_title, [("song", "__title")], "left", hot_from=keys, hot_rows=hot_rows)
+    hot_artists = hot_songs = None
+    if not (fits_broadcast(by_name) and fits_broadcast(by_title)):
+        hot_artists, hot_songs = hot_lists(plays if hot_from is None else hot_from, [["artist"], ["song"]], hot_rows)
+    with_artist = skew_join(plays, by_name, [("artist", "__name")], "left", hot_rows=hot_rows, left_hot=hot_artists)
+    with_both = skew_join(with_artist, by_title, [("song", "__title")], "left", hot_rows=hot_rows, left_hot=hot_songs)
     return (
         with_both.withColumn("song_id", F.coalesce("song_id", "song"))
         .withColumn("artist_id", F.coalesce("artist_id", "artist"))

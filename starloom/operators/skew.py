@@ -46,20 +46,30 @@ def _n_pieces(rows: int, hot_rows: int) -> int:
     return min(-(-rows // hot_rows), MAX_PIECES)
 
 
-def hot_hashes(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> list[tuple[int, int]]:
-    """``(hash of the key, pieces)`` of keys with more than ``hot_rows`` rows, by a frequent-items sketch per task.
+def hot_lists(df: DataFrame, key_sets: Sequence[Sequence[str]], hot_rows: int = HOT_ROWS) -> list[list[tuple[int, int]]]:
+    """For each set of key columns ``(hash of the key, pieces)`` of keys with more than ``hot_rows`` rows.
 
-    No key is shuffled, only sketches of fixed size.
+    One scan of ``df`` with a frequent-items sketch per task and set. No key is shuffled, only sketches of fixed size.
     """
-    hashes = df.select(*[F.col(f"`{k}`") for k in keys]).dropna().select(_key_hash(keys).alias("item"))
+    entries = []
+    for i, keys in enumerate(key_sets):
+        known = reduce(Column.__and__, [F.col(f"`{k}`").isNotNull() for k in keys])
+        entries.append(F.struct(F.lit(i).alias("which"), F.when(known, _key_hash(keys)).alias("item")))
+    hashes = df.select(F.inline(F.array(*entries))).filter("item IS NOT NULL")
     group = F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("part")
-    sketches = hashes.groupBy(group).agg(F.expr(f"approx_top_k_accumulate(item, {SKETCH_ITEMS})").alias("sketch"))
-    # Merged by a key that is always 0: without a key, empty partitions would contribute sketches that cannot be merged.
-    merged = sketches.groupBy(F.pmod("part", F.lit(1))).agg(
-        F.expr(f"approx_top_k_combine(sketch, {SKETCH_ITEMS})").alias("sketch")
-    )
-    top = merged.select(F.expr(f"inline(approx_top_k_estimate(sketch, {MAX_HOT_KEYS}))"))
-    return [(r["item"], _n_pieces(r["count"], hot_rows)) for r in top.filter(F.col("count") > hot_rows).collect()]
+    sketches = hashes.groupBy("which", group).agg(F.expr(f"approx_top_k_accumulate(item, {SKETCH_ITEMS})").alias("sketch"))
+    # Merged by a key: without one, empty partitions would contribute sketches that cannot be merged.
+    merged = sketches.groupBy("which").agg(F.expr(f"approx_top_k_combine(sketch, {SKETCH_ITEMS})").alias("sketch"))
+    top = merged.select("which", F.expr(f"inline(approx_top_k_estimate(sketch, {MAX_HOT_KEYS}))"))
+    found: list[list[tuple[int, int]]] = [[] for _ in key_sets]
+    for r in top.filter(F.col("count") > hot_rows).collect():
+        found[r["which"]].append((r["item"], _n_pieces(r["count"], hot_rows)))
+    return found
+
+
+def hot_hashes(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> list[tuple[int, int]]:
+    """:func:`hot_lists` of one set of key columns."""
+    return hot_lists(df, [keys], hot_rows)[0]
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> list[tuple]:
@@ -92,12 +102,13 @@ def skew_join(
     right_unique: bool = False,
     hot_from: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
+    left_hot: list[tuple[int, int]] | None = None,
 ) -> DataFrame:
     """Join on pairs of column names; the result has all left columns and the right columns that are not keys.
 
     ``how`` is ``inner``, ``left`` or ``left_anti``. With ``right_unique`` no key of the right side is split.
     ``hot_from`` has the left key columns too and is scanned for frequent keys instead of ``left``, where ``left`` is
-    costly to compute.
+    costly to compute; ``left_hot`` is what :func:`hot_hashes` found already.
     """
     if how not in ("inner", "left", "left_anti"):
         raise ValueError(f"unsupported join: {how}")
@@ -116,7 +127,8 @@ def skew_join(
     spark = left.sparkSession
     right = right.dropna(subset=keys)
     left_columns, right_columns = left.columns, right.columns
-    left_hot = hot_hashes(left if hot_from is None else hot_from, left_keys, hot_rows)
+    if left_hot is None:
+        left_hot = hot_hashes(left if hot_from is None else hot_from, left_keys, hot_rows)
     right_hot = [] if right_unique else hot_keys(right, keys, hot_rows)
 
     # Pieces of the left side: column __l, and every right row once per piece of its key.
