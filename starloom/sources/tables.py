@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +14,8 @@ from starloom.schemas import DAY, MAX_TEXT, Table, star_tables
 
 VERSION = "version-"  # each table folder holds one folder per version of the table
 NEXT_ID = "starloom.next_id"
+REJECTS = "rejects"  # column of staged files that holds values without a place
+REJECTS_TABLE = "staging_rejects"
 
 
 def _column_list(schema: StructType) -> str:
@@ -49,7 +51,7 @@ def create_tables(
 
 def drop_tables(spark: SparkSession, database: str, tables: Mapping[str, Table] | None = None) -> None:
     """Drop all tables, referring tables first. The files of dropped tables stay for whoever keeps the storage."""
-    for name in reversed(list(tables or star_tables())):
+    for name in [REJECTS_TABLE, *reversed(list(tables or star_tables()))]:
         spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}`")
 
 
@@ -80,12 +82,6 @@ def lay_out(df: DataFrame, sort_by: Sequence[str], n_partitions: int | None = No
     return ranged.sortWithinPartitions(*sort_by)
 
 
-def write_table(df: DataFrame, path: str, sort_by: Sequence[str], n_partitions: int | None = None) -> DataFrame:
-    """Write a new folder in sorted layout and return a frame that reads it."""
-    lay_out(df, sort_by, n_partitions).write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def append(df: DataFrame, database: str, name: str) -> None:
     """Add rows; columns are matched by name. Text beyond the declared length fails the write.
 
@@ -129,14 +125,34 @@ def _drop_versions(spark: SparkSession, table_folder: str, keep: set[str]) -> No
             files.delete(status.getPath(), True)
 
 
+def append_rejects(found: DataFrame, database: str, name: str, batch: str) -> None:
+    """Add rejected values (``column_name``, ``raw_value``, ``reason``) of a table to the rejects table, made if missing."""
+    spark = found.sparkSession
+    folder = _folder(spark, database, name).rsplit("/", 2)[0]
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS `{database}`.`{REJECTS_TABLE}` (table_name STRING, column_name STRING, raw_value STRING, "
+        f"reason STRING, batch STRING) USING parquet PARTITIONED BY (batch) LOCATION '{_quoted(f'{folder}/{REJECTS_TABLE}')}'"
+    )
+    rows = found.select(F.lit(name).alias("table_name"), "column_name", "raw_value", "reason", F.lit(batch).alias("batch"))
+    rows.write.insertInto(f"`{database}`.`{REJECTS_TABLE}`", overwrite=False)
+
+
 def replace(
-    df: DataFrame, database: str, name: str, keep_previous: bool = True, check_text: bool = True
+    df: DataFrame,
+    database: str,
+    name: str,
+    keep_previous: bool = True,
+    check_text: bool = True,
+    hidden: Sequence[str] = (),
+    before_switch: Callable[[str], None] | None = None,
 ) -> None:
     """Write ``df`` to a new folder, then point the table at it; ``df`` may read the table.
 
     The switch is one catalog call: readers see the old or the new rows, and a failed write changes nothing. The
     previous version stays until the next replacement for queries that still read it, unless told otherwise.
-    ``check_text=False`` is for rows whose text lengths have been checked already.
+    ``check_text=False`` is for rows whose text lengths have been checked already. ``hidden`` columns of ``df`` are written
+    to the files too, where the table does not show them; ``before_switch`` is called with the new folder, and if it
+    fails the folder goes and the table stays.
     """
     spark = df.sparkSession
     if star_tables()[name].day_of:
@@ -146,9 +162,15 @@ def replace(
     table_folder, old_version = old.rsplit("/", 1)
     new_version = VERSION + uuid.uuid4().hex
     new = f"{table_folder}/{new_version}"
-    columns = spark.table(full_name).columns
+    columns = [*spark.table(full_name).columns, *hidden]
     rows = _checked(df, columns) if check_text else df.select(*columns)
     rows.write.mode("errorifexists").parquet(new)
+    if before_switch is not None:
+        try:
+            before_switch(new)
+        except Exception:
+            _drop_versions(spark, table_folder, {old_version})
+            raise
     spark.sql(f"ALTER TABLE {full_name} SET LOCATION '{_quoted(new)}'")
     spark.catalog.refreshTable(full_name)
     _drop_versions(spark, table_folder, {new_version} | ({old_version} if keep_previous else set()))
