@@ -56,14 +56,18 @@ def song_title() -> Column:
     return F.concat("p_name", F.lit(" "), F.floor(F.col("p_partkey") / TITLE_BLOCK).cast("string"))
 
 
+def song_names(tables: Tables) -> DataFrame:
+    """Artist and song that an event can name, by ``event_id``."""
+    song = F.when(F.col("p_size") > CATALOGUED_SIZE, F.concat(song_title(), F.lit(" (live)"))).otherwise(song_title())
+    return tables["part"].select(F.col("p_partkey").alias("event_id"), F.col("p_type").alias("artist"), song.alias("song"))
+
+
 def with_song_names(events: DataFrame, tables: Tables) -> DataFrame:
     """Adds ``artist`` and ``song``; about one event in five has them. Both keys are unique, so no key is frequent.
 
     Large parts stand for recordings the catalogue does not have.
     """
-    song = F.when(F.col("p_size") > CATALOGUED_SIZE, F.concat(song_title(), F.lit(" (live)"))).otherwise(song_title())
-    parts = tables["part"].select(F.col("p_partkey").alias("event_id"), F.col("p_type").alias("artist"), song.alias("song"))
-    return events.join(parts, "event_id", "left")
+    return events.join(song_names(tables), "event_id", "left")
 
 
 def with_people(events: DataFrame, tables: Tables) -> DataFrame:
@@ -82,6 +86,78 @@ def stage_events(tables: Tables) -> DataFrame:
     return with_people(with_song_names(event_log(tables), tables), tables)
 
 
+# Where the columns of an event stand in its JSON text.
+EVENT_DOCUMENT = {
+    "level": "$.level",
+    "length": "$['length']",
+    "location": "$['place']['name']",
+    "page": "$['page']",
+    "sessionid": "$['session'][1]",
+    "ts": "$['session'][0]",
+    "useragent": "$.agent",
+    "userid": "$.user.ids[0].id",
+}
+SONG_DOCUMENT = {
+    "num_songs": "$.num_songs",
+    "artist_id": "$.artist.id",
+    "artist_latitude": "$.artist.place[0]",
+    "artist_longitude": "$.artist.place[1]",
+    "artist_location": "$.artist.location",
+    "artist_name": "$.artist.name",
+    "song_id": "$.song_id",
+    "title": "$.title",
+    "duration": "$.duration",
+    "year": "$.year",
+}
+BROKEN_PAGE = "signup"  # documents of this page are cut off
+BROKEN_SIZE = 50  # so are those of parts of this size
+
+
+def event_documents(tables: Tables) -> DataFrame:
+    """``event_id`` and the event as a JSON text with objects and arrays inside; some texts lack their end."""
+    whole = F.to_json(
+        F.struct(
+            "level",
+            "length",
+            F.struct(F.col("location").alias("name")).alias("place"),
+            "page",
+            F.array("ts", F.col("sessionid").cast("bigint")).alias("session"),
+            F.col("useragent").alias("agent"),
+            F.struct(F.array(F.struct(F.col("userid").alias("id"))).alias("ids")).alias("user"),
+        )
+    )
+    document = F.when(F.col("page") == BROKEN_PAGE, F.substr(whole, F.lit(1), F.length(whole) - 1)).otherwise(whole)
+    return event_log(tables).select("event_id", document.alias("document"))
+
+
+def song_documents(tables: Tables) -> DataFrame:
+    """``p_partkey`` and the catalogue row as a JSON text; some texts lack their end."""
+    c = F.col
+    artist = F.struct(
+        c("artist_id").alias("id"), F.array(c("artist_latitude"), c("artist_longitude")).alias("place"),
+        c("artist_location").alias("location"), c("artist_name").alias("name"),
+    )
+    rows = stage_songs(tables).withColumn("p_partkey", F.expr("substr(song_id, 3)").cast("bigint"))
+    whole = F.to_json(F.struct("num_songs", artist.alias("artist"), "song_id", "title", "duration", "year"))
+    document = F.when(c("year") == BROKEN_SIZE, F.substr(whole, F.lit(1), F.length(whole) - 1)).otherwise(whole)
+    return rows.select("p_partkey", document.alias("document"))
+
+
+def event_text(tables: Tables) -> DataFrame:
+    """``event_id`` and text columns of events, some of which do not fit: counts with a unit, ids that are names, agents
+    that go on and on."""
+    user, length = F.col("userid").cast("string"), F.col("length").cast("string")
+    return event_log(tables).select(
+        "event_id",
+        "level",
+        F.when(F.col("page") == "click", F.concat(length, F.lit(" s"))).otherwise(length).alias("length"),
+        "page",
+        F.when(F.col("page") == "signup", F.lit(" ")).otherwise(F.col("sessionid").cast("string")).alias("sessionid"),
+        F.when(F.col("page") == "purchase", F.concat(F.lit("u"), user)).otherwise(user).alias("userid"),
+        F.when(F.col("page") == "error", F.repeat(F.coalesce("useragent", F.lit("?")), F.lit(200))).otherwise(F.col("useragent")).alias("useragent"),
+    )
+
+
 def stage_songs(tables: Tables) -> DataFrame:
     """The parts as a catalogue; a few rows share an artist name and title."""
     key = F.col("p_partkey").cast("string")

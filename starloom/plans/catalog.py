@@ -7,15 +7,18 @@ from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from starloom.functions.calendar import epoch_ms_to_timestamp
+from starloom.functions.conversion import convert
 from starloom.functions.labels import decode
 from starloom.operators import dimensions as d
-from starloom.operators import facts, filters, incremental, quality, star
+from starloom.operators import facts, filters, incremental, quality, references, star
 from starloom.operators.surrogate_keys import assign_ids
-from starloom.operators.upsert import changed_members, update_users
+from starloom.operators.upsert import changed_members, update_users, users_with_updates
 from starloom.plans import analogs as a
-from starloom.schemas import PLAY_KEY, UNKNOWN_ARTIST, UNKNOWN_SONG, USERS, star_tables
+from starloom.schemas import PLAY_KEY, STAGING_EVENTS, UNKNOWN_ARTIST, UNKNOWN_SONG, USERS, staging_songs, star_tables
+from starloom.sources import json_files as j
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -71,6 +74,17 @@ class Star:
     def current_users(self) -> DataFrame:
         return update_users(self.users, self.people, EVENT_ORDER)
 
+    @cached_property
+    def reported_users(self) -> DataFrame:
+        return users_with_updates(self.people, EVENT_ORDER, a.PLAY)
+
+    @cached_property
+    def play_keys(self) -> DataFrame:
+        """What plays refer to, from the events alone; scanned for frequent keys instead of the fact."""
+        return filters.plays_only(self.log, a.PLAY).select(
+            epoch_ms_to_timestamp(F.col("ts")).alias("start_time"), F.col("userid").alias("user_id"), "event_id"
+        )
+
     @cached_property
     def songs(self) -> DataFrame:
         return incremental.ensure_member(d.songs_from(self.catalogue), UNKNOWN_SONG, "song_id")
@@ -92,6 +106,33 @@ class Star:
             "artists": (self.artists, "artist_id"),
         }
 
+    def members(self, catalogue: DataFrame | None = None, plays: str | None = None, users: str | None = None) -> dict[str, tuple[DataFrame, str]]:
+        """Keys of the four dimensions alone, each from one scan: of all rows, or of what an earlier load had seen."""
+        songs = self.catalogue if catalogue is None else catalogue
+
+        def events(before: str | None) -> DataFrame:
+            return filters.plays_only(self.log if before is None else _before(self.log, before), a.PLAY)
+
+        def with_unknown(key: str, unknown: dict) -> DataFrame:
+            one = songs.sparkSession.range(1).select(F.lit(unknown[key]).alias(key))
+            return songs.select(key).dropna().union(one).distinct()
+
+        return {
+            "time": (d.start_times(events(plays)), "start_time"),
+            "users": (events(users).select(F.col("userid").alias("user_id")).dropna().distinct(), "user_id"),
+            "songs": (with_unknown("song_id", UNKNOWN_SONG), "song_id"),
+            "artists": (with_unknown("artist_id", UNKNOWN_ARTIST), "artist_id"),
+        }
+
+    @cached_property
+    def children(self) -> dict[str, DataFrame]:
+        """The tables that refer to others."""
+        unknown = {"song_id": UNKNOWN_SONG["song_id"], "artist_id": UNKNOWN_SONG["artist_id"]}
+        one = self.catalogue.sparkSession.range(1).select(*[F.lit(v).alias(k) for k, v in unknown.items()])
+        # The least artist of a song has a text buffer, so equal pairs are counted first.
+        pairs = self.catalogue.select(*unknown).dropna(subset=["song_id"]).union(one)
+        return {"songplays": self.fact, "songs": incremental.first_version(pairs, "song_id", {"artist_id": "artist_id"})}
+
 
 def _before(events: DataFrame, instant: str) -> DataFrame:
     return events.filter(epoch_ms_to_timestamp(F.col("ts")) < F.expr(f"timestamp_ntz'{instant}'"))
@@ -110,6 +151,47 @@ def stage_songs(spark, sf_dir):
     return Star(spark, sf_dir).catalogue
 
 
+def _fields(*names: str) -> StructType:
+    """Declared columns of staged events, by their names in lower case."""
+    known = {f.name.lower(): f.dataType for f in STAGING_EVENTS.fields}
+    return StructType([StructField(n, known[n]) for n in names])
+
+
+@registered
+def stage_events_json(spark, sf_dir):
+    """Events from JSON texts by path, through objects and arrays; a broken text gives NULLs and a mark."""
+    schema = _fields(*a.EVENT_DOCUMENT)
+    text = j.parse_text_columns(a.event_documents(a.Tables(spark, sf_dir)), "document", a.EVENT_DOCUMENT, ["event_id"])
+    columns = [convert(F.col(f.name), f.dataType).alias(f.name) for f in schema.fields]
+    return text.select("event_id", *columns, F.col(j.CORRUPT).isNotNull().alias("broken"))
+
+
+@registered
+def stage_songs_json(spark, sf_dir):
+    """The catalogue from JSON texts by path."""
+    text = j.parse_text_columns(a.song_documents(a.Tables(spark, sf_dir)), "document", a.SONG_DOCUMENT, ["p_partkey"])
+    columns = [convert(F.col(f.name), f.dataType).alias(f.name) for f in staging_songs().fields]
+    return text.select("p_partkey", *columns, F.col(j.CORRUPT).isNotNull().alias("broken"))
+
+
+def _with_rejects(spark, sf_dir) -> DataFrame:
+    text = a.event_text(a.Tables(spark, sf_dir))
+    return j.with_rejects(text, _fields(*[c for c in text.columns if c != "event_id"]), keep=["event_id"])
+
+
+@registered
+def load_accepted(spark, sf_dir):
+    """Typed events, NULL where a value does not fit, and how many values that are."""
+    rows = _with_rejects(spark, sf_dir)
+    return rows.select(*[c for c in rows.columns if c != "rejects"], F.size("rejects").alias("n_rejected"))
+
+
+@registered
+def load_rejects(spark, sf_dir):
+    """The values that do not fit, whole, with their column and the reason."""
+    return j.rejected_values(_with_rejects(spark, sf_dir), keep=["event_id"])
+
+
 @registered
 def plays_only(spark, sf_dir):
     return filters.plays_only(Star(spark, sf_dir).events, a.PLAY)
@@ -226,13 +308,14 @@ def songplays_fallback(spark, sf_dir):
 
 @registered
 def songplays_keyed(spark, sf_dir):
-    return assign_ids(Star(spark, sf_dir).fact, ["event_id", "song_id"])
+    s = Star(spark, sf_dir)
+    return assign_ids(s.fact, ["event_id", "song_id"], cuts_from=s.play_keys.select("event_id"))
 
 
 @registered
 def loose_preview(spark, sf_dir):
     s = Star(spark, sf_dir)
-    return facts.resolve_loose(s.plays, s.artists, s.songs, ["event_id"])
+    return facts.resolve_loose(s.plays, s.artists, s.songs, ["event_id"], hot_from=a.song_names(s.tables))
 
 
 @registered
@@ -260,16 +343,25 @@ def preview_songplays(spark, sf_dir):
 
 @registered
 def count_tables(spark, sf_dir):
+    """Rows of the seven tables. The lookups that staged events carry are unique, so the events are counted before them;
+    a dimension has as many rows as keys."""
     s = Star(spark, sf_dir)
     frames = {
-        "staging_events": s.events,
+        "staging_events": s.log,
         "staging_songs": s.catalogue,
         "songplays": s.fact,
-        **{name: dim for name, (dim, _) in s.dims.items()},
+        **{name: keys for name, (keys, _) in s.members().items()},
     }
     return star.count_tables(frames)
 
 
+@registered
+def count_joins(spark, sf_dir):
+    """The four joins of the fact with its dimensions, counted in one pass over the fact."""
+    s = Star(spark, sf_dir)
+    return references.joined_counts(s.fact, s.members()).select("dimension", F.col("joined_rows").alias("n"))
+
+
 @registered
 def count_fact_time(spark, sf_dir):
     s = Star(spark, sf_dir)
@@ -303,15 +395,15 @@ def plays_by_week(spark, sf_dir):
 @registered
 def plays_by_week_level(spark, sf_dir):
     s = Star(spark, sf_dir)
-    dims = {"start_time": s.time, "user_id": s.current_users}
-    return star.plays_by(s.fact, dims, ["year", "month", "week", "level"])
+    dims = {"start_time": s.time, "user_id": s.reported_users}
+    return star.plays_by(s.fact, dims, ["year", "month", "week", "level"], hot_from=s.play_keys)
 
 
 @registered
 def plays_by_week_gender(spark, sf_dir):
     s = Star(spark, sf_dir)
-    dims = {"start_time": s.time, "user_id": s.current_users}
-    return star.plays_by(s.fact, dims, ["year", "month", "week", "gender"])
+    dims = {"start_time": s.time, "user_id": s.reported_users}
+    return star.plays_by(s.fact, dims, ["year", "month", "week", "gender"], hot_from=s.play_keys)
 
 
 @registered
@@ -372,4 +464,27 @@ def dq_orphans(spark, sf_dir):
 @registered
 def completeness(spark, sf_dir):
     s = Star(spark, sf_dir)
-    return quality.completeness(s.fact, s.dims)
+    return quality.completeness(s.fact, s.members())
+
+
+@registered
+def dq_foreign_keys(spark, sf_dir):
+    """The five declared references, checked over the whole tables."""
+    s = Star(spark, sf_dir)
+    return references.foreign_keys(s.children, s.members(), references.declared(star_tables()))
+
+
+@registered
+def dq_orphan_keys(spark, sf_dir):
+    """Keys that the dimensions of an earlier load do not have yet."""
+    s = Star(spark, sf_dir)
+    older = s.members(s.catalogue.filter(F.col("year") <= a.LOADED_SONGS_UNTIL), a.LOADED_PLAYS_BEFORE, a.LOADED_USERS_BEFORE)
+    return references.orphan_keys(s.children, older, references.declared(star_tables()))
+
+
+@registered
+def dq_primary_keys(spark, sf_dir):
+    """The five declared primary keys, checked over the whole tables."""
+    s = Star(spark, sf_dir)
+    keyed = assign_ids(s.fact, ["event_id", "song_id"], cuts_from=s.play_keys.select("event_id"))
+    return references.primary_keys({**s.dims, "songplays": (keyed, "songplay_id")})

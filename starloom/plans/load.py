@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -18,10 +19,10 @@ from starloom.operators.incremental import absent_members, missing_member, new_k
 from starloom.operators.star import count_tables
 from starloom.operators.surrogate_keys import assign_ids
 from starloom.operators.upsert import update_users
-from starloom.schemas import MAX_TEXT, PLAY_KEY, PLAY_PAGE, UNKNOWN_ARTIST, UNKNOWN_SONG, star_tables
-from starloom.session import discard, work_folder
+from starloom.schemas import PLAY_KEY, PLAY_PAGE, UNKNOWN_ARTIST, UNKNOWN_SONG, star_tables
+from starloom.session import discard, materialize, work_folder
 from starloom.sources import json_files as j
-from starloom.sources.tables import append, lay_out, load, load_between, replace, reserve_ids
+from starloom.sources.tables import REJECTS, append, append_rejects, lay_out, load, load_between, replace, reserve_ids
 
 # Last event of a user: by time, then by position in the session.
 EVENT_ORDER = ("ts", "sessionid", "iteminsession")
@@ -43,6 +44,7 @@ class LoadResult:
     after: list[Row] = field(default_factory=list)
     rejected: dict[str, int] = field(default_factory=dict)
     seconds: float = 0.0
+    batch: str = field(default_factory=lambda: uuid.uuid4().hex)
 
 
 def _strict(text: DataFrame, schema: StructType) -> DataFrame:
@@ -56,17 +58,6 @@ def _strict(text: DataFrame, schema: StructType) -> DataFrame:
     return text.select(*columns)
 
 
-def _lenient(text: DataFrame, schema: StructType, seen: Observation) -> DataFrame:
-    """Typed columns; values that do not fit become NULL and are counted while the rows are written."""
-    counted = j.with_reject_count(text, schema)
-    typed = counted.observe(seen, F.coalesce(F.sum("n_rejected"), F.lit(0)).alias("n_rejected")).drop("n_rejected")
-    cut = [
-        F.when(F.char_length(c) <= MAX_TEXT, F.col(c)).alias(c) if kind == "string" else F.col(c)
-        for c, kind in typed.dtypes
-    ]
-    return typed.select(*cut)
-
-
 def stage(
     spark: SparkSession,
     database: str,
@@ -74,18 +65,48 @@ def stage(
     text: DataFrame,
     mode: str = "overwrite",
     on_reject: str = "fail",
+    max_rejects: int | None = None,
+    batch: str = "",
 ) -> int:
-    """Load one staging table from text columns. Returns the number of rejected values (0 unless ``on_reject='null'``)."""
+    """Load one staging table from text columns. Returns the number of rejected values (0 unless ``on_reject='null'``).
+
+    With ``on_reject='null'`` the rows are read and written once: values that do not fit are NULL, and stand next to them
+    in a column of the files that the table does not show. From there they go to the rejects table, whole and with their
+    batch. More than ``max_rejects`` of them fail the load, and neither table changes.
+    """
     if mode not in ("overwrite", "append") or on_reject not in ("fail", "null"):
         raise ValueError(f"mode={mode!r}, on_reject={on_reject!r}")
     schema = load(spark, database, name).schema
+    if on_reject == "fail":
+        rows = _strict(text, schema)
+        if mode == "append":
+            append(rows, database, name)
+        else:
+            replace(rows, database, name, keep_previous=False, check_text=False)
+        return 0
+
     seen = Observation()
-    rows = _strict(text, schema) if on_reject == "fail" else _lenient(text, schema, seen)
-    if mode == "append":
-        append(rows, database, name)
+    rows = j.with_rejects(text, schema).observe(seen, F.coalesce(F.sum(F.size(REJECTS)), F.lit(0)).alias("n_rejected"))
+
+    def store_rejects(folder: str) -> None:
+        found = seen.get["n_rejected"]
+        if max_rejects is not None and found > max_rejects:
+            raise ValueError(f"{found} values of {name} do not fit, more than {max_rejects}")
+        if found:
+            written = spark.read.schema(f"{REJECTS} array<{j.REJECT}>").parquet(folder)
+            append_rejects(j.rejected_values(written), database, name, batch)
+
+    if mode == "overwrite":
+        replace(rows, database, name, keep_previous=False, check_text=False, hidden=[REJECTS], before_switch=store_rejects)
     else:
-        replace(rows, database, name, keep_previous=False, check_text=False)
-    return seen.get["n_rejected"] if on_reject == "null" else 0
+        work = work_folder(spark)
+        try:
+            rows = materialize(rows, work)
+            store_rejects(work)
+            append(rows, database, name)
+        finally:
+            discard(spark, work)
+    return seen.get["n_rejected"]
 
 
 def _nulls(rows: DataFrame, name: str, columns: Sequence[str], on_reject: str) -> dict[str, int]:
@@ -161,12 +182,13 @@ def load_fact(
 
     work = work_folder(spark)
     try:
+        # The batch is written once: ids are reserved for its rows before any is stored, so they must not change.
+        rows = materialize(rows, work)
         keyed = assign_ids(
             rows,
             FACT_ORDER,
             start=lambda n: reserve_ids(spark, database, "songplays", "songplay_id", n),
             n_partitions=n_partitions,
-            work_path=work,
         )
         append(keyed, database, "songplays")
     finally:
@@ -187,9 +209,18 @@ def run_load(
     on_reject: str = "fail",
     page: str = PLAY_PAGE,
     n_partitions: int | None = None,
+    event_paths_file: str | None = None,
+    max_rejects: int | None = None,
 ) -> LoadResult:
-    """Stage, build and count. Each step commits on its own; after a failure the same call completes the load."""
+    """Stage, build and count. Each step commits on its own; after a failure the same call completes the load.
+
+    The columns of events come from ``event_mapping`` (column -> JSON path), or from the paths of ``event_paths_file`` one
+    by one, or from the fields of the same names. ``max_rejects`` limits the values of each staging table that
+    ``on_reject='null'`` may set aside in the rejects table, under ``LoadResult.batch``.
+    """
     result, began = LoadResult(), time.perf_counter()
+    if event_mapping and event_paths_file:
+        raise ValueError("give event_mapping or event_paths_file, not both")
 
     def count(tag: str) -> list[Row]:
         frames = {name: load(spark, database, name) for name in star_tables()}
@@ -200,13 +231,16 @@ def run_load(
     if not skip_staging:
         events_schema = load(spark, database, "staging_events").schema
         songs_schema = load(spark, database, "staging_songs").schema
-        events_mapping = event_mapping or j.by_position([f"$['{n}']" for n in events_schema.names], events_schema)
+        if event_paths_file:
+            events_mapping = j.by_position(j.read_paths_file(spark, event_paths_file), events_schema)
+        else:
+            events_mapping = event_mapping or j.by_name(events_schema)
         sources = {
             "staging_events": j.read_text_columns(spark, events_prefix, events_mapping),
             "staging_songs": j.read_text_columns(spark, songs_prefix, j.by_name(songs_schema)),
         }
         for name, text in sources.items():
-            result.rejected[name] = stage(spark, database, name, text, staging_mode, on_reject)
+            result.rejected[name] = stage(spark, database, name, text, staging_mode, on_reject, max_rejects, result.batch)
     if not skip_dwh:
         result.rejected |= load_dimensions(spark, database, page, on_reject=on_reject)
         result.rejected |= load_fact(spark, database, page, n_partitions, on_reject)

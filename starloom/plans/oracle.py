@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from starloom.plans.analogs import (
+    BROKEN_PAGE,
+    BROKEN_SIZE,
     CATALOGUED_SIZE,
     LOADED_PLAYS_BEFORE,
     LOADED_SONGS_UNTIL,
@@ -108,6 +110,10 @@ _VIEWS: dict[str, tuple[list[str], str]] = {
         UNION ALL SELECT '***UNKNOWN_ARTIST***', '*** Unknown Artist ***', NULL, NULL, NULL
         """,
     ),
+    "keyed": (
+        ["fact"],
+        "SELECT row_number() OVER (ORDER BY event_id, song_id) - 1 AS songplay_id, * FROM fact",
+    ),
     "time_rows": (
         ["plays"],
         """
@@ -165,9 +171,16 @@ def _loose() -> str:
     )
 
 
+_DIM_VIEWS = {
+    "time": ("time_rows", "start_time"),
+    "users": ("users", "user_id"),
+    "songs": ("songs", "song_id"),
+    "artists": ("artists", "artist_id"),
+}
+
+
 def _completeness() -> str:
-    dims = {"time": ("time_rows", "start_time"), "users": ("users", "user_id")}
-    dims |= {"songs": ("songs", "song_id"), "artists": ("artists", "artist_id")}
+    dims = _DIM_VIEWS
     parts = [
         f"""SELECT '{name}' AS dimension, (SELECT count(*) FROM fact) AS fact_rows,
                    (SELECT count(*) FROM fact x JOIN {view} d ON d.{key} = x.{key}) AS joined_rows"""
@@ -179,6 +192,91 @@ def _completeness() -> str:
     )
 
 
+def _count_joins() -> str:
+    parts = [
+        f"SELECT '{name}' AS dimension, (SELECT count(*) FROM fact x JOIN {view} d ON d.{key} = x.{key}) AS n"
+        for name, (view, key) in _DIM_VIEWS.items()
+    ]
+    return _with(" UNION ALL ".join(parts), "fact", *[v for v, _ in _DIM_VIEWS.values()])
+
+
+def _references() -> list[tuple[str, str, str, str]]:
+    """Referring table, its view, column and referenced table of every declared reference."""
+    return [
+        (t.name, {"songplays": "fact"}.get(t.name, t.name), column, parent)
+        for t in star_tables().values()
+        for column, parent in t.references.items()
+    ]
+
+
+def _foreign_keys() -> str:
+    parts = []
+    for table, view, column, parent in _references():
+        dim, key = _DIM_VIEWS[parent]
+        orphan = f"x.{column} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {dim} d WHERE d.{key} = x.{column})"
+        parts.append(
+            f"""SELECT '{table}' AS table_name, '{column}' AS column_name, '{parent}' AS parent_name,
+                       count({column}) AS n_rows, count(DISTINCT {column}) AS n_keys, count(*) - count({column}) AS n_nulls,
+                       (SELECT count(*) FROM {view} x WHERE {orphan}) AS orphan_rows,
+                       (SELECT count(DISTINCT {column}) FROM {view} x WHERE {orphan}) AS orphan_keys
+                  FROM {view}"""
+        )
+    return _with(" UNION ALL ".join(parts), "fact", *[v for v, _ in _DIM_VIEWS.values()])
+
+
+def _orphan_keys() -> str:
+    known = {
+        "time": f"SELECT start_time AS k FROM plays WHERE start_time < TIMESTAMP '{LOADED_PLAYS_BEFORE}'",
+        "users": f"SELECT userid AS k FROM plays WHERE start_time < TIMESTAMP '{LOADED_USERS_BEFORE}'",
+        "songs": f"SELECT song_id AS k FROM stg_songs WHERE year <= {LOADED_SONGS_UNTIL} UNION ALL SELECT '***UNKNOWN_SONG***'",
+        "artists": f"SELECT artist_id AS k FROM stg_songs WHERE year <= {LOADED_SONGS_UNTIL} UNION ALL SELECT '***UNKNOWN_ARTIST***'",
+    }
+    parts = [
+        f"""SELECT '{table}' AS table_name, '{column}' AS column_name, CAST({column} AS VARCHAR) AS key, count(*) AS n
+              FROM {view} x WHERE NOT EXISTS (SELECT 1 FROM ({known[parent]}) o WHERE o.k = x.{column}) GROUP BY {column}"""
+        for table, view, column, parent in _references()
+    ]
+    return _with(" UNION ALL ".join(parts), "fact", "songs", "stg_songs", "plays")
+
+
+def _primary_keys() -> str:
+    parts = [
+        f"""SELECT '{name}' AS table_name, '{key}' AS column_name, count(*) AS n_rows, count(*) - count({key}) AS n_nulls,
+                   count(DISTINCT {key}) AS n_keys,
+                   (SELECT count(*) FROM (SELECT {key} FROM {view} WHERE {key} IS NOT NULL GROUP BY {key} HAVING count(*) > 1)) AS n_duplicated
+              FROM {view}"""
+        for name, (view, key) in {**_DIM_VIEWS, "songplays": ("keyed", "songplay_id")}.items()
+    ]
+    return _with(" UNION ALL ".join(parts), "keyed", *[v for v, _ in _DIM_VIEWS.values()])
+
+
+def _event_documents() -> str:
+    columns = ["level", "length", "location", "page", "sessionid", "ts", "useragent", "userid"]
+    listed = ", ".join(f"CASE WHEN page <> '{BROKEN_PAGE}' THEN {c} END AS {c}" for c in columns)
+    return _with(f"SELECT event_id, {listed}, page = '{BROKEN_PAGE}' AS broken FROM stg_events", "stg_events")
+
+
+def _song_documents() -> str:
+    columns = star_tables()["staging_songs"].schema.names
+    listed = ", ".join(f"CASE WHEN year <> {BROKEN_SIZE} THEN {c} END AS {c}" for c in columns)
+    return _with(f"SELECT CAST(substr(song_id, 3) AS BIGINT) AS p_partkey, {listed}, year = {BROKEN_SIZE} AS broken FROM stg_songs", "stg_songs")
+
+
+_ACCEPTED = """
+    SELECT event_id, level, CASE WHEN page <> 'click' THEN length END AS length, page,
+           CASE WHEN page <> 'signup' THEN sessionid END AS sessionid, CASE WHEN page <> 'purchase' THEN userid END AS userid,
+           CASE WHEN page <> 'error' THEN useragent END AS useragent,
+           CAST(CASE WHEN page IN ('click', 'purchase', 'error') THEN 1 ELSE 0 END AS INTEGER) AS n_rejected
+      FROM stg_events
+"""
+_REJECTS = """
+    SELECT event_id, 'length' AS column_name, CAST(length AS VARCHAR) || ' s' AS raw_value, 'not a decimal(18,0)' AS reason
+      FROM stg_events WHERE page = 'click'
+    UNION ALL SELECT event_id, 'userid', 'u' || CAST(userid AS VARCHAR), 'not a int' FROM stg_events WHERE page = 'purchase'
+    UNION ALL SELECT event_id, 'useragent', repeat(useragent, 200), 'too long' FROM stg_events WHERE page = 'error'
+"""
+
+
 def _count_tables() -> str:
     tables = {
         "staging_events": "stg_events",
@@ -278,9 +376,7 @@ ORACLE: dict[str, str] = {
         "plays",
         "stg_songs",
     ),
-    "songplays_keyed": _with(
-        "SELECT row_number() OVER (ORDER BY event_id, song_id) - 1 AS songplay_id, * FROM fact", "fact"
-    ),
+    "songplays_keyed": _with("SELECT * FROM keyed", "keyed"),
     "loose_preview": _loose(),
     "like_song": _with("SELECT * FROM fact WHERE song_id LIKE 'SO%'", "fact"),
     "like_artist": _with("SELECT * FROM fact WHERE artist_id LIKE 'AR%'", "fact"),
@@ -320,4 +416,12 @@ ORACLE: dict[str, str] = {
         "stg_songs",
     ),
     "completeness": _completeness(),
+    "count_joins": _count_joins(),
+    "dq_foreign_keys": _foreign_keys(),
+    "dq_orphan_keys": _orphan_keys(),
+    "dq_primary_keys": _primary_keys(),
+    "stage_events_json": _event_documents(),
+    "stage_songs_json": _song_documents(),
+    "load_accepted": _with(_ACCEPTED, "stg_events"),
+    "load_rejects": _with(_REJECTS, "stg_events"),
 }

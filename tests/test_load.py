@@ -188,14 +188,37 @@ def test_value_that_does_not_fit_fails_before_anything_is_stored(wh):
     assert wh.table("staging_events").count() == 5
 
 
-def test_values_that_do_not_fit_may_become_null(wh):
+@pytest.mark.parametrize("mode", ["overwrite", "append"])
+def test_values_that_do_not_fit_are_set_aside(wh, spark, mode):
     wh.events("bad", {"userId": "x", "artist": "z" * 300}, {"userId": 5})
     wh.songs("1", {})
-    result = wh.run(on_reject="null")
+    with pytest.raises(ValueError, match="2 values of staging_events do not fit, more than 1"):
+        wh.run(on_reject="null", staging_mode=mode, max_rejects=1)
+    assert wh.table("staging_events").count() == 0
+    result = wh.run(on_reject="null", staging_mode=mode, max_rejects=2)
     assert {n: result.rejected[n] for n in ("staging_events", "staging_songs")} == {"staging_events": 2, "staging_songs": 0}
     assert rows(wh.table("staging_events").select("userId", "artist")) == [(None, None), (5, "A")]
+    assert wh.table("staging_events").columns == star_tables()["staging_events"].schema.names
+    kept = rows(wh.table("staging_rejects").select("table_name", "column_name", "raw_value", "reason", "batch"))
+    assert kept == [
+        ("staging_events", "artist", "z" * 300, "too long", result.batch),
+        ("staging_events", "userId", "x", "not a int", result.batch),
+    ]
     assert wh.table("songplays").count() == 1
 
 
+def test_event_columns_may_come_from_a_paths_file(wh, spark):
+    names = star_tables()["staging_events"].schema.names
+    paths = [f"$['{n}']" for n in names]
+    paths[names.index("userId")] = "$['user']['ids'][0]"
+    write_json(wh.folder, "paths.json", {"jsonpaths": paths})
+    wh.events("a", {"userId": None, "user": {"ids": [8, 9]}})
+    wh.songs("1", {})
+    wh.run(event_paths_file=str(wh.folder / "paths.json"), skip_count=True)
+    assert rows(wh.table("users").select("user_id")) == [(8,)]
+    with pytest.raises(ValueError, match="not both"):
+        wh.run(event_paths_file="x", event_mapping={"a": "$.a"})
+
+
 def test_fact_key_is_known_by_name():
     assert set(PLAY_KEY) <= set(star_tables()["songplays"].schema.names)

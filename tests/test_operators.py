@@ -7,12 +7,12 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from starloom.operators import dimensions as d
-from starloom.operators import facts, filters, incremental, quality, star
-from starloom.operators.layout import layout_report
+from starloom.operators import facts, filters, incremental, quality, references, star
 from starloom.operators.surrogate_keys import assign_ids
-from starloom.operators.upsert import changed_members, upsert_latest
+from starloom.operators.references import Reference
+from starloom.operators.upsert import changed_members, packed_order, update_users, upsert_latest, users_with_updates
 from starloom.schemas import UNKNOWN_ARTIST, UNKNOWN_ARTIST_ID, UNKNOWN_SONG, UNKNOWN_SONG_ID
-from starloom.sources.tables import lay_out, write_table
+from starloom.sources.tables import lay_out
 from tests.conftest import rows
 
 
@@ -77,10 +77,10 @@ def test_least_values_are_taken_column_by_column(spark):
     assert rows(incremental.first_version(df, "k", {"p": "p", "q": "q"})) == [(1, "a", "x"), (2, "a", "z")]
 
 
-def test_existing_members_keep_their_values(spark):
+def test_only_absent_members_are_new(spark):
     dim = spark.createDataFrame([(1, "old")], "k int, v string")
     source = spark.createDataFrame([(1, "new"), (2, "new"), (None, "new")], "k int, v string")
-    assert rows(incremental.insert_if_absent(dim, source, "k")) == [(1, "old"), (2, "new")]
+    assert rows(incremental.absent_members(dim, source, "k")) == [(2, "new")]
 
 
 def test_unknown_member_exactly_once(spark):
@@ -156,6 +156,36 @@ def test_upsert_winner_does_not_depend_on_row_order(spark):
         assert rows(upsert(dim, spark.createDataFrame(order, "uid int, lv string, ts int, tie int"))) == [(1, "b")]
 
 
+def test_packed_order_sorts_as_the_columns_do(spark):
+    values = [None, -(2**31), -1, 0, 7, 2**31 - 1]
+    data = [(a, b, c) for a in (None, -5, 0, 1541106106796) for b in values for c in values]
+    df = spark.createDataFrame(data, "ts long, s int, i int")
+    found = df.select("ts", "s", "i", packed_order(df, ["ts", "s", "i"]).alias("p")).collect()
+
+    def key(r):
+        return tuple((v is not None, v or 0) for v in (r.ts, r.s, r.i))
+
+    assert [key(r) for r in sorted(found, key=lambda r: r.p)] == sorted(map(key, found))
+    assert len({r.p for r in found}) == len(data)
+    assert packed_order(df.withColumn("i", F.col("i").cast("string")), ["ts", "i"]) is None
+    assert packed_order(df.select("ts", F.col("ts").alias("u"), F.col("ts").alias("v")), ["ts", "u", "v"]) is None
+
+
+def test_an_order_that_cannot_be_packed_still_decides(spark):
+    dim = spark.createDataFrame([(1, "free")], "k int, level string")
+    source = spark.createDataFrame([(1, "a", "x", 1), (1, "b", "y", 0)], "uid int, lv string, ts string, tie int")
+    assert rows(upsert(dim, source)) == [(1, "b")]
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 3), st.sampled_from("ab"), st.sampled_from(["x", "y", None]), st.integers(0, 4), st.booleans()), max_size=20))
+def test_users_in_one_pass_equal_insert_and_update(spark, events):
+    data = [(u or None, f, f, g, f, t, k, "NextSong" if p else "Home") for k, (u, f, g, t, p) in enumerate(events)]
+    df = spark.createDataFrame(data, "userid int, firstname string, lastname string, gender string, level string, ts long, tie int, page string")
+    order = ["ts", "tie"]
+    assert rows(users_with_updates(df, order)) == rows(update_users(d.users_from(df), df, order))
+
+
 # --- facts ---------------------------------------------------------------------------------------------------------
 
 EVENT = "artist string, song string, level string, page string, sessionid int, ts long, userid int, location string, useragent string"
@@ -223,24 +253,37 @@ def test_ids_with_one_hot_value(spark):
     assert [(r.a, r.b) for r in got] == sorted((int(i % 3 == 0), i) for i in range(300))
 
 
-def test_sorted_layout(spark, tmp_path):
+@pytest.mark.parametrize("cuts_from", [None, ["a"], ["a", "b"]])
+def test_ids_follow_every_order_column(spark, cuts_from):
+    data = [(k * 7 % 11 if k % 5 else None, f"s{k * 13 % 17}", datetime(2020, 1, 1 + k % 3), k) for k in range(400)]
+    df = spark.createDataFrame(data, "a int, b string, c timestamp_ntz, d int").repartition(5)
+    keys = None if cuts_from is None else df.select(*cuts_from)
+    got = assign_ids(df, ["a", "b", "c", "d"], "id", n_partitions=9, cuts_from=keys).orderBy("id").collect()
+    want = sorted(data, key=lambda r: (r[0] is not None, r[0] or 0, *r[1:]))
+    assert [tuple(r) for r in got] == [(k, *r) for k, r in enumerate(want)]
+
+
+def test_ids_are_cut_into_many_ranges(spark):
+    df = spark.range(0, 5000, 1, 7).select(F.col("id").alias("v"))
+    plan = assign_ids(df, ["v"], "id", n_partitions=40)
+    ranges = plan.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert ranges >= 1 and rows(plan.select("id", "v")) == sorted(((k, k) for k in range(5000)), key=lambda t: tuple(map(str, t)))
+    with pytest.raises(ValueError):
+        assign_ids(df.withColumn("w", F.lit(1)), ["v", "w"], "id", cuts_from=df.withColumnRenamed("v", "w"))
+
+
+def test_the_first_id_may_depend_on_the_number_of_rows(spark):
+    df = spark.range(0, 30, 1, 3).toDF("v")
+    assert rows(assign_ids(df, ["v"], "id", start=lambda n: 100 * n).agg(F.min("id"), F.max("id"))) == [(3000, 3029)]
+
+
+def test_sorted_layout(spark):
     df = spark.range(0, 1000, 1, 4).select((F.col("id") % 2).alias("a"), F.col("id").alias("b"))
     spans = lay_out(df, ["a", "b"], 4).groupBy(F.spark_partition_id().alias("p")).agg(
         F.min(F.struct("a", "b")).alias("lo"), F.max(F.struct("a", "b")).alias("hi"), F.count("*").alias("n")
     ).orderBy("p").collect()
     assert len(spans) == 4 and max(s.n for s in spans) < 2 * 250
     assert all(x.hi < y.lo for x, y in zip(spans, spans[1:]))
-    assert write_table(df, str(tmp_path / "t"), ["a", "b"], 4).count() == 1000
-
-
-def test_layout_report(spark):
-    even = spark.range(0, 80, 1, 4)
-    skewed = even.select(F.when(F.col("id") < 70, 0).otherwise(F.col("id")).alias("k")).repartition(8, "k")
-    got = {r.table_name: r for r in layout_report({"s": skewed, "e": even, "one": even.coalesce(1)}).collect()}
-    assert list(got) == ["e", "one", "s"]
-    assert (got["e"].layout, got["e"].n_partitions, got["e"].rows, got["e"].max_rows) == ("EVEN", 4, 80, 20)
-    assert got["one"].layout == "ALL"
-    assert got["s"].layout == "KEY" and got["s"].max_rows >= 70
 
 
 # --- checks and reports --------------------------------------------------------------------------------------------
@@ -266,6 +309,64 @@ def test_completeness(spark):
     assert rows(quality.completeness(fact, dims)) == [("dup", 4, 7, False), ("k", 4, 2, False), ("s", 4, 4, True)]
 
 
+def reference_case(spark):
+    fact = spark.createDataFrame([(1, "a"), (1, "b"), (2, "a"), (None, "x"), (None, "x"), (7, None)], "k int, s string")
+    other = spark.createDataFrame([("a",), ("z",), ("z",)], "t string")
+    parents = {
+        "ks": (spark.createDataFrame([(1,), (2,), (3,), (None,)], "k int"), "k"),
+        "ss": (spark.createDataFrame([("a",), ("b",)], "s string"), "s"),
+    }
+    return {"fact": fact, "other": other}, parents, [Reference("fact", "k", "ks"), Reference("fact", "s", "ss"), Reference("other", "t", "ss")]
+
+
+@pytest.mark.parametrize("limit", ["10485760b", "-1"])
+def test_references_are_checked_in_one_pass(spark, limit):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        children, parents, refs = reference_case(spark)
+        assert rows(references.foreign_keys(children, parents, refs)) == [
+            ("fact", "k", "ks", 4, 3, 2, 1, 1),
+            ("fact", "s", "ss", 5, 3, 1, 2, 1),
+            ("other", "t", "ss", 3, 2, 0, 2, 1),
+        ]
+        assert rows(references.orphan_keys(children, parents, refs)) == [("fact", "k", "7", 1), ("fact", "s", "x", 2), ("other", "t", "z", 2)]
+        empty = {name: frame.limit(0) for name, frame in children.items()}
+        assert rows(references.foreign_keys(empty, parents, refs)) == [
+            ("fact", "k", "ks", 0, 0, 0, 0, 0), ("fact", "s", "ss", 0, 0, 0, 0, 0), ("other", "t", "ss", 0, 0, 0, 0, 0)
+        ]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760b")
+
+
+def test_the_fact_is_scanned_once_for_all_references(spark, tmp_path):
+    children, parents, refs = reference_case(spark)
+    children["fact"].write.parquet(str(tmp_path / "fact"))
+    stored = {**children, "fact": spark.read.parquet(str(tmp_path / "fact"))}
+    plan = references.foreign_keys(stored, parents, refs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and "Join" not in plan
+
+
+def test_primary_keys(spark):
+    tables = {
+        "unique": (spark.createDataFrame([(1,), (2,), (None,)], "k int"), "k"),
+        "twice": (spark.createDataFrame([("a",), ("a",), ("a",), ("b",), (None,), (None,)], "s string"), "s"),
+        "none": (spark.createDataFrame([], "t timestamp_ntz"), "t"),
+    }
+    assert rows(references.primary_keys(tables)) == [("none", "t", 0, 0, 0, 0), ("twice", "s", 6, 2, 2, 1), ("unique", "k", 3, 1, 2, 0)]
+
+
+def test_declared_references():
+    from starloom.schemas import star_tables
+
+    assert {(r.table, r.column, r.parent) for r in references.declared(star_tables())} == {
+        ("songs", "artist_id", "artists"),
+        ("songplays", "start_time", "time"),
+        ("songplays", "user_id", "users"),
+        ("songplays", "song_id", "songs"),
+        ("songplays", "artist_id", "artists"),
+    }
+
+
 def test_referential_count_equals_counting_the_join(spark):
     fact = spark.createDataFrame([(1,), (1,), (2,), (None,)], "k int")
     dim = spark.createDataFrame([(1,), (1,), (3,), (None,)], "k int")
@@ -286,9 +387,6 @@ def test_star_reports(spark, limit):
         assert [tuple(r) for r in by_week] == [(2017, 6, 1), (2018, 5, 3)]
         by_level = star.plays_by(fact, {"t": time, "u": users}, ["year", "week", "level"]).collect()
         assert [tuple(r) for r in by_level] == [(2017, 6, "paid", 1), (2018, 5, "free", 1), (2018, 5, "paid", 2)]
-        joined = star.star_join(fact, {"t": time, "u": users})
-        assert joined.columns == ["t", "u", "song_id", "year", "week", "level"]
-        assert joined.count() == 4
         assert rows(star.match_rate(fact)) == [("Known", 4), ("Unknown", 1)]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760b")

@@ -2,6 +2,7 @@ import json
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from starloom.schemas import STAGING_EVENTS, star_tables
@@ -60,7 +61,7 @@ def test_mapping_by_position_and_nested_paths(spark, tmp_path):
         j.by_position(["$.a"], schema)
 
 
-@pytest.mark.parametrize("path", ["a", "$", "$.a[0]", "$['a'].", "x$.a"])
+@pytest.mark.parametrize("path", ["a", "$", "$[0]", "$['a'].", "x$.a", "$.a[-1]", "$.a[x]"])
 def test_unsupported_paths(path):
     with pytest.raises(ValueError):
         j.path_steps(path)
@@ -81,14 +82,60 @@ def test_broken_json_fails_the_read(spark, tmp_path):
         j.read_events(spark, str(tmp_path / "b")).collect()
 
 
-def test_rejects_are_counted_per_column(spark, tmp_path):
+def test_rejects_are_kept_with_their_reason(spark, tmp_path):
     write_json(tmp_path, "r/x.json", *[{**EVENT, "userId": u} for u in ("39", "", 39, "x")], {"artist": "z" * 257, "ts": "y"})
     text = j.read_text_columns(spark, str(tmp_path / "r"), j.by_position(j.EVENT_PATHS, STAGING_EVENTS))
-    report = {r.column_name: r.n_rejected for r in j.reject_report(text, STAGING_EVENTS).collect()}
-    assert {c: n for c, n in report.items() if n} == {"userId": 1, "artist": 1, "ts": 1}
-    assert sorted(str(r.userId) for r in j.typed(text, STAGING_EVENTS).collect()) == ["39", "39", "None", "None", "None"]
-    counted = j.with_reject_count(text, STAGING_EVENTS)
-    assert sorted(r.n_rejected for r in counted.collect()) == [0, 0, 0, 1, 2]
+    found = j.with_rejects(text, STAGING_EVENTS)
+    assert rows(j.rejected_values(found)) == [
+        ("artist", "z" * 257, "too long"),
+        ("ts", "y", "not a bigint"),
+        ("userId", "x", "not a int"),
+    ]
+    assert sorted(str(r.userId) for r in found.collect()) == ["39", "39", "None", "None", "None"]
+    assert sorted(len(r.rejects) for r in found.collect()) == [0, 0, 0, 1, 2]
+    assert found.filter("size(rejects) = 2").first().artist is None
+
+
+DOCUMENTS = [
+    '{"a": {"b": [10, {"c": "x"}]}, "d": 1.50, "e": [[1], [2, 3]]}',
+    '{"a": {"b": [11]}, "d": "text", "f": null}',
+    '{"a": {"b": []}, "e": []}',
+    '{"a": null}',
+    "{}",
+    '{"a": {"b": [1]}, "d": 2',
+    "not json",
+    "",
+    None,
+    '{"a": [1], "d": 3}',
+]
+
+
+def test_paths_go_through_objects_and_arrays(spark):
+    paths = {"first": "$['a']['b'][0]", "second": "$.a.b[1]", "d": "$.d", "deep": "$.e[1][0]"}
+    df = spark.createDataFrame(list(enumerate(DOCUMENTS)), "id int, doc string")
+    found = {r.id: tuple(r)[1:] for r in j.parse_text_columns(df, "doc", paths, ["id"]).collect()}
+    assert found[0][:2] == ("10", '{"c":"x"}') and found[0][3:] == ("2", None) and float(found[0][2]) == 1.5
+    assert found[1] == ("11", None, "text", None, None)
+    assert found[2] == found[3] == found[4] == (None, None, None, None, None)
+    assert found[8] == (None,) * 5
+    for broken in (5, 6, 9):
+        assert found[broken] == (None, None, None, None, DOCUMENTS[broken])
+
+
+def test_paths_must_agree_on_what_a_value_is(spark):
+    df = spark.createDataFrame([("{}",)], "doc string")
+    for paths in ({"x": "$.a", "y": "$.a.b"}, {"x": "$.a[0]", "y": "$.a.b"}, {"x": "$.a[0]", "y": "$.a"}):
+        with pytest.raises(ValueError):
+            j.parse_text_columns(df, "doc", paths)
+    with pytest.raises(ValueError, match="corrupt"):
+        j.parse_text_columns(df, "doc", {"x": "$.corrupt_record"})
+    assert j.path_schema({"x": "$.a.b[0]", "y": "$.a.c", "z": "$.a.c"}).simpleString() == "struct<a:struct<b:array<string>,c:string>>"
+
+
+def test_files_are_read_by_paths_with_arrays(spark, tmp_path):
+    write_json(tmp_path, "n/x.json", {"a": {"b": [5, 6]}, "c": [{"d": "z"}]})
+    found = j.read_text_columns(spark, str(tmp_path / "n"), {"one": "$.a.b[1]", "two": "$.c[0].d", "none": "$.a.b[7]"})
+    assert rows(found) == [("6", "z", None)]
 
 
 def test_prefix_and_nested_folders(spark, tmp_path):
@@ -99,14 +146,6 @@ def test_prefix_and_nested_folders(spark, tmp_path):
     assert j.read_events(spark, f"{tmp_path}/log/2018/*/2018-11-1*").count() == 1
 
 
-def test_inventory_skips_empty_files(spark, tmp_path):
-    path = write_json(tmp_path, "i/n/x.json", {"page": "NextSong"})
-    (tmp_path / "i/n/empty.json").write_text("")
-    found = j.source_inventory(spark, str(tmp_path / "i")).first()
-    assert found.n_files == 1 and found.total_mb == pytest.approx(path.stat().st_size / 2**20)
-    assert [r.length for r in j.source_files(spark, str(tmp_path / "i")).collect()] == [path.stat().st_size]
-
-
 # --- catalog tables ------------------------------------------------------------------------------------------------
 
 
@@ -180,6 +219,23 @@ def test_failed_replace_changes_nothing(spark, database, level, message):
     assert rows(t.load(spark, database, "users")) == members(1)
 
 
+def test_hidden_columns_and_a_veto_before_the_switch(spark, database, tmp_path):
+    t.append(users(spark, 1), database, "users")
+    seen = []
+    more = users(spark, 2).withColumn("note", F.lit("kept"))
+    t.replace(more, database, "users", hidden=["note"], before_switch=lambda f: seen.append(spark.read.parquet(f).first().note))
+    assert seen == ["kept"] and rows(t.load(spark, database, "users")) == members(2)
+
+    def veto(folder):
+        raise RuntimeError("no")
+
+    old = versions(spark, tmp_path)
+    with pytest.raises(RuntimeError):
+        t.replace(users(spark, 3), database, "users", before_switch=veto)
+    assert rows(t.load(spark, database, "users")) == members(2)
+    assert set(versions(spark, tmp_path)) <= set(old)
+
+
 def test_clear(spark, database):
     t.append(users(spark, 1), database, "users")
     t.clear(spark, database, "users")
