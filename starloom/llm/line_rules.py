@@ -1,17 +1,19 @@
 """Quality rules: lines that many documents of a host share are removed, and documents that lose too much are rejected.
 
-A line is compared by its words in lower case (A-Z) with every digit as 0. Documents of one host (``source``) that hold
-the line are counted once per surroundings, that is per pair of neighbouring lines: copies of a document repeat a line
-with its neighbours and are left to near-duplicate detection, page furniture stands among ever different neighbours. A
-line is removed if more than ``limit`` documents hold it: ``MIN_DOCUMENTS`` or a share of the host's documents,
-whichever is more. A document is depleted if less than ``LEAST_LEFT`` of its words stay.
+A line is compared by its words in lower case (A-Z) with every digit as 0. A line is removed from all documents of a host
+(``source``) if more than ``limit`` distinct documents of the host hold it, however often each does. Exact copies count
+as one document, in the lines' counts and in the host's size: what they repeat is left to near-duplicate detection. The
+limit is a share of the host's distinct documents, but ``MIN_DOCUMENTS`` at least, so that a small host does not lose
+chance repetitions, and ``MAX_DOCUMENTS`` at most, so that the rule does not fade as a host grows. A document is depleted
+if less than ``LEAST_LEFT`` of its words stay.
 
 Tasks compute text statistics and line hashes in numpy; counting is a two-step aggregate on hashes, first distinct
-(host, line, surroundings), then (host, line), so neither a hot host nor a hot line meets in one task.
+(host, line, document), then (host, line), so neither a hot host nor a hot line meets in one task.
 
 Edge cases: a null text has no words and fails the base rule; a null source is a host of its own; repeated rows give a
-row each; texts without a line break are one line; an empty table gives an empty result; other columns pass through
-``clean`` untouched and are not read by ``verdicts``.
+row each; texts without a line break are one line; a very long text is worked on whole, in memory a few times its size;
+an empty table gives an empty result; other columns pass through ``clean`` untouched, whatever their names, and are not
+read by ``verdicts``.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ from pyspark.sql import functions as F
 from starloom.llm.text import LOWER, PLAIN, expand, flat, hashes, mix, slices, spans
 from starloom.session import materialize, work_folder
 
-MIN_DOCUMENTS, HOST_SHARE, LEAST_LEFT = 5, 0.002, 0.2
+MIN_DOCUMENTS, MAX_DOCUMENTS, HOST_SHARE, LEAST_LEFT = 10, 100, 0.002, 0.2
 MIN_WORDS, WINDOW, MOST_REPEATED = 10, 5, 20
 
 _LINE = np.ones(256, bool)
@@ -38,7 +40,7 @@ _FOLD[48:58] = 48
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 _STATS = "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint"
-_ROWS = f"uid bigint, doc_id bigint, mark bigint, host bigint, {_STATS}, lines array<bigint>, near array<bigint>, sizes array<bigint>"
+_ROWS = f"uid bigint, doc_id bigint, mark bigint, host bigint, {_STATS}, lines array<bigint>, sizes array<bigint>"
 
 
 def _per_text(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -104,14 +106,8 @@ def _described(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         doc, _ = expand(np.diff(first_line))
         _, once = _again(hashes(buf, line_starts, line_ends), doc)
         key = line_hashes(buf, starts, ends, low, high)
-        edge = np.zeros(len(key) + 1, bool)
-        edge[first_line] = True
-        before, after = np.append(np.uint64(0), key[:-1]), np.append(key[1:], np.uint64(0))
-        before[edge[:-1]] = 0
-        after[edge[1:]] = 0
-        near = mix(mix(before) * _STEP + after)
         where = pa.array(first_line.astype(np.int32))
-        lists = [pa.ListArray.from_arrays(where, pa.array(v)) for v in (key.view(np.int64), near.view(np.int64), high - low)]
+        lists = [pa.ListArray.from_arrays(where, pa.array(v)) for v in (key.view(np.int64), high - low)]
         stats = [
             np.diff(first),
             np.diff(chars[first]),
@@ -136,11 +132,12 @@ def _marked(docs: DataFrame) -> DataFrame:
 
 
 def frequent_lines(rows: DataFrame) -> DataFrame:
-    """``host`` and ``line`` of the lines above the limit of their host."""
-    hosts = rows.groupBy("host").agg(F.greatest(F.lit(float(MIN_DOCUMENTS)), HOST_SHARE * F.count(F.lit(1))).alias("limit"))
-    each = rows.select("host", F.explode(F.arrays_zip("lines", "near")).alias("x")).select("host", "x.lines", "x.near").distinct()
-    counts = each.groupBy("host", F.col("lines").alias("line")).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > MIN_DOCUMENTS)
-    return counts.join(hosts, "host").filter(F.col("n") > F.col("limit")).select("host", "line")
+    """``host`` and ``line`` of the lines that more distinct documents hold than the limit of their host."""
+    texts = rows.select("host", "mark").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("n"))
+    limits = texts.select("host", F.least(F.greatest(HOST_SHARE * F.col("n"), F.lit(float(MIN_DOCUMENTS))), F.lit(float(MAX_DOCUMENTS))).alias("limit"))
+    each = rows.select("host", "mark", F.explode(F.array_distinct("lines")).alias("line")).distinct()
+    counts = each.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > MIN_DOCUMENTS)
+    return counts.join(limits, "host").filter(F.col("n") > F.col("limit")).select("host", "line")
 
 
 def verdicts(docs: DataFrame) -> DataFrame:
@@ -154,7 +151,7 @@ def verdicts(docs: DataFrame) -> DataFrame:
     frequent = materialize(frequent_lines(rows), work_folder(spark))
     lines = rows.select("uid", "host", F.explode(F.arrays_zip("lines", "sizes")).alias("x")).select("uid", "host", F.col("x.lines").alias("line"), F.col("x.sizes").alias("size"))
     gone = lines.join(frequent, ["host", "line"]).groupBy("uid").agg(F.sum("size").alias("gone"), F.collect_set("line").alias("removed_lines"))
-    out = rows.drop("lines", "near", "sizes").join(gone, "uid", "left")
+    out = rows.drop("lines", "sizes").join(gone, "uid", "left")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     left = F.col("n_words") - F.coalesce("gone", F.lit(0))
     stats = [part.split()[0] for part in _STATS.split(", ")]
@@ -164,27 +161,39 @@ def verdicts(docs: DataFrame) -> DataFrame:
     )
 
 
-def _without(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Takes the lines with the given hashes out of ``text``; the columns stay as they are."""
-    for b in slices(batches):
-        texts = b.column("text").to_pylist()
-        gone = b.column("removed_lines").to_pylist()
-        touched = [i for i, g in enumerate(gone) if g and texts[i]]
-        if touched:
-            buf, offsets = flat(pa.array([texts[i] for i in touched]))
-            starts, ends, _ = spans(buf, offsets, PLAIN)
-            line_starts, line_ends, low, high, first = _lines(buf, offsets, starts, ends)
-            key, data = line_hashes(buf, starts, ends, low, high).view(np.int64), buf.tobytes()
-            for j, i in enumerate(touched):
-                drop, out, at = set(gone[i]), [], int(offsets[j])
-                for x in range(first[j], first[j + 1]):
-                    if int(key[x]) in drop:
-                        out.append(data[at : line_starts[x]])
-                        at = min(int(line_ends[x]) + 1, int(offsets[j + 1]))
-                out.append(data[at : offsets[j + 1]])
-                texts[i] = b"".join(out).decode()
-        at = b.schema.get_field_index("text")
-        yield b.set_column(at, b.schema.field(at), pa.array(texts, b.schema.field(at).type)).drop_columns(["removed_lines"])
+def _without(name: str):
+    """Takes the lines whose hashes column ``name`` lists out of ``text``; the other columns stay as they are."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            texts = b.column("text").to_pylist()
+            gone = b.column(name).to_pylist()
+            touched = [i for i, g in enumerate(gone) if g and texts[i]]
+            if touched:
+                buf, offsets = flat(pa.array([texts[i] for i in touched]))
+                starts, ends, _ = spans(buf, offsets, PLAIN)
+                line_starts, line_ends, low, high, first = _lines(buf, offsets, starts, ends)
+                key, data = line_hashes(buf, starts, ends, low, high).view(np.int64), buf.tobytes()
+                for j, i in enumerate(touched):
+                    drop, out, at = set(gone[i]), [], int(offsets[j])
+                    for x in range(first[j], first[j + 1]):
+                        if int(key[x]) in drop:
+                            out.append(data[at : line_starts[x]])
+                            at = min(int(line_ends[x]) + 1, int(offsets[j + 1]))
+                    out.append(data[at : offsets[j + 1]])
+                    texts[i] = b"".join(out).decode()
+            at = b.schema.get_field_index("text")
+            yield b.set_column(at, b.schema.field(at), pa.array(texts, b.schema.field(at).type)).drop_columns([name])
+
+    return run
+
+
+def _unused(name: str, columns: Iterable[str]) -> str:
+    """``name``, longer until no column has it in any case."""
+    taken = {c.lower() for c in columns}
+    while name in taken:
+        name += "_"
+    return name
 
 
 def clean(docs: DataFrame) -> DataFrame:
@@ -192,11 +201,13 @@ def clean(docs: DataFrame) -> DataFrame:
 
     ``n_chars``, if there is such a column, is counted again where lines went.
     """
-    kept = verdicts(docs).filter("kept").groupBy(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark"))
-    kept = kept.agg(F.array_sort(F.flatten(F.collect_set(F.coalesce("removed_lines", F.array().cast("array<bigint>"))))).alias("removed_lines"))
-    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__mark"))
-    out = docs.join(kept, same).select(*docs.columns, "removed_lines")
-    cleaned = out.mapInArrow(_without, docs.schema)
+    key, mark, lines = (_unused(n, docs.columns) for n in ("__id", "__mark", "removed_lines"))
+    kept = verdicts(docs).filter("kept").groupBy(F.col("doc_id").alias(key), F.col("mark").alias(mark))
+    nothing = F.array().cast("array<bigint>")
+    kept = kept.agg(F.array_sort(F.flatten(F.collect_set(F.coalesce("removed_lines", nothing)))).alias(lines))
+    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col(key)) & (F.xxhash64("text") == F.col(mark))
+    out = docs.join(kept, same).select(*[F.col(f"`{c}`") for c in docs.columns], lines)
+    cleaned = out.mapInArrow(_without(lines), docs.schema)
     if "n_chars" in docs.columns:
         cleaned = cleaned.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
     return cleaned

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from starloom.llm import chat_format as chat
 from starloom.llm.fill_middle import MIDDLE, PLAIN_PERCENT, PREFIX, SPM_PERCENT, SUFFIX
-from starloom.llm.line_rules import HOST_SHARE, LEAST_LEFT, MIN_DOCUMENTS, MIN_WORDS, MOST_REPEATED, WINDOW
+from starloom.llm.line_rules import HOST_SHARE, LEAST_LEFT, MAX_DOCUMENTS, MIN_DOCUMENTS, MIN_WORDS, MOST_REPEATED, WINDOW
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _SPACE = r"\x20\x09-\x0D"
@@ -75,13 +75,12 @@ line AS (
 full_line AS (
     SELECT *, regexp_replace(array_to_string(w, ' '), '[0-9]', '0', 'g') AS norm FROM line WHERE len(w) > 0),
 dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM full_line GROUP BY doc_id),
-near AS (
-    SELECT source, none, norm, lag(norm) OVER d AS before, lead(norm) OVER d AS after FROM full_line
-    WINDOW d AS (PARTITION BY doc_id ORDER BY nth)),
-host AS (SELECT source, none, greatest({MIN_DOCUMENTS}, {HOST_SHARE} * count(*)) AS most FROM doc GROUP BY source, none),
 often AS (
-    SELECT n.source, n.none, n.norm FROM (SELECT DISTINCT * FROM near) n JOIN host h ON h.source = n.source AND h.none = n.none
-     GROUP BY n.source, n.none, n.norm, h.most HAVING count(*) > h.most),
+    SELECT f.source, f.none, f.norm
+      FROM (SELECT DISTINCT f.source, f.none, f.norm, doc.text FROM full_line f JOIN doc ON doc.doc_id = f.doc_id) f
+      JOIN (SELECT source, none, least(greatest({HOST_SHARE} * count(DISTINCT text), {MIN_DOCUMENTS}), {MAX_DOCUMENTS}) AS most
+              FROM doc GROUP BY source, none) h ON h.source = f.source AND h.none = f.none
+     GROUP BY f.source, f.none, f.norm, h.most HAVING count(*) > h.most),
 gone AS (
     SELECT doc_id, sum(len(w)) AS n FROM full_line f JOIN often o ON o.source = f.source AND o.none = f.none AND o.norm = f.norm
      GROUP BY doc_id),
