@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.session import materialize, work_folder
+from starloom.session import discard, materialize, work_folder
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -17,9 +17,8 @@ def components(edges: DataFrame) -> DataFrame:
     spark = edges.sparkSession
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     both = materialize(both, work_folder(spark))
-    labels = materialize(
-        both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("label")), work_folder(spark)
-    )
+    folder = work_folder(spark)
+    labels = materialize(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("label")), folder)
     while True:
         near = both.join(labels, F.col("b") == F.col("node")).groupBy("a").agg(F.min("label").alias("near"))
         step = labels.join(near, F.col("node") == F.col("a")).select(
@@ -27,7 +26,9 @@ def components(edges: DataFrame) -> DataFrame:
         )
         jump = labels.select(F.col("node").alias("via"), F.col("label").alias("far"))
         new = step.join(jump, "via").select("node", F.least("via", "far").alias("label"), (F.col("was") != F.least("via", "far")).alias("moved"))
-        new = materialize(new, work_folder(spark))
+        old, folder = folder, work_folder(spark)
+        new = materialize(new, folder)
+        discard(spark, old)
         labels = new.select("node", "label")
         if new.filter("moved").isEmpty():
             return labels

@@ -10,13 +10,13 @@ Candidates are taken in rounds, so that a large group of near copies costs no pa
 1. Every member of a bucket is compared with its hub, the member whose buckets hold most documents; confirmed links give
    components. Rounds with other members as hubs follow, in buckets that hold several components, while they still
    connect a fair share of what is left.
-2. Every member outside the component of the bucket's largest id is compared with all members of other components. This
+2. Every member outside the bucket's component of most members is compared with all members of other components. This
    round is complete: each candidate pair is either compared or already connected.
 A candidate is dropped early only if sizes or the second sketch rule it out, or if the sketches differ by more bits than
 a pair at the limit shows once in a million times. What is left is confirmed on the full sets.
 
 Edge cases: an empty or null text has no shingles and no links; a text shorter than a shingle is one shingle; a null
-``doc_id`` has no component, is linked with nothing and kept; rows with equal ``doc_id`` count as one document and
+``doc_id`` has no component, is linked with nothing and kept; a very long text is worked on whole; rows with equal ``doc_id`` count as one document and
 share its component; an empty table gives an empty result; other columns are not read.
 """
 
@@ -31,13 +31,15 @@ from pyspark.sql import functions as F
 
 from starloom.llm.graph import components
 from starloom.llm.text import LOWER, PLAIN, expand, flat, hashes, mix, slices, spans
-from starloom.session import materialize, work_folder
+from starloom.operators.skew import fits_broadcast
+from starloom.session import discard, materialize, work_folder
 
 SHINGLE_WORDS, PERCENT = 5, 80
 ROWS, BANDS = 4, 24
 SAMPLES = ROWS * BANDS
 ODD_WORDS, WHOLE_WORDS = 8, 32  # of 64 bits
 FAIR_SHARE = 0.5
+BITMAP_WORDS = 1 << 19  # of 64 bits, to look up ids that are too many to broadcast
 
 _RNG = np.random.Generator(np.random.PCG64(20240607))
 _FLIP = _RNG.integers(0, 1 << 63, SAMPLES, dtype=np.uint64)
@@ -158,92 +160,131 @@ def _differ(name: str, n: int) -> Column:
     return sum((F.bit_count(F.col(f"{name}_a")[i].bitwiseXOR(F.col(f"{name}_b")[i])) for i in range(n)), F.lit(0))
 
 
-def _like(percent: int) -> Column:
-    """Whether sizes and sketches of ``n``, ``odd`` and ``whole`` (``_a``, ``_b``) allow the similarity."""
-    small, large = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
+def _sizes_allow(percent: int) -> Column:
+    return F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
+
+
+def _whole_allows(percent: int) -> Column:
+    """Whether the sketches of whole sets allow the similarity: for certain, and but for one case in a million."""
     unlike = (F.col("n_a") + F.col("n_b")) * ((100 - percent) / (100 + percent))  # differing shingles at the limit
     bits = WHOLE_WORDS * 64
     likely = bits / 2 * (1 - F.exp(-2 / bits * unlike))
     whole = _differ("whole", WHOLE_WORDS)
-    possible = (whole <= unlike + 1e-6) & (whole <= likely + 6 * F.sqrt(likely) + 2)
-    return (small * 100 >= large * percent) & (_differ("odd", ODD_WORDS) <= odd_limit(percent)) & possible
+    return (whole <= unlike + 1e-6) & (whole <= likely + 6 * F.sqrt(likely) + 2)
+
+
+def _sifted(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Of ``pairs`` (``a``, ``n_a``, ``b``, ``n_b``) those that sizes and sketches allow, as ``a``, ``one_a``, ``b``, ``one_b``.
+
+    Pairs of numbers travel first; the small sketches are fetched for what the sizes leave, the large ones for what the
+    small sketches leave.
+    """
+    pairs = pairs.filter(_sizes_allow(percent)).distinct()
+    for name, allowed in (("odd", _differ("odd", ODD_WORDS) <= odd_limit(percent)), ("whole", _whole_allows(percent))):
+        for side in "ab":
+            own = [F.col("id").alias(side), F.col(name).alias(f"{name}_{side}")]
+            if name == "whole":
+                own.append(F.col("one").alias(f"one_{side}"))
+            pairs = pairs.join(classes.select(*own), side)
+        pairs = pairs.filter(allowed).drop(f"{name}_a", f"{name}_b")
+    return pairs.select("a", "one_a", "b", "one_b")
+
+
+def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` with one of the written ``ids``. Beyond Spark's broadcast size a bitmap of fixed size is looked
+    into first, so that only texts that are wanted, and few others, are shuffled."""
+    if fits_broadcast(ids):
+        return docs.join(F.broadcast(ids), "doc_id", "left_semi")
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(BITMAP_WORDS * 64))
+    words = ids.select(F.shiftright(place, 6).cast("int").alias("word"), F.expr("shiftleft(1L, cast(pmod(xxhash64(doc_id), 64) as int))").alias("bit"))
+    words = words.groupBy("word").agg(F.bit_or("bit").alias("bits"))  # at most BITMAP_WORDS rows of 12 bytes
+    near = docs.withColumn("__word", F.shiftright(place, 6).cast("int")).join(F.broadcast(words), F.col("__word") == F.col("word"))
+    near = near.filter("(bits & shiftleft(1L, cast(pmod(xxhash64(doc_id), 64) as int))) <> 0").select("doc_id", "text")
+    return near.join(ids, "doc_id", "left_semi")
 
 
 def _confirm(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (``a``, ``one_a``, ``b``, ``one_b``) whose full sets are similar enough, as ``a``, ``b``."""
     spark = docs.sparkSession
-    pairs = materialize(pairs, work_folder(spark))
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    sets = docs.join(ids, "doc_id", "left_semi").mapInArrow(_full_sets(words), "id bigint, one bigint, full binary")
-    sets = materialize(sets, work_folder(spark))
+    folders = [work_folder(spark) for _ in range(3)]
+    pairs = materialize(pairs, folders[0])
+    ids = materialize(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), folders[1])
+    sets = _texts_of(docs, ids).mapInArrow(_full_sets(words), "id bigint, one bigint, full binary")
+    sets = materialize(sets, folders[2])
     for side in "ba":
         own = sets.select(F.col("id").alias(side), F.col("one").alias(f"one_{side}"), F.col("full").alias(f"full_{side}"))
         pairs = pairs.join(own, [side, f"one_{side}"])
     found = pairs.select("a", "b", "full_a", "full_b").mapInArrow(_confirmed(percent), "a bigint, b bigint")
-    return materialize(found.distinct(), work_folder(spark))
+    found = materialize(found.distinct(), work_folder(spark))
+    for folder in folders:
+        discard(spark, folder)
+    return found
 
 
-def _described(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """``pairs`` (``a``, ``b``) with what :func:`_like` reads, from ``classes``."""
-    for side in "ab":
-        names = {"id": side, **{c: f"{n}_{side}" for c, n in (("one", "one"), ("n_shingles", "n"), ("odd", "odd"), ("whole", "whole"))}}
-        pairs = pairs.join(classes.select(*[F.col(c).alias(n) for c, n in names.items()]), side)
-    return pairs
+def _pair(x: str, y: str) -> list[Column]:
+    """Columns ``a``, ``n_a``, ``b``, ``n_b`` of the members ``id`` + ``x`` and ``id`` + ``y``, the smaller id first."""
+    low = F.col(f"id{x}") < F.col(f"id{y}")
+    return [
+        F.when(low, F.col(f"{c}{p}")).otherwise(F.col(f"{c}{q}")).alias(name)
+        for c, p, q, name in (("id", x, y, "a"), ("n", x, y, "n_a"), ("id", y, x, "b"), ("n", y, x, "n_b"))
+    ]
 
 
 def _stars(rows: DataFrame, order: Column) -> DataFrame:
     """Pairs of the members of each bucket with the member that comes first; those of its component are left out."""
-    hubs = rows.groupBy("bucket").agg(F.max(F.struct(order.alias("order"), "id", "label")).alias("hub"))
-    hubs = materialize(hubs.select("bucket", F.col("hub.id").alias("hub"), F.col("hub.label").alias("own")), work_folder(rows.sparkSession))
-    pairs = rows.join(hubs, "bucket").filter("label <> own")
-    return pairs.select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b")).distinct()
+    hubs = rows.groupBy("bucket").agg(F.max(F.struct(order.alias("order"), "id", "label", "n")).alias("hub"))
+    hubs = hubs.select("bucket", F.col("hub.id").alias("id_hub"), F.col("hub.label").alias("own"), F.col("hub.n").alias("n_hub"))
+    hubs = materialize(hubs, work_folder(rows.sparkSession))
+    return rows.join(hubs, "bucket").filter("label <> own").select(*_pair("", "_hub"))
+
+
+def _rest(rows: DataFrame) -> DataFrame:
+    """Pairs of different components that share a bucket, but for pairs within the bucket's component of most members."""
+    sizes = rows.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("members"))
+    main = sizes.groupBy("bucket").agg(F.max_by("label", F.struct("members", "label")).alias("main"))
+    inside = rows.join(materialize(main, work_folder(rows.sparkSession)), "bucket")
+    others = inside.filter("label <> main").select("bucket", F.col("id").alias("id_x"), F.col("n").alias("n_x"), F.col("label").alias("label_x"))
+    everyone = inside.select("bucket", "main", F.col("id").alias("id_y"), F.col("n").alias("n_y"), F.col("label").alias("label_y"))
+    once = (F.col("label_y") == F.col("main")) | (F.col("id_x") < F.col("id_y"))
+    return others.join(everyone, "bucket").filter((F.col("label_x") != F.col("label_y")) & once).select(*_pair("_x", "_y"))
 
 
 def _labels(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
     """``node`` and ``label`` of all classes that are linked with another one."""
     spark = docs.sparkSession
-    members = classes.select("id", F.explode("bands").alias("bucket"))
+    members = classes.select("id", F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
     buckets = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    shared = materialize(members.join(materialize(buckets, work_folder(spark)), "bucket"), work_folder(spark))
-    weight = shared.groupBy("id").agg(F.sum("size").alias("weight"))
-    mixed = materialize(shared.join(weight, "id").select("bucket", "id", "weight", F.col("id").alias("label")), work_folder(spark))
-    links = labels = None
+    shared_at, weight_at = work_folder(spark), work_folder(spark)
+    shared = materialize(members.join(materialize(buckets, work_folder(spark)), "bucket"), shared_at)
+    weight = materialize(shared.groupBy("id").agg(F.sum("size").alias("weight")), weight_at)
+    mixed_at = work_folder(spark)
+    mixed = materialize(shared.join(weight, "id").select("bucket", "id", "n", "weight", F.col("id").alias("label")), mixed_at)
+    candidates = classes.join(weight.select("id"), "id", "left_semi").select("id", "one", "odd", "whole")
+    candidates = materialize(candidates, work_folder(spark))
     order, left, turn = F.col("weight"), weight.count(), 0
+    for folder in (shared_at, weight_at):
+        discard(spark, folder)
+    links = labels = None
     while True:
-        pairs = _described(_stars(mixed, order), classes).filter(_like(percent)).select("a", "one_a", "b", "one_b")
-        found = _confirm(pairs, docs, words, percent)
+        found = _confirm(_sifted(_stars(mixed, order), candidates, percent), docs, words, percent)
         if links is not None and found.isEmpty():
             break
         links = found if links is None else links.union(found)
         labels = components(links)
-        now = mixed.drop("label").join(labels, F.col("id") == F.col("node"), "left").select("bucket", "id", "weight", F.coalesce("label", "id").alias("label"))
-        now = materialize(now, work_folder(spark))
+        now_at = work_folder(spark)
+        now = mixed.drop("label").join(labels, F.col("id") == F.col("node"), "left")
+        now = materialize(now.select("bucket", "id", "n", "weight", F.coalesce("label", "id").alias("label")), now_at)
         several = now.groupBy("bucket").agg((F.min("label") < F.max("label")).alias("several")).filter("several").select("bucket")
-        mixed = materialize(now.join(materialize(several, work_folder(spark)), "bucket"), work_folder(spark))
+        old_at, mixed_at = mixed_at, work_folder(spark)
+        mixed = materialize(now.join(materialize(several, work_folder(spark)), "bucket"), mixed_at)
+        for folder in (old_at, now_at):
+            discard(spark, folder)
         before, left = left, mixed.select("label").distinct().count()
         turn += 1
         order = F.xxhash64("id", F.lit(turn))
         if left > (1 - FAIR_SHARE) * before or not left:
             break
-
-    main = mixed.groupBy("bucket").agg(F.max(F.struct("id", "label")).alias("main")).select("bucket", F.col("main.label").alias("main"))
-    inside = mixed.join(materialize(main, work_folder(spark)), "bucket")
-    own = classes.select("id", "one", F.col("n_shingles").alias("n"), "odd", "whole")
-    inside = materialize(inside.drop("weight").join(own, "id"), work_folder(spark))
-    columns = ("id", "label", "one", "n", "odd", "whole")
-    others = inside.filter("label <> main").select("bucket", *[F.col(c).alias(f"{c}_a") for c in columns])
-    everyone = inside.select("bucket", F.col("main").alias("main_b"), *[F.col(c).alias(f"{c}_b") for c in columns])
-    pairs = others.join(everyone, "bucket").filter(
-        (F.col("label_a") != F.col("label_b")) & ((F.col("label_b") == F.col("main_b")) | (F.col("id_a") < F.col("id_b"))) & _like(percent)
-    )
-    low = F.col("id_a") < F.col("id_b")
-    pairs = pairs.select(
-        F.least("id_a", "id_b").alias("a"),
-        F.when(low, F.col("one_a")).otherwise(F.col("one_b")).alias("one_a"),
-        F.greatest("id_a", "id_b").alias("b"),
-        F.when(low, F.col("one_b")).otherwise(F.col("one_a")).alias("one_b"),
-    ).distinct()
-    more = _confirm(pairs, docs, words, percent)
+    more = _confirm(_sifted(_rest(mixed), candidates, percent), docs, words, percent)
     return labels if more.isEmpty() else components(links.union(more))
 
 
