@@ -173,21 +173,20 @@ def _whole_allows(percent: int) -> Column:
     return (whole <= unlike + 1e-6) & (whole <= likely + 6 * F.sqrt(likely) + 2)
 
 
+def _allowed(percent: int) -> Column:
+    """Whether sizes and both sketches allow the similarity."""
+    return _sizes_allow(percent) & (_differ("odd", ODD_WORDS) <= odd_limit(percent)) & _whole_allows(percent)
+
+
 def _sifted(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Of ``pairs`` (``a``, ``n_a``, ``b``, ``n_b``) those that sizes and sketches allow, as ``a``, ``one_a``, ``b``, ``one_b``.
 
-    Pairs of numbers travel first; the small sketches are fetched for what the sizes leave, the large ones for what the
-    small sketches leave.
+    Pairs of numbers travel first; sketches are fetched for what the sizes leave.
     """
     pairs = pairs.filter(_sizes_allow(percent)).distinct()
-    for name, allowed in (("odd", _differ("odd", ODD_WORDS) <= odd_limit(percent)), ("whole", _whole_allows(percent))):
-        for side in "ab":
-            own = [F.col("id").alias(side), F.col(name).alias(f"{name}_{side}")]
-            if name == "whole":
-                own.append(F.col("one").alias(f"one_{side}"))
-            pairs = pairs.join(classes.select(*own), side)
-        pairs = pairs.filter(allowed).drop(f"{name}_a", f"{name}_b")
-    return pairs.select("a", "one_a", "b", "one_b")
+    for side in "ab":
+        pairs = pairs.join(classes.select(F.col("id").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("one", "odd", "whole")]), side)
+    return pairs.filter(_allowed(percent)).select("a", "one_a", "b", "one_b")
 
 
 def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -221,32 +220,38 @@ def _confirm(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Dat
     return found
 
 
-def _pair(x: str, y: str) -> list[Column]:
-    """Columns ``a``, ``n_a``, ``b``, ``n_b`` of the members ``id`` + ``x`` and ``id`` + ``y``, the smaller id first."""
-    low = F.col(f"id{x}") < F.col(f"id{y}")
-    return [
-        F.when(low, F.col(f"{c}{p}")).otherwise(F.col(f"{c}{q}")).alias(name)
-        for c, p, q, name in (("id", x, y, "a"), ("n", x, y, "n_a"), ("id", y, x, "b"), ("n", y, x, "n_b"))
-    ]
+def _ordered(second: str) -> list[Column]:
+    """``a``, ``b`` and their column ``second`` (``_a``, ``_b``) of the members ``id_a`` and ``id_b``, the smaller id first."""
+    low = F.col("id_a") < F.col("id_b")
+    sides = (("id", "a", "b", "a"), (second, "a", "b", f"{second}_a"), ("id", "b", "a", "b"), (second, "b", "a", f"{second}_b"))
+    return [F.when(low, F.col(f"{c}_{p}")).otherwise(F.col(f"{c}_{q}")).alias(name) for c, p, q, name in sides]
+
+
+def _side(rows: DataFrame, side: str, *more: str) -> DataFrame:
+    return rows.select("bucket", *more, *[F.col(c).alias(f"{c}_{side}") for c in rows.columns if c not in ("bucket", "main", "weight", "order")])
 
 
 def _stars(rows: DataFrame, order: Column) -> DataFrame:
     """Pairs of the members of each bucket with the member that comes first; those of its component are left out."""
-    hubs = rows.groupBy("bucket").agg(F.max(F.struct(order.alias("order"), "id", "label", "n")).alias("hub"))
-    hubs = hubs.select("bucket", F.col("hub.id").alias("id_hub"), F.col("hub.label").alias("own"), F.col("hub.n").alias("n_hub"))
-    hubs = materialize(hubs, work_folder(rows.sparkSession))
-    return rows.join(hubs, "bucket").filter("label <> own").select(*_pair("", "_hub"))
+    hubs = rows.groupBy("bucket").agg(F.max(F.struct(order.alias("order"), "id", "n", "label")).alias("hub"))
+    hubs = materialize(_side(hubs.select("bucket", "hub.*"), "b"), work_folder(rows.sparkSession))
+    return _side(rows, "a").join(hubs, "bucket").filter("label_a <> label_b").select(*_ordered("n"))
+
 
+def _rest(rows: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components that share a bucket, as far as sizes and sketches allow, as ``a``, ``one_a``, ``b``, ``one_b``.
 
-def _rest(rows: DataFrame) -> DataFrame:
-    """Pairs of different components that share a bucket, but for pairs within the bucket's component of most members."""
+    Members of the bucket's component of most members are compared with the others only. Sketches are compared where the
+    members meet, so that a large group of documents that are somewhat alike does not become rows.
+    """
+    spark = rows.sparkSession
     sizes = rows.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("members"))
     main = sizes.groupBy("bucket").agg(F.max_by("label", F.struct("members", "label")).alias("main"))
-    inside = rows.join(materialize(main, work_folder(rows.sparkSession)), "bucket")
-    others = inside.filter("label <> main").select("bucket", F.col("id").alias("id_x"), F.col("n").alias("n_x"), F.col("label").alias("label_x"))
-    everyone = inside.select("bucket", "main", F.col("id").alias("id_y"), F.col("n").alias("n_y"), F.col("label").alias("label_y"))
-    once = (F.col("label_y") == F.col("main")) | (F.col("id_x") < F.col("id_y"))
-    return others.join(everyone, "bucket").filter((F.col("label_x") != F.col("label_y")) & once).select(*_pair("_x", "_y"))
+    inside = rows.select("bucket", "id", "n", "label").join(materialize(main, work_folder(spark)), "bucket")
+    inside = materialize(inside.join(classes, "id"), work_folder(spark))
+    once = (F.col("label_b") == F.col("main")) | (F.col("id_a") < F.col("id_b"))
+    pairs = _side(inside.filter("label <> main"), "a").join(_side(inside, "b", "main"), "bucket")
+    return pairs.filter((F.col("label_a") != F.col("label_b")) & once & _allowed(percent)).select(*_ordered("one")).distinct()
 
 
 def _labels(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
@@ -284,7 +289,7 @@ def _labels(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> Da
         order = F.xxhash64("id", F.lit(turn))
         if left > (1 - FAIR_SHARE) * before or not left:
             break
-    more = _confirm(_sifted(_rest(mixed), candidates, percent), docs, words, percent)
+    more = _confirm(_rest(mixed, candidates, percent), docs, words, percent)
     return labels if more.isEmpty() else components(links.union(more))
 
 

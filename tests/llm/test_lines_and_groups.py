@@ -3,6 +3,7 @@
 import itertools
 
 import pytest
+from pyspark.sql import functions as F
 
 from starloom.llm import line_rules, near_dup
 from starloom.llm.queries import QUERIES
@@ -87,13 +88,14 @@ def test_line_rules_query_equals_its_sql(spark, docs, tmp_path):
 # --- near duplicates -----------------------------------------------------------------------------------------------
 
 
-def test_the_largest_component_of_a_bucket_is_its_main_one(spark, docs):
-    members = [("x", i, 0, 10) for i in range(1, 9)] + [("x", 99, 99, 10), ("x", 98, 98, 10), ("y", 1, 0, 10), ("y", 99, 99, 10)]
-    rows = spark.createDataFrame(members, "bucket string, id bigint, label bigint, n bigint")
-    found = {(r.a, r.b) for r in near_dup._rest(rows).collect()}
-    label = {i: lab for _, i, lab, _ in members}
-    assert found == {(a, b) for a, b in itertools.combinations(sorted(label), 2) if label[a] != label[b]}
-    assert near_dup._rest(rows).count() == 17 + 1  # 2 outsiders with 8 members and with each other, and once more in y
+def test_the_largest_component_of_a_bucket_is_its_main_one(spark, docs, monkeypatch):
+    monkeypatch.setattr(near_dup, "_allowed", lambda percent: F.lit(True))
+    members = [("x", i, 0) for i in range(1, 9)] + [("x", 99, 99), ("x", 98, 98), ("y", 1, 0), ("y", 99, 99)]
+    rows = spark.createDataFrame(members, "bucket string, id bigint, label bigint").withColumn("n", F.lit(10))
+    classes = rows.select("id").distinct().withColumns({"one": F.col("id") * 10, "odd": F.array(F.lit(0)), "whole": F.array(F.lit(0))})
+    found = {(r.a, r.one_a, r.b, r.one_b) for r in near_dup._rest(rows, classes, 80).collect()}
+    label = {i: lab for _, i, lab in members}
+    assert found == {(a, 10 * a, b, 10 * b) for a, b in itertools.combinations(sorted(label), 2) if label[a] != label[b]}
 
 
 @pytest.mark.parametrize("broadcast", [True, False])
