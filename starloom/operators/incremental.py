@@ -7,7 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.operators.skew import HOT_ROWS, skew_join
+from starloom.operators.bitmap import key_bitmap, maybe_in
+from starloom.operators.skew import HOT_ROWS, fits_broadcast, skew_join
 
 
 def reject_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -39,14 +40,22 @@ def new_keys_only(
     source_unique: bool = False,
     hot_from: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
+    prune_target: bool = False,
 ) -> DataFrame:
     """Source rows whose key is not in the target; rows with a NULL in the key are rejected.
 
     Duplicates inside the source stay. With non-NULL keys this equals ``NOT IN``, but it runs as an anti join on
-    shuffled keys. A source with one row per key needs no care for frequent keys.
+    shuffled keys. A source with one row per key needs no care for frequent keys. ``prune_target`` is for a small batch
+    against a large table: the source's keys are read once more for a bitmap of fixed size, and target rows that it rules
+    out are neither made distinct nor shuffled.
     """
     source = reject_null_keys(source, keys)
     seen = reject_null_keys(target.select(*keys), keys)
+    if prune_target and not fits_broadcast(seen):
+        kinds = {f.name: f.dataType for f in source.select(*keys).schema.fields}
+        seen = seen.select(*[F.col(k).cast(kinds[k]).alias(k) for k in keys])
+        wanted = source.select(*keys) if hot_from is None else reject_null_keys(hot_from.select(*keys), keys)
+        seen = maybe_in(seen, keys, key_bitmap(wanted, keys))
     if source_unique:
         return source.join(seen, list(keys), "left_anti")
     return skew_join(source, seen.distinct(), [(k, k) for k in keys], "left_anti", hot_from=hot_from, hot_rows=hot_rows)

@@ -177,7 +177,7 @@ def load_fact(
     if span.low is None:
         return rejected
     known = load_between(spark, database, "songplays", "start_time", span.low, span.high)
-    new_plays = new_keys_only(plays, known, PLAY_KEY)
+    new_plays = new_keys_only(plays, known, PLAY_KEY, prune_target=True)
     rows = resolve_songs(new_plays, load(spark, database, "staging_songs"), hot_from=plays)
 
     work = work_folder(spark)

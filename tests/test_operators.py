@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from starloom.operators import dimensions as d
-from starloom.operators import facts, filters, incremental, quality, references, star
+from starloom.operators import bitmap, facts, filters, incremental, quality, references, star
 from starloom.operators.surrogate_keys import assign_ids
 from starloom.operators.references import Reference
 from starloom.operators.upsert import changed_members, packed_order, update_users, upsert_latest, users_with_updates
@@ -65,6 +65,22 @@ def test_new_keys_equal_not_in(spark, source, seen):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760b")
 
 
+def test_a_bitmap_rules_out_most_of_a_large_target(spark, shuffled_joins, tmp_path):
+    spark.range(0, 400_000, 1, 4).selectExpr("id AS k", "concat('s', id) AS t").write.parquet(str(tmp_path / "big"))
+    target = spark.read.parquet(str(tmp_path / "big"))
+    batch = [(k, f"s{k}") for k in (5, 5, 399_999, 400_001)] + [(None, "s1"), (7, "other")]
+    source = spark.createDataFrame(batch, "k bigint, t string")
+    keys = ["k", "t"]
+    plain = rows(incremental.new_keys_only(source, target, keys))
+    assert plain == rows(incremental.new_keys_only(source, target, keys, prune_target=True)) == [(400_001, "s400001"), (7, "other")]
+    left = bitmap.maybe_in(target, keys, bitmap.key_bitmap(source.dropna(), keys))
+    assert left.columns == target.columns and 2 <= left.count() < 0.05 * 400_000
+    assert bitmap.maybe_in(target, keys, bitmap.key_bitmap(source.limit(0), keys)).count() == 0
+    plan = incremental.new_keys_only(source, target, keys, prune_target=True)._jdf.queryExecution().executedPlan().toString()
+    at = plan.index("FileScan parquet")
+    assert "BroadcastHashJoin" in plan[:at] and "bit_or" in plan
+
+
 def test_range_pruning_keeps_all_candidates(spark):
     target = spark.createDataFrame([(1,), (3,), (5,), (7,)], "k int")
     source = spark.createDataFrame([(3,), (6,), (None,)], "k int")
