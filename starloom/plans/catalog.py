@@ -1,7 +1,8 @@
-"""The registered queries: every operator over the whole driver tables, without any write of its own."""
+"""The registered queries: every operator over the whole driver tables; those of stored tables write tables of their own."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import cached_property, reduce
 
@@ -18,7 +19,9 @@ from starloom.operators.surrogate_keys import assign_ids
 from starloom.operators.upsert import changed_members, update_users, users_with_updates
 from starloom.plans import analogs as a
 from starloom.schemas import PLAY_KEY, STAGING_EVENTS, UNKNOWN_ARTIST, UNKNOWN_SONG, USERS, staging_songs, star_tables
+from starloom.session import work_folder
 from starloom.sources import json_files as j
+from starloom.sources import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -428,6 +431,49 @@ def topk_songs(spark, sf_dir):
     return star.top_k(Star(spark, sf_dir).songs, ["song_id"], 5)
 
 
+# --- stored tables -------------------------------------------------------------------------------------------------
+
+
+def _new_database(spark) -> str:
+    """Tables of their own below the work folder; their files are what the result is read from."""
+    name = f"starloom_{uuid.uuid4().hex}"
+    tables.create_tables(spark, name, work_folder(spark))
+    return name
+
+
+@registered
+def stored_users(spark, sf_dir):
+    """The users table after a first load, a later load of new members, and the update: created, appended to, replaced."""
+    s = Star(spark, sf_dir)
+    database = _new_database(spark)
+    tables.append(_as_table(d.users_from(_before(s.people, a.LOADED_USERS_BEFORE), a.PLAY), "users"), database, "users")
+    new = incremental.absent_members(tables.load(spark, database, "users"), _as_table(s.users, "users"), "user_id")
+    tables.append(new, database, "users")
+    people = s.people.withColumn("userid", F.col("userid").cast("int"))
+    tables.replace(update_users(tables.load(spark, database, "users"), people, EVENT_ORDER), database, "users")
+    return tables.load(spark, database, "users")
+
+
+@registered
+def stored_time(spark, sf_dir):
+    """The time table after it was filled, cleared, and filled by two loads, the second over all events."""
+    s = Star(spark, sf_dir)
+    database = _new_database(spark)
+    earlier = d.time_from(_before(s.log, a.LOADED_PLAYS_BEFORE), a.PLAY)
+    tables.append(earlier.limit(5), database, "time")
+    tables.clear(spark, database, "time")
+    tables.append(tables.lay_out(earlier, ["start_time"]), database, "time")
+    known = incremental.within_range_of(tables.load(spark, database, "time"), s.time, "start_time")
+    new = incremental.new_keys_only(s.time, known, ["start_time"], source_unique=True)
+    tables.append(tables.lay_out(new, ["start_time"]), database, "time")
+    return tables.load(spark, database, "time")
+
+
+def _as_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` in the columns and types of a table."""
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in star_tables()[name].schema.fields])
+
+
 # --- checks --------------------------------------------------------------------------------------------------------
 
 
@@ -441,10 +487,10 @@ def dq_nulls(spark, sf_dir):
 def dq_required(spark, sf_dir):
     """NULLs in the required columns of the fact and its dimensions."""
     s = Star(spark, sf_dir)
-    tables, frames = star_tables(), {"songplays": s.fact, **{name: dim for name, (dim, _) in s.dims.items()}}
+    declared, frames = star_tables(), {"songplays": s.fact, **{name: dim for name, (dim, _) in s.dims.items()}}
     parts = []
     for name, frame in frames.items():
-        columns = [c for c in tables[name].required if c in frame.columns]
+        columns = [c for c in declared[name].required if c in frame.columns]
         if columns:
             parts.append(quality.null_violations(frame, columns).select(F.lit(name).alias("table_name"), "column_name", "n_nulls"))
     return reduce(DataFrame.unionByName, parts)

@@ -424,4 +424,6 @@ ORACLE: dict[str, str] = {
     "stage_songs_json": _song_documents(),
     "load_accepted": _with(_ACCEPTED, "stg_events"),
     "load_rejects": _with(_REJECTS, "stg_events"),
+    "stored_users": _with("SELECT CAST(user_id AS INTEGER) AS user_id, first_name, last_name, gender, level FROM current_users", "current_users"),
+    "stored_time": _with("SELECT * FROM time_rows", "time_rows"),
 }

@@ -5,6 +5,7 @@ from datetime import datetime
 
 import pytest
 
+from starloom.__main__ import main
 from starloom.operators import quality
 from starloom.plans.load import run_load
 from starloom.schemas import PLAY_KEY, UNKNOWN_ARTIST_ID, UNKNOWN_SONG_ID, star_tables
@@ -220,5 +221,22 @@ def test_event_columns_may_come_from_a_paths_file(wh, spark):
         wh.run(event_paths_file="x", event_mapping={"a": "$.a"})
 
 
+def test_command_line(wh, spark, capsys):
+    wh.events("a", {"userId": "x"}, {"userId": 8})
+    wh.songs("1", {})
+    folder = str(wh.folder)
+    assert main(["create", wh.db, f"{folder}/other"], spark) == 0
+    arguments = ["load", wh.db, f"{folder}/log_data", f"{folder}/song_data", "--keep-rejects", "--max-rejects", "1"]
+    assert main([*arguments, "--skip-dwh", "--skip-count"], spark) == 0
+    assert "rejected: staging_events 1" in capsys.readouterr().out
+    assert wh.table("staging_events").count() == 2 and wh.table("users").count() == 0
+    assert main(["create", wh.db, f"{folder}/other", "--keep"], spark) == 0
+    assert wh.table("staging_events").count() == 2
+    assert main(["drop", wh.db], spark) == 0
+    assert not spark.catalog.tableExists(f"{wh.db}.users")
+    with pytest.raises(SystemExit):
+        main(["load", wh.db], spark)
+
+
 def test_fact_key_is_known_by_name():
     assert set(PLAY_KEY) <= set(star_tables()["songplays"].schema.names)
