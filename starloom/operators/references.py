@@ -46,26 +46,27 @@ def key_counts(
     used = [p for p in parents if any(r.parent == p for r in references)]
     kinds = {p: parents[p][0].schema[parents[p][1]].dataType for p in used}
 
-    def entry(ref: int, parent: str, key: Column) -> Column:
-        keys = [(key if p == parent else F.lit(None)).cast(kinds[p]).alias(f"key_{p}") for p in used]
-        return F.struct(F.lit(ref).alias("ref"), *keys)
+    def entry(ref: int, parent: str, key: str) -> str:
+        keys = [f"CAST({f'`{key}`' if p == parent else 'NULL'} AS {kinds[p].simpleString()}) AS `key_{p}`" for p in used]
+        return f"struct({ref} AS ref, {', '.join(keys)})"
+
+    def stream(frame: DataFrame, entries: Sequence[str], n: int, m: int) -> DataFrame:
+        return frame.selectExpr(f"inline(array({', '.join(entries)}))").selectExpr("*", f"{n}L AS n", f"{m}L AS m")
 
     streams = []
     for name, child in children.items():
-        entries = [entry(i, r.parent, F.col(r.column)) for i, r in enumerate(references) if r.table == name]
+        entries = [entry(i, r.parent, r.column) for i, r in enumerate(references) if r.table == name]
         if entries:
-            streams.append(child.select(F.inline(F.array(*entries))).withColumns({"n": F.lit(1).cast("bigint"), "m": F.lit(0).cast("bigint")}))
+            streams.append(stream(child, entries, 1, 0))
     for name in used:
         frame, key = parents[name]
-        members = frame.select(F.col(key)).dropna()
-        entries = [entry(i, name, F.col(key)) for i, r in enumerate(references) if r.parent == name]
-        streams.append(members.select(F.inline(F.array(*entries))).withColumns({"n": F.lit(0).cast("bigint"), "m": F.lit(1).cast("bigint")}))
-    nothing = streams[0].sparkSession.range(0, len(references), 1, 1).select(
-        F.col("id").cast("int").alias("ref"), *[F.lit(None).cast(kinds[p]).alias(f"key_{p}") for p in used],
-        F.lit(0).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("m"),
-    )
+        entries = [entry(i, name, key) for i, r in enumerate(references) if r.parent == name]
+        streams.append(stream(frame.select(F.col(key)).dropna(), entries, 0, 1))
+    nothing = [f"CAST(NULL AS {kinds[p].simpleString()}) AS `key_{p}`" for p in used]
+    spark = streams[0].sparkSession
+    streams.append(spark.range(0, len(references), 1, 1).selectExpr("CAST(id AS int) AS ref", *nothing, "0L AS n", "0L AS m"))
     keys = ["ref", *[f"key_{p}" for p in used]]
-    return reduce(DataFrame.unionByName, [*streams, nothing]).groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
+    return reduce(DataFrame.union, streams).groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
 
 
 def _has_key(counts: DataFrame) -> Column:
