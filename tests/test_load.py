@@ -115,6 +115,10 @@ def test_later_batches_go_on(wh):
     assert wh.table("songs").filter(f"song_id = '{UNKNOWN_SONG_ID}'").count() == 1
 
 
+def test_later_batches_without_broadcasts(wh, shuffled_joins):
+    test_later_batches_go_on(wh)
+
+
 @pytest.mark.parametrize("mode, matched, unmatched", [("append", 4, 2), ("overwrite", 1, 1)])
 def test_staging_twice_before_the_first_build(wh, mode, matched, unmatched):
     wh.events("a", {"ts": 1000, "userId": 1}, {"ts": 2000, "userId": 1, "song": "none"})
