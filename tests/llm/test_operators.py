@@ -2,6 +2,7 @@
 
 import re
 import string
+import random
 import zlib
 from collections import Counter
 from math import log10
@@ -288,6 +289,35 @@ def test_every_word_of_a_long_text_is_learned_from():
     assert pairs == expected and sum(pairs.values()) == sum(r["n"] for r in rows if r["kind"] == 0)
 
 
+def test_words_have_the_ids_they_have_alone(monkeypatch):
+    path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    subwords, (encoding, _, cached) = lm_scoring.Subwords(path, pattern, 50_256), lm_scoring._encoding(path, pattern)
+    monkeypatch.setattr(cached, "limit", 40)  # entries go while others are still wanted
+    rng = random.Random(4)
+    for _ in range(60):
+        text = " ".join("".join(rng.choice("ab é\x00\x1c\x85\u00a0\u3000's12,.#<|>漢🙂\u200b_-") for _ in range(rng.randint(1, 8))) for _ in range(20))
+        keys, found, at, _ = subwords.words(pa.RecordBatch.from_pydict({"text": ["", text, text[::-1]]}))
+        ids, sizes = subwords.ids(found)
+        each = [part.tolist() for part in np.split(ids, np.cumsum(sizes)[:-1])]
+        wanted = [encoding.encode_ordinary(f" {w}") for t in (text, text[::-1]) for w in words(t)]
+        assert [each[i] for i in at] == wanted and len(each) == len(keys)
+
+
+def test_gradient_is_that_of_the_loss():
+    rng = np.random.default_rng(2)
+    n = (3, lm_scoring.WINDOW)
+    c, y = (rng.integers(0, lm_scoring.CLASSES, n) for _ in range(2))
+    weight = (rng.random(n) * (np.arange(n[1]) < [[5], [32], [1]])).astype(np.float32)
+    bigram = rng.normal(size=(lm_scoring.CLASSES,) * 2).astype(np.float32)
+    w, gradient = lm_scoring._start(), lm_scoring.Gradient(3)
+    _, got = gradient(w, bigram, c, y, weight)
+    for name, part in lm_scoring._named(got).items():
+        direction = np.zeros_like(w)
+        lm_scoring._named(direction)[name][:] = rng.normal(size=part.shape) * 0.01
+        up, down = (gradient(w + s * direction, bigram, c, y, weight)[0] for s in (1, -1))
+        assert (up - down) / 2 == pytest.approx(float((got * direction).sum()), rel=0.02, abs=2e-4), name
+
+
 def test_windows_give_every_class_once_with_all_its_context():
     rng = np.random.default_rng(5)
     model = rng.normal(size=(lm_scoring.CLASSES,) * 2).astype(np.float32), lm_scoring._start()
