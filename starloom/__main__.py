@@ -29,6 +29,7 @@ def parser() -> argparse.ArgumentParser:
     load.add_argument("--skip-dwh", action="store_true")
     load.add_argument("--skip-count", action="store_true")
     load.add_argument("--append", action="store_true", help="add to what is staged instead of replacing it")
+    load.add_argument("--once", action="store_true", help="with --append: stage each file once, and undo failed loads")
     load.add_argument("--keep-rejects", action="store_true", help="set values that do not fit aside instead of failing")
     load.add_argument("--max-rejects", type=int, help="fail beyond so many of them")
     return top
@@ -56,9 +57,14 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
             on_reject="null" if given.keep_rejects else "fail",
             event_paths_file=given.paths_file,
             max_rejects=given.max_rejects,
+            once=given.once,
         )
         for row in [*result.before, *result.after]:
             print(f"{row.tag}: {row.table_name} {row.n}")
+        for batch, name in result.undone:
+            print(f"undone: {name} of {batch}")
+        for name, n in result.files.items():
+            print(f"files: {name} {n}")
         for name, n in result.rejected.items():
             print(f"rejected: {name} {n}")
         print(f"seconds: {result.seconds:.1f}")

@@ -6,6 +6,7 @@ import time
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +23,21 @@ from starloom.operators.upsert import update_users
 from starloom.schemas import PLAY_KEY, PLAY_PAGE, UNKNOWN_ARTIST, UNKNOWN_SONG, star_tables
 from starloom.session import discard, materialize, work_folder
 from starloom.sources import json_files as j
-from starloom.sources.tables import REJECTS, append, append_rejects, lay_out, load, load_between, replace, reserve_ids
+from starloom.sources.ledger import Ledger, file_tag
+from starloom.sources.tables import (
+    FILE_BYTES,
+    REJECTS,
+    append,
+    append_files,
+    append_rejects,
+    files_for,
+    lay_out,
+    load,
+    load_between,
+    replace,
+    reserve_ids,
+    stored_bytes,
+)
 
 # Last event of a user: by time, then by position in the session.
 EVENT_ORDER = ("ts", "sessionid", "iteminsession")
@@ -43,6 +58,8 @@ class LoadResult:
     before: list[Row] = field(default_factory=list)
     after: list[Row] = field(default_factory=list)
     rejected: dict[str, int] = field(default_factory=dict)
+    files: dict[str, int] = field(default_factory=dict)  # staged from each collection, if each is staged once
+    undone: list[tuple[str, str]] = field(default_factory=list)  # (batch, table) of loads that had failed
     seconds: float = 0.0
     batch: str = field(default_factory=lambda: uuid.uuid4().hex)
 
@@ -67,20 +84,25 @@ def stage(
     on_reject: str = "fail",
     max_rejects: int | None = None,
     batch: str = "",
+    tag: str | None = None,
 ) -> int:
     """Load one staging table from text columns. Returns the number of rejected values (0 unless ``on_reject='null'``).
 
     With ``on_reject='null'`` the rows are read and written once: values that do not fit are NULL, and stand next to them
     in a column of the files that the table does not show. From there they go to the rejects table, whole and with their
-    batch. More than ``max_rejects`` of them fail the load, and neither table changes.
+    batch. More than ``max_rejects`` of them fail the load, and neither table changes. With ``tag``, which goes with
+    ``mode='append'``, the names of all files written begin with it.
     """
     if mode not in ("overwrite", "append") or on_reject not in ("fail", "null"):
         raise ValueError(f"mode={mode!r}, on_reject={on_reject!r}")
+    if tag and mode != "append":
+        raise ValueError("only appended files are tagged")
+    add = append if tag is None else partial(append_files, tag=tag)
     schema = load(spark, database, name).schema
     if on_reject == "fail":
         rows = _strict(text, schema)
         if mode == "append":
-            append(rows, database, name)
+            add(rows, database, name)
         else:
             replace(rows, database, name, keep_previous=False, check_text=False)
         return 0
@@ -94,7 +116,7 @@ def stage(
             raise ValueError(f"{found} values of {name} do not fit, more than {max_rejects}")
         if found:
             written = spark.read.schema(f"{REJECTS} array<{j.REJECT}>").parquet(folder)
-            append_rejects(j.rejected_values(written), database, name, batch)
+            append_rejects(j.rejected_values(written), database, name, batch, tag or "part")
 
     if mode == "overwrite":
         replace(rows, database, name, keep_previous=False, check_text=False, hidden=[REJECTS], before_switch=store_rejects)
@@ -103,7 +125,7 @@ def stage(
         try:
             rows = materialize(rows, work)
             store_rejects(work)
-            append(rows, database, name)
+            add(rows.drop(REJECTS), database, name)
         finally:
             discard(spark, work)
     return seen.get["n_rejected"]
@@ -163,10 +185,12 @@ def load_fact(
     page: str = PLAY_PAGE,
     n_partitions: int | None = None,
     on_reject: str = "null",
+    file_bytes: int = FILE_BYTES,
 ) -> dict[str, int]:
     """Append plays whose (start time, user, session) the fact does not have, with ids that go on from the last one.
 
     Plays with a NULL in that key are not loaded; returns how many there are.
+    The batch is stored in sorted files of about ``file_bytes``, by the bytes that its rows take before they are numbered.
     """
     plays = select_play_columns(plays_only(load(spark, database, "staging_events"), page))
     n_rejected = null_key_count(plays, PLAY_KEY).first()["n_rejected"]
@@ -190,7 +214,7 @@ def load_fact(
             start=lambda n: reserve_ids(spark, database, "songplays", "songplay_id", n),
             n_partitions=n_partitions,
         )
-        append(keyed, database, "songplays")
+        append(keyed, database, "songplays", files_for(stored_bytes(spark, work), file_bytes))
     finally:
         discard(spark, work)
     return rejected
@@ -211,9 +235,15 @@ def run_load(
     n_partitions: int | None = None,
     event_paths_file: str | None = None,
     max_rejects: int | None = None,
+    once: bool = False,
+    file_bytes: int = FILE_BYTES,
 ) -> LoadResult:
     """Stage, build and count. Each step commits on its own; after a failure the same call completes the load.
 
+    With ``once``, which goes with ``staging_mode="append"``, a ledger keeps the files that have been staged: only new
+    files are read, rows of a load that failed between its first and last write are removed first, and a call that finds
+    no new file stages nothing. ``file_bytes`` is the size of the files of the fact.
+
     The columns of events come from ``event_mapping`` (column -> JSON path), or from the paths of ``event_paths_file`` one
     by one, or from the fields of the same names. ``max_rejects`` limits the values of each staging table that
     ``on_reject='null'`` may set aside in the rejects table, under ``LoadResult.batch``.
@@ -221,6 +251,8 @@ def run_load(
     result, began = LoadResult(), time.perf_counter()
     if event_mapping and event_paths_file:
         raise ValueError("give event_mapping or event_paths_file, not both")
+    if once and staging_mode != "append":
+        raise ValueError("files are staged once in append mode only")
 
     def count(tag: str) -> list[Row]:
         frames = {name: load(spark, database, name) for name in star_tables()}
@@ -236,14 +268,27 @@ def run_load(
         else:
             events_mapping = event_mapping or j.by_name(events_schema)
         sources = {
-            "staging_events": j.read_text_columns(spark, events_prefix, events_mapping),
-            "staging_songs": j.read_text_columns(spark, songs_prefix, j.by_name(songs_schema)),
+            "staging_events": (events_prefix, events_mapping),
+            "staging_songs": (songs_prefix, j.by_name(songs_schema)),
         }
-        for name, text in sources.items():
-            result.rejected[name] = stage(spark, database, name, text, staging_mode, on_reject, max_rejects, result.batch)
+        ledger = Ledger(spark, database).create() if once else None
+        if ledger:
+            result.undone = ledger.undo_unfinished()
+        for name, (prefix, mapping) in sources.items():
+            files = ledger.begin(result.batch, name, prefix) if ledger else None
+            if files is not None:
+                result.files[name] = len(files)
+                if not files:
+                    result.rejected[name] = 0
+                    continue
+            text = j.read_text_columns(spark, prefix, mapping, files=files)
+            tag = file_tag(result.batch, name) if ledger else None
+            result.rejected[name] = stage(spark, database, name, text, staging_mode, on_reject, max_rejects, result.batch, tag)
+            if ledger:
+                ledger.note(result.batch, name, "stored")
     if not skip_dwh:
         result.rejected |= load_dimensions(spark, database, page, on_reject=on_reject)
-        result.rejected |= load_fact(spark, database, page, n_partitions, on_reject)
+        result.rejected |= load_fact(spark, database, page, n_partitions, on_reject, file_bytes)
     if not skip_count:
         result.after = count("after")
     result.seconds = time.perf_counter() - began

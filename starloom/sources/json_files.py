@@ -13,6 +13,7 @@ from starloom.functions.conversion import convert, is_rejected
 from starloom.schemas import EVENT_PATHS, STAGING_EVENTS, staging_songs
 
 _STEP = re.compile(r"\['([^']+)'\]|\.([A-Za-z_][A-Za-z0-9_]*)|\[(\d+)\]")
+_GLOB = re.compile(r"[*?\[\]{}\\]")  # what a path must not mean as a pattern
 CORRUPT = "corrupt_record"
 
 
@@ -89,14 +90,19 @@ def _at(document: Column, steps: Sequence[str | int]) -> Column:
 
 
 def read_text_columns(
-    spark: SparkSession, prefix: str, mapping: Mapping[str, str], mode: str = "FAILFAST"
+    spark: SparkSession,
+    prefix: str,
+    mapping: Mapping[str, str],
+    mode: str = "FAILFAST",
+    files: Sequence[str] | None = None,
 ) -> DataFrame:
-    """One text column per entry of ``mapping`` (column -> JSON path), from all files under a prefix."""
+    """One text column per entry of ``mapping`` (column -> JSON path), from all files under a prefix, or from ``files``."""
+    paths = resolve_source(prefix) if files is None else [_GLOB.sub(r"\\\g<0>", f) for f in files]
     raw = (
         spark.read.schema(path_schema(mapping))
         .option("mode", mode)
         .option("recursiveFileLookup", "true")
-        .json(resolve_source(prefix))
+        .json(paths)
     )
     columns = []
     for column, path in mapping.items():

@@ -16,6 +16,8 @@ VERSION = "version-"  # each table folder holds one folder per version of the ta
 NEXT_ID = "starloom.next_id"
 REJECTS = "rejects"  # column of staged files that holds values without a place
 REJECTS_TABLE = "staging_rejects"
+FILE_BYTES = 256 << 20  # of a stored file, about
+FILE_NAME = "mapreduce.output.basename"  # writer option: how names of written files begin
 
 
 def _column_list(schema: StructType) -> str:
@@ -51,7 +53,7 @@ def create_tables(
 
 def drop_tables(spark: SparkSession, database: str, tables: Mapping[str, Table] | None = None) -> None:
     """Drop all tables, referring tables first. The files of dropped tables stay for whoever keeps the storage."""
-    for name in [REJECTS_TABLE, *reversed(list(tables or star_tables()))]:
+    for name in ["load_ledger", REJECTS_TABLE, *reversed(list(tables or star_tables()))]:
         spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}`")
 
 
@@ -82,20 +84,61 @@ def lay_out(df: DataFrame, sort_by: Sequence[str], n_partitions: int | None = No
     return ranged.sortWithinPartitions(*sort_by)
 
 
-def append(df: DataFrame, database: str, name: str) -> None:
+def files_for(n_bytes: int, file_bytes: int = FILE_BYTES) -> int:
+    """How many files hold ``n_bytes``."""
+    return max(1, -(-n_bytes // file_bytes))
+
+
+def append(df: DataFrame, database: str, name: str, n_files: int | None = None) -> None:
     """Add rows; columns are matched by name. Text beyond the declared length fails the write.
 
     Rows of a table divided by day are sorted by day and sort key inside each task: one open file at a time, in order.
+    With ``n_files`` they are first divided into so many ranges of day and sort key, so that a batch adds at most
+    ``n_files`` files and one more for each of its days, and a large day is cut into files that do not overlap.
     """
     full_name = f"`{database}`.`{name}`"
     table = star_tables()[name]
     rows = df
     if table.day_of:
-        rows = df.withColumn(DAY, F.to_date(table.day_of)).sortWithinPartitions(DAY, *table.sort_by)
+        rows = df.withColumn(DAY, F.to_date(table.day_of))
+        if n_files:
+            rows = rows.repartitionByRange(n_files, DAY, *table.sort_by)
+        rows = rows.sortWithinPartitions(DAY, *table.sort_by)
     rows.select(*df.sparkSession.table(full_name).columns).write.insertInto(full_name, overwrite=False)
 
 
-def _folder(spark: SparkSession, database: str, name: str) -> str:
+def append_files(df: DataFrame, database: str, name: str, tag: str) -> None:
+    """:func:`append` for a table without days, in files whose names begin with ``tag``."""
+    spark = df.sparkSession
+    if star_tables()[name].day_of:
+        raise ValueError(f"{name} is divided by day")
+    rows = _checked(df, load(spark, database, name).columns)
+    rows.write.mode("append").option(FILE_NAME, tag).parquet(location(spark, database, name))
+    spark.catalog.refreshTable(f"`{database}`.`{name}`")
+
+
+def remove_files(spark: SparkSession, folder: str, tag: str) -> None:
+    """Delete the files of a folder whose names begin with ``tag``."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(path):
+        for status in files.listStatus(path):
+            if status.getPath().getName().startswith(f"{tag}-"):
+                files.delete(status.getPath(), False)
+
+
+def stored_bytes(spark: SparkSession, folder: str) -> int:
+    """Bytes of all files below a folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+
+
+def table_root(spark: SparkSession, database: str) -> str:
+    """The folder below which the tables were created."""
+    return location(spark, database, "staging_events").rsplit("/", 2)[0]
+
+
+def location(spark: SparkSession, database: str, name: str) -> str:
     described = spark.sql(f"DESCRIBE TABLE EXTENDED `{database}`.`{name}`")
     return described.filter("col_name = 'Location'").first().data_type
 
@@ -125,16 +168,22 @@ def _drop_versions(spark: SparkSession, table_folder: str, keep: set[str]) -> No
             files.delete(status.getPath(), True)
 
 
-def append_rejects(found: DataFrame, database: str, name: str, batch: str) -> None:
-    """Add rejected values (``column_name``, ``raw_value``, ``reason``) of a table to the rejects table, made if missing."""
+def append_rejects(found: DataFrame, database: str, name: str, batch: str, tag: str = "part") -> None:
+    """Add rejected values (``column_name``, ``raw_value``, ``reason``) of a table to the rejects table, made if missing.
+
+    The names of the files begin with ``tag``.
+    """
     spark = found.sparkSession
-    folder = _folder(spark, database, name).rsplit("/", 2)[0]
+    folder = table_root(spark, database)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS `{database}`.`{REJECTS_TABLE}` (table_name STRING, column_name STRING, raw_value STRING, "
         f"reason STRING, batch STRING) USING parquet PARTITIONED BY (batch) LOCATION '{_quoted(f'{folder}/{REJECTS_TABLE}')}'"
     )
-    rows = found.select(F.lit(name).alias("table_name"), "column_name", "raw_value", "reason", F.lit(batch).alias("batch"))
-    rows.write.insertInto(f"`{database}`.`{REJECTS_TABLE}`", overwrite=False)
+    rows = found.select(F.lit(name).alias("table_name"), "column_name", "raw_value", "reason")
+    of_batch = f"{location(spark, database, REJECTS_TABLE)}/batch={batch}"
+    rows.write.mode("append").option(FILE_NAME, tag).parquet(of_batch)
+    spark.sql(f"ALTER TABLE `{database}`.`{REJECTS_TABLE}` ADD IF NOT EXISTS PARTITION (batch = '{_quoted(batch)}')")
+    spark.catalog.refreshTable(f"`{database}`.`{REJECTS_TABLE}`")
 
 
 def replace(
@@ -158,7 +207,7 @@ def replace(
     if star_tables()[name].day_of:
         raise ValueError(f"{name} is divided by day and only grows; it cannot be replaced")
     full_name = f"`{database}`.`{name}`"
-    old = _folder(spark, database, name)
+    old = location(spark, database, name)
     table_folder, old_version = old.rsplit("/", 1)
     new_version = VERSION + uuid.uuid4().hex
     new = f"{table_folder}/{new_version}"
@@ -182,7 +231,7 @@ def clear(spark: SparkSession, database: str, name: str) -> None:
     if table.day_of is None:
         replace(load(spark, database, name).limit(0), database, name)
         return
-    table_folder = _folder(spark, database, name).rsplit("/", 1)[0]
+    table_folder = location(spark, database, name).rsplit("/", 1)[0]
     spark.sql(f"DROP TABLE `{database}`.`{name}`")
     _create(spark, database, table, table_folder)
 

@@ -4,12 +4,14 @@ import re
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from starloom.__main__ import main
 from starloom.operators import quality
 from starloom.plans.load import run_load
 from starloom.schemas import PLAY_KEY, UNKNOWN_ARTIST_ID, UNKNOWN_SONG_ID, star_tables
 from starloom.sources import tables as t
+from starloom.sources.ledger import Ledger
 from tests.conftest import rows
 from tests.test_sources import EVENT, write_json
 
@@ -244,3 +246,78 @@ def test_command_line(wh, spark, capsys):
 
 def test_fact_key_is_known_by_name():
     assert set(PLAY_KEY) <= set(star_tables()["songplays"].schema.names)
+
+
+def staged(wh):
+    return [wh.table(name).count() for name in ("staging_events", "staging_songs")]
+
+
+def test_each_file_is_staged_once(wh):
+    wh.events("a[1]{x}", {"ts": 1000, "userId": 1})
+    wh.songs("1", {})
+    options = {"staging_mode": "append", "once": True, "skip_count": True}
+    first = wh.run(**options, skip_dwh=True)
+    assert first.files == {"staging_events": 1, "staging_songs": 1} and staged(wh) == [1, 1]
+    again = wh.run(**options, skip_dwh=True)
+    assert again.files == {"staging_events": 0, "staging_songs": 0} and staged(wh) == [1, 1]
+    assert again.undone == []
+    wh.events("b", {"ts": 2000, "userId": 1}, {"ts": 3000, "userId": 2})
+    assert wh.run(**options, skip_dwh=True).files == {"staging_events": 1, "staging_songs": 0}
+    assert staged(wh) == [3, 1]
+    wh.events("b", {"ts": 2000, "userId": 1}, {"ts": 3000, "userId": 2}, {"ts": 4000, "userId": 2})  # another file now
+    assert wh.run(**options).files == {"staging_events": 1, "staging_songs": 0}
+    assert staged(wh) == [6, 1] and wh.table("songplays").count() == 6  # copies of one build stay
+    with pytest.raises(ValueError, match="append mode only"):
+        wh.run(once=True)
+
+
+@pytest.mark.parametrize("crash_at, on_reject", [("staging_events", "fail"), ("staging_songs", "null")])
+def test_a_load_that_died_is_undone_and_done_again(wh, spark, monkeypatch, on_reject, crash_at):
+    options = {"staging_mode": "append", "once": True, "skip_count": True, "skip_dwh": True, "on_reject": on_reject}
+    wh.events("a", {"ts": 1000, "userId": 1})
+    wh.songs("1", {})
+    wh.run(**options)
+    bad = {"registration": "r" * 300} if on_reject == "null" else {}
+    wh.events("b", {"ts": 2000, "userId": 2, **bad}, {"ts": 3000, "userId": 2})
+    wh.songs("2", {"song_id": "SO2", "title": "t" * 300 if on_reject == "null" else "U"})
+
+    note = Ledger.note
+
+    def crash(self, batch, name, step):  # all rows are written, the ledger does not say so yet
+        if name == crash_at and step == "stored":
+            raise KeyboardInterrupt
+        note(self, batch, name, step)
+
+    with monkeypatch.context() as broken, pytest.raises(KeyboardInterrupt):
+        broken.setattr(Ledger, "note", crash)
+        wh.run(**options)
+    left = [3, 1] if crash_at == "staging_events" else [3, 2]
+    assert staged(wh) == left
+
+    result = wh.run(**options)
+    assert [name for _, name in result.undone] == [crash_at]
+    assert result.files == {"staging_events": int(crash_at == "staging_events"), "staging_songs": 1}
+    assert staged(wh) == [3, 2]
+    if on_reject == "null":
+        kept = rows(wh.table("staging_rejects").select("table_name", "column_name"))
+        assert kept == [("staging_events", "registration"), ("staging_songs", "title")]
+    assert wh.run(**options).undone == [] and staged(wh) == [3, 2]
+
+
+def test_files_of_the_fact_follow_its_bytes(wh, spark):
+    hour = 3_600_000
+
+    def load_day(day, n):  # every play differs, so that its bytes do too
+        texts = [f"{day}-{k}-{hash((day, k)) & 0xFFFFFFFF:x}" * 4 for k in range(n)]
+        wh.events(f"d{day}", *[{"ts": day * 24 * hour + k * 1000, "userId": k, "sessionId": k, "userAgent": t} for k, t in enumerate(texts)])
+        wh.run(skip_count=True, file_bytes=8_000)
+        files = spark.table(f"{wh.db}.songplays").filter(f"start_date = date_add(date'1970-01-01', {day})")
+        return files.select("start_time", F.input_file_name().alias("file")).groupBy("file").agg(F.min("start_time").alias("low"), F.max("start_time").alias("high")).orderBy("low").collect()
+
+    wh.songs("1", {})
+    small = load_day(1, 1000)
+    (wh.folder / "log_data/2018/11/d1.json").unlink()
+    large = load_day(2, 2000)
+    assert 3 <= len(small) and 1.6 * len(small) <= len(large) <= 2.4 * len(small)
+    assert all(a.high <= b.low for a, b in zip(large, large[1:]))
+    assert t.files_for(0) == t.files_for(1) == 1 and t.files_for(2 * t.FILE_BYTES + 1) == 3
