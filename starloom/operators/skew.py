@@ -38,7 +38,7 @@ def _all_of(conditions: Sequence[Column]) -> Column:
     return reduce(Column.__and__, conditions)
 
 
-def _key_hash(keys: Sequence[str]) -> Column:
+def key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(f"`{k}`") for k in keys])
 
 
@@ -54,7 +54,7 @@ def hot_lists(df: DataFrame, key_sets: Sequence[Sequence[str]], hot_rows: int =
     entries = []
     for i, keys in enumerate(key_sets):
         known = reduce(Column.__and__, [F.col(f"`{k}`").isNotNull() for k in keys])
-        entries.append(F.struct(F.lit(i).alias("which"), F.when(known, _key_hash(keys)).alias("item")))
+        entries.append(F.struct(F.lit(i).alias("which"), F.when(known, key_hash(keys)).alias("item")))
     hashes = df.select(F.inline(F.array(*entries))).filter("item IS NOT NULL")
     group = F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("part")
     sketches = hashes.groupBy("which", group).agg(F.expr(f"approx_top_k_accumulate(item, {SKETCH_ITEMS})").alias("sketch"))
@@ -79,16 +79,16 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> li
     return [(*[r[k] for k in keys], _n_pieces(r["__n"], hot_rows)) for r in top.collect()]
 
 
-def _deal(columns: Sequence[str], pieces: Column | int) -> Column:
+def deal(columns: Sequence[str], pieces: Column | int) -> Column:
     """Piece of a row, from its values and its input partition.
 
     The partition number spreads exact copies of a row; neither part depends on the order of rows, so a task that
     runs twice deals the same way.
     """
-    return F.pmod(_key_hash(columns) + F.spark_partition_id(), F.lit(pieces) if isinstance(pieces, int) else pieces)
+    return F.pmod(key_hash(columns) + F.spark_partition_id(), F.lit(pieces) if isinstance(pieces, int) else pieces)
 
 
-def _copies(pieces: Column) -> Column:
+def copies(pieces: Column) -> Column:
     """One row per piece; one row for keys that are not split."""
     zero = F.lit(0).cast("bigint")
     return F.explode(F.when(pieces.isNull(), F.array(zero)).otherwise(F.sequence(zero, pieces - 1)))
@@ -133,15 +133,15 @@ def skew_join(
 
     # Pieces of the left side: column __l, and every right row once per piece of its key.
     no_key = reduce(Column.__or__, [F.col(f"`{l}`").isNull() for l in left_keys])
-    spread = F.when(no_key, _deal(left_columns, NULL_KEY_PIECES))
+    spread = F.when(no_key, deal(left_columns, NULL_KEY_PIECES))
     if left_hot:
         hot = F.broadcast(spark.createDataFrame(left_hot, "__hash bigint, __pieces bigint"))
-        left = left.join(hot, _key_hash(left_keys) == F.col("__hash"), "left")
-        spread = spread.when(F.col("__pieces").isNotNull(), _deal(left_columns, F.col("__pieces")))
-        right = right.join(hot, _key_hash(keys) == F.col("__hash"), "left").withColumn("__rl", _copies(F.col("__pieces")))
+        left = left.join(hot, key_hash(left_keys) == F.col("__hash"), "left")
+        spread = spread.when(F.col("__pieces").isNotNull(), deal(left_columns, F.col("__pieces")))
+        right = right.join(hot, key_hash(keys) == F.col("__hash"), "left").withColumn("__rl", copies(F.col("__pieces")))
         right = right.drop("__hash", "__pieces")
     else:
-        right = right.withColumn("__rl", F.pmod(_key_hash(keys), F.lit(1)))
+        right = right.withColumn("__rl", F.pmod(key_hash(keys), F.lit(1)))
     left = left.withColumn("__l", spread.otherwise(F.lit(0))).drop("__hash", "__pieces")
     matches.append(F.col("__l") == F.col("__rl"))
 
@@ -149,10 +149,10 @@ def skew_join(
     if right_hot:
         kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in right.select(*keys).schema.fields)
         hot = F.broadcast(spark.createDataFrame(right_hot, f"{kinds}, __pieces bigint"))
-        left = left.join(hot, _all_of(matches[:-1]), "left").drop(*keys).withColumn("__r", _copies(F.col("__pieces")))
+        left = left.join(hot, _all_of(matches[:-1]), "left").drop(*keys).withColumn("__r", copies(F.col("__pieces")))
         left = left.withColumnRenamed("__pieces", "__split")
         right = right.join(hot, keys, "left").withColumn(
-            "__rr", F.when(F.col("__pieces").isNotNull(), _deal(right_columns, F.col("__pieces"))).otherwise(F.lit(0))
+            "__rr", F.when(F.col("__pieces").isNotNull(), deal(right_columns, F.col("__pieces"))).otherwise(F.lit(0))
         )
         right = right.drop("__pieces").withColumn("__matched", F.lit(True))
         matches.append(F.col("__r") == F.col("__rr"))

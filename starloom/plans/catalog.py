@@ -22,6 +22,7 @@ from starloom.schemas import PLAY_KEY, STAGING_EVENTS, UNKNOWN_ARTIST, UNKNOWN_S
 from starloom.session import work_folder
 from starloom.sources import json_files as j
 from starloom.sources import tables
+from starloom.sources.colocated import Colocated
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -469,6 +470,34 @@ def stored_time(spark, sf_dir):
     return tables.load(spark, database, "time")
 
 
+def _colocated(spark, name: str, key: str) -> tuple[Colocated, str]:
+    database = f"starloom_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE `{database}`")
+    return Colocated(spark, database, name, key, int(spark.conf.get("spark.sql.shuffle.partitions"))), work_folder(spark)
+
+
+@registered
+def colocated_users(spark, sf_dir):
+    """Plays by level and gender from a copy of the fact divided by user, after two loads and the update of the users."""
+    s = Star(spark, sf_dir)
+    store, folder = _colocated(spark, "plays_by_user", "user_id")
+    plays = s.fact.select("event_id", "start_time", "user_id")
+    earlier = F.coalesce(F.col("start_time") < F.expr(f"timestamp_ntz'{a.LOADED_PLAYS_BEFORE}'"), F.lit(False))
+    store.create(plays.filter(earlier), s.users, folder, hot_from=s.play_keys.filter(earlier))
+    store.append(plays.filter(~earlier), hot_from=s.play_keys.filter(~earlier))
+    store.replace_members(s.current_users)
+    return store.counted(["level", "gender"])
+
+
+@registered
+def colocated_songs(spark, sf_dir):
+    """Every play with its song, from a copy of the fact divided by song; the unknown song has most plays."""
+    s = Star(spark, sf_dir)
+    store, folder = _colocated(spark, "plays_by_song", "song_id")
+    store.create(s.fact.select("event_id", "song_id"), s.songs.select("song_id", "title", "year"), folder)
+    return store.joined()
+
+
 def _as_table(df: DataFrame, name: str) -> DataFrame:
     """``df`` in the columns and types of a table."""
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in star_tables()[name].schema.fields])

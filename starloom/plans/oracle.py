@@ -426,4 +426,8 @@ ORACLE: dict[str, str] = {
     "load_rejects": _with(_REJECTS, "stg_events"),
     "stored_users": _with("SELECT CAST(user_id AS INTEGER) AS user_id, first_name, last_name, gender, level FROM current_users", "current_users"),
     "stored_time": _with("SELECT * FROM time_rows", "time_rows"),
+    "colocated_users": _with(
+        "SELECT u.level, u.gender, count(*) AS n FROM fact f JOIN current_users u ON u.user_id = f.user_id GROUP BY ALL", "fact", "current_users"
+    ),
+    "colocated_songs": _with("SELECT f.event_id, s.song_id, s.title, s.year FROM fact f JOIN songs s ON s.song_id = f.song_id", "fact", "songs"),
 }

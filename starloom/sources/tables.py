@@ -159,7 +159,7 @@ def _checked(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def _drop_versions(spark: SparkSession, table_folder: str, keep: set[str]) -> None:
+def drop_versions(spark: SparkSession, table_folder: str, keep: set[str]) -> None:
     folder = spark._jvm.org.apache.hadoop.fs.Path(table_folder)
     files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
     for status in files.listStatus(folder):
@@ -218,11 +218,11 @@ def replace(
         try:
             before_switch(new)
         except Exception:
-            _drop_versions(spark, table_folder, {old_version})
+            drop_versions(spark, table_folder, {old_version})
             raise
     spark.sql(f"ALTER TABLE {full_name} SET LOCATION '{_quoted(new)}'")
     spark.catalog.refreshTable(full_name)
-    _drop_versions(spark, table_folder, {new_version} | ({old_version} if keep_previous else set()))
+    drop_versions(spark, table_folder, {new_version} | ({old_version} if keep_previous else set()))
 
 
 def clear(spark: SparkSession, database: str, name: str) -> None:
