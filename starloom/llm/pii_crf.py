@@ -1,21 +1,25 @@
 """Personal data: fixed patterns, and a skip-chain conditional random field that adds what they miss.
 
-Patterns give base spans. Words with a digit or ``@`` are the nodes of a conditional random field, with one label per
-kind, ``secret`` for keys and passwords, and none. Neighbouring nodes share chain potentials; tokens of one document
-that repeat or have the same digits share skip potentials, each with its next occurrence, so edges grow with the tokens
-and not with their square. Loopy message passing (all documents of a slice at once, damped, until it settles) brings the
-labels of a document in line: a number that is a phone number in one place is one in the other. Confident labels outside
-base spans become spans of their own.
+Patterns give base spans. The nodes of a conditional random field are the words with a digit or ``@``, and words of letters
+that stand where a password or key is named; labels are the kinds, ``secret`` for keys and passwords, and none.
+Neighbouring nodes share chain potentials. Tokens of one document that repeat or have the same digits share skip
+potentials with a variable of their own, a hub, so any two of them are two steps apart and edges grow with the tokens, not
+with their square. Loopy message passing, damped, brings the labels of a document in line: a number that is a phone number
+in one place is one in the other. It ends for each document when that document settles, or after ``ROUNDS`` rounds with
+the labels of the last one, so no result depends on which documents share a slice. Confident labels outside base spans
+become spans of their own.
 
 Node weights are fitted by logistic regression and pair potentials by counting, on all candidate tokens of all texts;
 their labels come from the patterns and from key names that stand before a value. Tokens of the same features and label
 are one row with a count, summed per task and then in a shuffle, and pairs of labels are 36 counts of each sort of edge,
-so copies cost nothing and crowd nothing out. More than ``FITTED_ROWS`` rows are fitted in parts of about that size,
-whose weights are averaged by the tokens that have the feature.
-
-Edge cases: a null or empty text has no spans; repeated rows give a row each; ties between labels go to the earlier
-kind; without candidate tokens to learn from only base spans are returned; an empty table gives an empty result;
-``redact`` passes all other columns through, ``find_spans`` reads only ``doc_id`` and ``text``.
+so copies cost nothing and crowd nothing out. The gradient is that of all rows in every step: up to ``FITTED_ROWS`` rows
+one task takes all steps, beyond that each step is a Spark job that sums the gradients of parts of the rows. Both give
+the same weights but for rounding.
+
+Edge cases: a null or empty text has no spans; very long texts and words are read whole, one at a time; repeated rows
+give a row each; ties between labels go to the earlier kind; without candidate tokens to learn from only base spans are
+returned; an empty table gives an empty result; ``redact`` passes all other columns through, ``find_spans`` reads only
+``doc_id`` and ``text``.
 """
 
 from __future__ import annotations
@@ -24,7 +28,7 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from itertools import pairwise
+from itertools import groupby, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +41,8 @@ from starloom.session import materialize, work_folder
 KINDS = ("email", "ip", "card", "phone", "secret")
 FITTED_ROWS = 20_000
 CONFIDENT = 0.9
-_PLACES, _ROUNDS = 1024, 30
+ROUNDS, STEPS = 200, 200
+_PLACES = 1024
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -48,11 +53,17 @@ _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _KEY_NAMES = frozenset("token secret password passwd pwd key apikey api_key auth credential bearer".split())
 _CONTEXT = _KEY_NAMES | frozenset("phone tel telephone mobile fax call mail email contact card visa account ip host server addr address".split())
 _ASSIGNED = re.compile(r"(?i)^\W*(?:\w*(?:token|secret|passw(?:or)?d|pwd|api_?key))[=:](.+)$")
+_LETTERS_NAMED = r"(?:(?:passw(?:or)?d|passphrase|pwd|api_?key)\W?[:=]|(?:secret|token)\W?=)"
+_NAMED = re.compile(rf"(?i){_LETTERS_NAMED}")
+_NAMED_BEFORE = re.compile(rf"(?i){_LETTERS_NAMED}$")
+_NAMED_INSIDE = re.compile(rf"(?i)^\W*\w*{_LETTERS_NAMED}\W*\w{{8,}}")
 _ACCESS_KEY = re.compile(r"^\W*AKIA[0-9A-Z]{16}\W*$")
 
 _CANDIDATE = np.zeros(256, bool)
 _CANDIDATE[48:58] = True
 _CANDIDATE[64] = True
+_ASSIGNS = np.zeros(256, bool)
+_ASSIGNS[[58, 61]] = True
 
 Span = tuple[int, int, int]  # kind, start, end
 
@@ -96,21 +107,29 @@ def base_spans(text: str) -> list[Span]:
 
 
 def _shape(word: str) -> str:
-    kinds = ("9" if c in "0123456789" else "A" if c.isupper() else "a" if c.isalpha() else c for c in word[:64])
-    out: list[str] = []
-    for c in kinds:
-        if not out or out[-1] != c:
-            out.append(c)
-    return "".join(out[:8])
+    """Runs of digits, capitals, letters and other characters; of words with many runs only the sorts."""
+    kinds = ("9" if c in "0123456789" else "A" if c.isupper() else "a" if c.isalpha() else c for c in word)
+    out = [c for c, _ in groupby(kinds)]
+    return "".join(out) if len(out) <= 8 else f"many {''.join(sorted(set(out)))}"
+
+
+def _of_letters(words: list[str], i: int) -> bool:
+    """Whether a word without digit or at sign stands where a password or key is named."""
+    w = words[i]
+    if re.search("[0-9@]", w):
+        return False
+    return bool(_NAMED_INSIDE.match(w) or (i and len(w) >= 8 and _NAMED_BEFORE.search(words[i - 1])))
 
 
 def _features(words: list[str], i: int) -> list[int]:
     w = words[i]
     p1, p2 = (words[i - 1] if i else ""), (words[i - 2] if i > 1 else "")
-    digits = sum(c in "0123456789" for c in w[:256])
-    letters = sum(c.isalpha() for c in w[:256])
-    core = re.sub(r"[^0-9A-Za-z]", "", w[:256])
+    digits = sum(c in "0123456789" for c in w)
+    letters = sum(c.isalpha() for c in w)
+    core = re.sub(r"[^0-9A-Za-z]", "", w)
     names = ["bias", f"shape {_shape(w)}", f"size {min(len(w), 48) // 3}", f"digits {min(digits, 24) // 2}"]
+    if _of_letters(words, i):
+        names.append("named letters")
     names += [f"has {c}" for c in '@.:="(+-' if c in w]
     if core and re.fullmatch(r"[0-9a-f]+", core) and letters > 2:
         names.append("hex")
@@ -118,7 +137,7 @@ def _features(words: list[str], i: int) -> list[int]:
         names.append("mixed")
     if core.isupper() and digits and letters > 3:
         names.append("capitals")
-    names.append(f"before {_shape(p1)[:3]}")
+    names.append(f"before {_shape(p1)}")
     names += [f"{n} {x}" for n, p in (("one", p1), ("two", p2)) if (x := re.sub(r"\W", "", p.lower())) in _CONTEXT]
     return sorted({zlib.crc32(n.encode()) % _PLACES for n in names})
 
@@ -126,27 +145,25 @@ def _features(words: list[str], i: int) -> list[int]:
 def _tokens(text: str) -> tuple[list[str], list[int], list[tuple[int, int]]]:
     """All words, the numbers of the candidate words, and their places."""
     words, nodes, at = [], [], []
+    named = _NAMED.search(text)
     for i, m in enumerate(_WORD.finditer(text)):
         words.append(m[0])
-        if re.search("[0-9@]", m[0]):
+        if re.search("[0-9@]", m[0]) or (named and _of_letters(words, i)):
             nodes.append(i)
             at.append((m.start(), m.end()))
     return words, nodes, at
 
 
-def _edges(words: list[str], nodes: list[int]) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
-    """Chain edges between neighbouring words, skip edges from each token to the next that is alike."""
+def _edges(words: list[str], nodes: list[int]) -> tuple[list[tuple[int, int]], list[tuple[int, ...]]]:
+    """Chain edges between neighbouring words; the tokens of each hub."""
     chain = [(k, k + 1) for k, (i, j) in enumerate(pairwise(nodes)) if j == i + 1]
-    skip: set[tuple[int, int]] = set()
-    last: dict[str, int] = {}
+    alike: dict[str, list[int]] = {}
     for k, i in enumerate(nodes):
         core = re.sub(r"[^0-9a-z]", "", words[i].lower())
         digits = re.sub(r"[^0-9]", "", core)
         for key in {core if len(core) > 3 else "", digits if len(digits) > 5 else ""} - {""}:
-            if key in last:
-                skip.add((last[key], k))
-            last[key] = k
-    return chain, sorted(skip - set(chain))
+            alike.setdefault(key, []).append(k)
+    return chain, sorted({tuple(tokens) for tokens in alike.values() if len(tokens) > 1})
 
 
 def _weak_label(words: list[str], i: int, place: tuple[int, int], base: list[Span]) -> int:
@@ -154,24 +171,31 @@ def _weak_label(words: list[str], i: int, place: tuple[int, int], base: list[Spa
     for kind, a, b in base:
         if a < place[1] and place[0] < b:
             return kind + 1
+    if _of_letters(words, i):
+        return 5
     before = [re.sub(r"\W", "", w.lower()) for w in words[max(0, i - 2) : i]]
     named = len(words[i]) > 8 and i and words[i - 1][-1] in "=:" and bool(_KEY_NAMES & set(before))
     return 5 if named or _ASSIGNED.match(words[i]) or _ACCESS_KEY.match(words[i]) else 0
 
 
 def _with_candidates(b: pa.RecordBatch) -> Iterator[tuple[int, str]]:
-    """Number and text of the rows that have a digit or an at sign; the patterns match in no others."""
+    """Number and text of the rows that have a digit, an at sign or a named password; the patterns match in no others."""
     buf, offsets = flat(b.column("text"))
-    total = np.append(0, np.cumsum(_CANDIDATE[buf], dtype=np.int64))[offsets]
-    for i in np.flatnonzero(np.diff(total)).tolist():
-        yield i, b.column("text")[i].as_py()
+    sure, maybe = (np.diff(np.append(0, np.cumsum(x[buf], dtype=np.int64))[offsets]) > 0 for x in (_CANDIDATE, _ASSIGNS))
+    for i in np.flatnonzero(sure | maybe).tolist():
+        text = b.column("text")[i].as_py()
+        if sure[i] or _NAMED.search(text):
+            yield i, text
 
 
 _COUNTED = "sort int, places array<int>, `first` int, label int, n bigint"
 
 
 def _examples(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How often the tokens have features (sort 0) and a label, and chain (1) and skip (2) edges have a pair of labels."""
+    """How often the tokens have features (sort 0) and a label, and chain (1) and skip (2) edges have a pair of labels.
+
+    The label of a hub is the most frequent one of its tokens.
+    """
     types = (pa.int32(), pa.list_(pa.int32()), pa.int32(), pa.int32(), pa.int64())
 
     def rows():
@@ -185,8 +209,11 @@ def _examples(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words, nodes, at = _tokens(text)
             label = [_weak_label(words, i, p, base) for i, p in zip(nodes, at, strict=True)]
             counts.update((0, tuple(_features(words, i)), 0, y) for i, y in zip(nodes, label, strict=True))
-            for sort, edges in enumerate(_edges(words, nodes), 1):
-                counts.update((sort, (), label[i], label[j]) for i, j in edges)
+            chain, hubs = _edges(words, nodes)
+            counts.update((1, (), label[i], label[j]) for i, j in chain)
+            for hub in hubs:
+                most = int(np.bincount([label[i] for i in hub]).argmax())
+                counts.update((2, (), label[i], most) for i in hub)
         if len(counts) > 1 << 16:
             yield rows()
             counts.clear()
@@ -194,37 +221,94 @@ def _examples(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield rows()
 
 
-def weights(places: list, y: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Logistic regression on rows that count ``times`` each: weights (place x label), and the tokens of each place."""
-    n = len(KINDS) + 1
-    at = np.concatenate(places)
-    row = np.repeat(np.arange(len(y)), [len(p) for p in places])
-    w, speed = np.zeros((_PLACES, n)), np.zeros((_PLACES, n))
-    target = np.eye(n)[y]
-    tokens = np.bincount(at, times[row], _PLACES)
-    per_place = np.maximum(tokens, 1)[:, None]
-    order = np.argsort(at, kind="stable")
-    used, first = np.unique(at[order], return_index=True)
-    starts = np.flatnonzero(np.diff(row, prepend=-1))
-    for _ in range(200):
-        z = np.add.reduceat(w[at], starts)
+class _Rows:
+    """Rows of places, a label and a count, for gradients of the log loss."""
+
+    def __init__(self, places: list, y: list, times: list):
+        self.at = np.concatenate(places)
+        row = np.repeat(np.arange(len(y)), [len(p) for p in places])
+        self.starts = np.flatnonzero(np.diff(row, prepend=-1))
+        self.target, self.times = np.eye(len(KINDS) + 1)[y], np.array(times, float)
+        order = np.argsort(self.at, kind="stable")
+        self.used, self.first = np.unique(self.at[order], return_index=True)
+        self.row = row[order]
+        self.tokens = np.add.reduceat(self.times[self.row], self.first)
+
+    def gradient(self, w: np.ndarray) -> np.ndarray:
+        """Of the weights of the places in ``used``."""
+        z = np.add.reduceat(w[self.at], self.starts)
         z = np.exp(z - z.max(1, keepdims=True))
-        miss = (z / z.sum(1, keepdims=True) - target) * times[:, None]
-        grad = np.zeros_like(w)
-        grad[used] = np.add.reduceat(miss[row[order]], first)
-        speed = 0.9 * speed - 0.1 * (grad / per_place + 1e-4 * w)
+        miss = (z / z.sum(1, keepdims=True) - self.target) * self.times[:, None]
+        return np.add.reduceat(miss[self.row], self.first)
+
+
+def weights(gradient) -> np.ndarray:
+    """Logistic regression by gradient steps with momentum: weights (place x label).
+
+    ``gradient`` takes weights and returns the places in use, their tokens, and the summed gradient of their weights.
+    """
+    w, speed = np.zeros((_PLACES, len(KINDS) + 1)), np.zeros((_PLACES, len(KINDS) + 1))
+    for _ in range(STEPS):
+        used, tokens, sums = gradient(w)
+        grad = 1e-4 * w
+        grad[used] += sums / np.maximum(tokens, 1)[:, None]
+        speed = 0.9 * speed - 0.1 * grad
         w += speed
-    return w, tokens
+    return w
+
+
+def _rows_of(batch: pa.RecordBatch) -> _Rows:
+    return _Rows(*(batch.column(c).to_pylist() for c in ("places", "label", "n")))
+
+
+def _placed(used: np.ndarray, tokens: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
+    edge = np.arange(len(used) + 1, dtype=np.int32) * values.shape[1]
+    lists = pa.ListArray.from_arrays(edge, pa.array(values.reshape(-1)))
+    return pa.RecordBatch.from_arrays([pa.array(used), pa.array(tokens), lists], ["place", "tokens", "w"])
+
+
+_PLACED = "place bigint, tokens double, w array<double>"
 
 
 def _fitted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    rows = [b for b in batches if len(b)]
-    if rows:
-        places, y, times = ([v for b in rows for v in b.column(c).to_pylist()] for c in ("places", "label", "n"))
-        w, tokens = weights(places, np.array(y), np.array(times, float))
-        used = np.flatnonzero(tokens)
-        columns = [pa.array(used), pa.array(tokens[used]), pa.ListArray.from_arrays(np.arange(len(used) + 1, dtype=np.int32) * w.shape[1], pa.array(w[used].reshape(-1)))]
-        yield pa.RecordBatch.from_arrays(columns, ["place", "tokens", "w"])
+    """All steps in one task."""
+    parts = [b for b in batches if len(b)]
+    if parts:
+        rows = _rows_of(pa.Table.from_batches(parts).combine_chunks().to_batches()[0])
+        w = weights(lambda w: (rows.used, rows.tokens, rows.gradient(w)))
+        yield _placed(rows.used, rows.tokens, w[rows.used])
+
+
+def _partial(w: np.ndarray):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if len(b):
+                rows = _rows_of(b)
+                yield _placed(rows.used, rows.tokens, rows.gradient(w))
+
+    return run
+
+
+def _node_weights(nodes: DataFrame) -> np.ndarray | None:
+    """Of the counted rows of features and label; None without any."""
+    spark, n = nodes.sparkSession, len(KINDS) + 1
+    parts = -(-nodes.count() // FITTED_ROWS)
+    if not parts:
+        return None
+    w = np.zeros((_PLACES, n))
+    if parts == 1:
+        # Sorted, so that sums have the same order whichever task wrote its rows first.
+        for r in nodes.repartition(1).sortWithinPartitions("places", "label").mapInArrow(_fitted, _PLACED).collect():
+            w[r["place"]] = r["w"]
+        return w
+    dealt = materialize(nodes.repartition(parts, "places", "label"), work_folder(spark))
+
+    def gradient(w: np.ndarray):
+        sums = dealt.mapInArrow(_partial(w), _PLACED).groupBy("place")
+        sums = sums.agg(F.sum("tokens").alias("tokens"), *[F.sum(F.col("w")[k]).alias(f"w{k}") for k in range(n)]).toPandas()
+        return sums["place"].to_numpy(), sums["tokens"].to_numpy(), sums[[f"w{k}" for k in range(n)]].to_numpy()
+
+    return weights(gradient)
 
 
 def fit(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
@@ -232,17 +316,9 @@ def fit(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
     spark, n = docs.sparkSession, len(KINDS) + 1
     counted = docs.select("text").mapInArrow(_examples, _COUNTED).groupBy("sort", "places", "first", "label").agg(F.sum("n").alias("n"))
     counted = materialize(counted, work_folder(spark))
-    nodes = counted.filter("sort = 0").select("places", "label", "n")
-    parts = -(-nodes.count() // FITTED_ROWS)
-    if not parts:
+    w = _node_weights(counted.filter("sort = 0").select("places", "label", "n"))
+    if w is None:
         return None
-    # Sorted, so that a part is summed in the same order whichever task wrote its rows first.
-    dealt = nodes.repartition(parts, "places", "label").sortWithinPartitions("places", "label")
-    fitted = dealt.mapInArrow(_fitted, "place bigint, tokens double, w array<double>")
-    mean = [(F.sum(F.col("tokens") * F.col("w")[k]) / F.sum("tokens")).alias(f"w{k}") for k in range(n)]
-    mean = fitted.groupBy("place").agg(*mean).toPandas()  # a row for each place at most
-    w = np.zeros((_PLACES, n))
-    w[mean["place"]] = mean[[f"w{k}" for k in range(n)]]
     pairs = np.zeros((3, n, n))
     for r in counted.filter("sort > 0").collect():  # 72 rows at most
         pairs[r["sort"], r["first"], r["label"]] = r["n"]
@@ -255,25 +331,32 @@ def fit(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
     return w, potential(pairs[1], 0.0), potential(pairs[2], 50.0)
 
 
-def marginals(node: np.ndarray, edges: np.ndarray, pair: np.ndarray) -> np.ndarray:
-    """Label probabilities by damped loopy message passing. ``pair`` holds the log potential of each edge."""
+def marginals(node: np.ndarray, edges: np.ndarray, pair: np.ndarray, doc: np.ndarray | None = None) -> np.ndarray:
+    """Label probabilities by damped loopy message passing, until the document of a node (``doc``) has settled.
+
+    ``pair`` holds the log potential of each edge.
+    """
     node = node - node.max(1, keepdims=True)
     if len(edges):
+        doc = np.zeros(len(node), np.int64) if doc is None else doc
         src = np.concatenate([edges[:, 0], edges[:, 1]])
         dst = np.concatenate([edges[:, 1], edges[:, 0]])
         both = np.concatenate([pair, pair.transpose(0, 2, 1)])
         back = np.roll(np.arange(len(src)), len(edges))
         sent = np.zeros((len(src), node.shape[1]))
-        for _ in range(_ROUNDS):
+        live = np.arange(len(src))
+        for _ in range(ROUNDS):
             belief = node.copy()
-            np.add.at(belief, dst, sent)
-            out = (belief[src] - sent[back])[:, :, None] + both
+            np.add.at(belief, dst[live], sent[live])
+            out = (belief[src[live]] - sent[back[live]])[:, :, None] + both[live]
             top = out.max(1)
             new = top + np.log(np.exp(out - top[:, None, :]).sum(1))
             new -= new.max(1, keepdims=True)
-            change = np.abs(new - sent).max()
-            sent = 0.5 * sent + 0.5 * new
-            if change < 1e-3:
+            change = np.zeros(doc[-1] + 1)
+            np.maximum.at(change, doc[src[live]], np.abs(new - sent[live]).max(1))
+            sent[live] = 0.5 * sent[live] + 0.5 * new
+            live = live[change[doc[src[live]]] >= 1e-3]
+            if not len(live):
                 break
         belief = node.copy()
         np.add.at(belief, dst, sent)
@@ -287,33 +370,38 @@ def _trimmed(text: str, start: int, end: int, kind: int) -> tuple[int, int]:
         start += m.start(1)
     while start < end and text[start] in "\"'`([{<":
         start += 1
-    while end > start and text[end - 1] in "\"'`)]}>,.;:!?":
+    while end > start and text[end - 1] in "\"'`)]}>,.;:!?#*":
         end -= 1
     return start, end
 
 
-def label_batch(model, b: pa.RecordBatch) -> list[list[Span]]:
-    """All spans of each row, base spans first of their kind and start."""
+def label_batch(model, b: pa.RecordBatch) -> tuple[list[list[Span]], dict[int, list[Span]]]:
+    """All spans of each row by kind and start, and the base spans of the rows that may have some."""
     found: list[list[Span]] = [[] for _ in range(len(b))]
-    base, graphs, places, sizes, edges, kinds, n = {}, [], [], [], [], [], 0
+    base, graphs, places, sizes, tokens, edges, kinds, docs, n = {}, [], [], [], [], [], [], [], 0
     for row, text in _with_candidates(b):
         base[row] = found[row] = base_spans(text)
         if model is None:
             continue
         words, nodes, at = _tokens(text)
-        chain, skip = _edges(words, nodes)
+        chain, hubs = _edges(words, nodes)
         graphs.append((row, text, nodes, at, n))
         for i in nodes:
             f = _features(words, i)
             places += f
             sizes.append(len(f))
-        edges += [(a + n, c + n) for a, c in chain + skip]
+        tokens += range(n, n + len(nodes))
+        skip = [(i + n, n + len(nodes) + h) for h, hub in enumerate(hubs) for i in hub]
+        edges += [(a + n, c + n) for a, c in chain] + skip
         kinds += [0] * len(chain) + [1] * len(skip)
-        n += len(nodes)
+        n += len(nodes) + len(hubs)
+        docs += [len(graphs) - 1] * (len(nodes) + len(hubs))
     if n:
         weights, *pairs = model
-        node = np.add.reduceat(weights[places], np.cumsum(sizes) - sizes)
-        p = marginals(node, np.array(edges).reshape(-1, 2), np.array(pairs)[kinds] if kinds else np.zeros((0, 6, 6)))
+        node = np.zeros((n, len(KINDS) + 1))
+        node[tokens] = np.add.reduceat(weights[places], np.cumsum(sizes) - sizes)
+        pair = np.array(pairs)[kinds] if kinds else np.zeros((0, len(KINDS) + 1, len(KINDS) + 1))
+        p = marginals(node, np.array(edges).reshape(-1, 2), pair, np.array(docs))
         label, sure = p.argmax(1), p.max(1)
         for row, text, nodes, at, offset in graphs:
             added: list[list[int]] = []
@@ -327,7 +415,7 @@ def label_batch(model, b: pa.RecordBatch) -> list[list[Span]]:
                     added.append([kind, start, end, i])
             more = [(kind, *_trimmed(text, a, z, kind)) for kind, a, z, _ in added]
             found[row] = sorted(base[row] + [s for s in more if s[1] < s[2]])
-    return found
+    return found, base
 
 
 _SPANS = "array<struct<kind:int,start:bigint,`end`:bigint,base:boolean>>"
@@ -338,10 +426,10 @@ def _found(shared):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             rows = []
-            texts = b.column("text")
-            for i, spans in enumerate(label_batch(shared.value, b)):
-                base = set(base_spans(texts[i].as_py())) if spans else set()
-                rows.append([{"kind": k, "start": a, "end": z, "base": (k, a, z) in base} for k, a, z in spans])
+            found, base = label_batch(shared.value, b)
+            for i, spans in enumerate(found):
+                fixed = set(base.get(i, ()))
+                rows.append([{"kind": k, "start": a, "end": z, "base": (k, a, z) in fixed} for k, a, z in spans])
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(rows, _ARROW)], ["doc_id", "spans"])
 
     return run
@@ -351,7 +439,7 @@ def _redacted(shared):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             texts = b.column("text").to_pylist()
-            for i, spans in enumerate(label_batch(shared.value, b)):
+            for i, spans in enumerate(label_batch(shared.value, b)[0]):
                 out, at = [], 0
                 for kind, start, end in sorted(spans, key=lambda s: (s[1], -s[2])):
                     if start >= at:

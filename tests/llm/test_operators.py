@@ -1,5 +1,6 @@
 """Edge cases and brute-force versions of the operators; the registered SQL is compared by the driver."""
 
+import hashlib
 import re
 import string
 import random
@@ -14,7 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starloom.llm import decontaminate, licences, line_rules, lm_scoring, near_dup, pii_crf, piece_viterbi, quality_svm
-from starloom.llm import token_counts, token_files
+from starloom.llm import queries, token_counts, token_files
 from starloom.session import work_folder
 
 BYTES, WORDS, PIECES = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"))
@@ -170,12 +171,78 @@ def test_the_random_field_learns_from_all_tokens(spark, docs, monkeypatch):
         for r in b.to_pylist():
             seen[r["sort"], r["label"]] += r["n"]
     assert seen[0, 0] == 50_000 and seen[0, 5] == 80 and seen[0, 3] == 12 and seen[1, 3] == 9
-    for most in (pii_crf.FITTED_ROWS, 10):  # in one part, and in several
-        monkeypatch.setattr(pii_crf, "FITTED_ROWS", most)
-        model = pii_crf.fit(rows)
-        words = ["token:", "zq7abcdef7x", "part", "1234567"]
-        node = [model[0][pii_crf._features(words, i)].sum(0).argmax() for i in (1, 3)]
-        assert node == [5, 0] and model[1][3, 3] > 0
+    model = pii_crf.fit(rows)
+    words = ["token:", "zq7abcdef7x", "part", "1234567"]
+    node = [model[0][pii_crf._features(words, i)].sum(0).argmax() for i in (1, 3)]
+    assert node == [5, 0] and model[1][3, 3] > 0
+
+    monkeypatch.setattr(pii_crf, "STEPS", 5)  # the same steps in one task, and as a job each
+    one = pii_crf.fit(rows)
+    monkeypatch.setattr(pii_crf, "FITTED_ROWS", 10)
+    many = pii_crf.fit(rows)
+    assert all(np.allclose(a, b, rtol=1e-9, atol=1e-12) for a, b in zip(one, many, strict=True)) and one[0].any()
+
+
+def test_words_and_passwords_are_read_whole(spark):
+    long = "q" * 300
+    assert pii_crf._features([f"{long}7", "x"], 0) != pii_crf._features([f"{long}q7k7", "x"], 0)
+    letters = "Nothing else here. password: horsebatterystaple and the secret: persistence"
+    texts = [f"token: zq{k}abcdef{k}x ok" for k in range(40)] + [f"pwd={'abcdefghij'[k:] * 3} ok 77" for k in range(5)]
+    texts += [letters, 'key: 24bead0c24bead0c24bead0c24beadff"### end']
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r.doc_id: [(pii_crf.KINDS[s["kind"]], texts[r.doc_id][s["start"] : s["end"]]) for s in r.spans] for r in pii_crf.find_spans(docs).collect()}
+    assert found[45] == [("secret", "horsebatterystaple")]
+    assert found[46] == [("secret", "24bead0c24bead0c24bead0c24beadff")]
+    assert found[40] == [("secret", "abcdefghij" * 3)]
+
+
+def test_spans_do_not_depend_on_neighbours_and_hubs_reach_far():
+    """The first of 60 like tokens has the evidence; other documents of the slice change no number."""
+    n, same = 60, np.log(np.array([[0.49, 0.01], [0.01, 0.49]]))
+    node = np.zeros((n + 1, 2))
+    node[0, 1] = 9.0
+    edges = np.array([(i, n) for i in range(n)])
+    p = pii_crf.marginals(node, edges, np.repeat(same[None], n, 0))
+    assert (p[:, 1] > 0.9).all()
+    more = np.random.default_rng(1).normal(0, 3, (4, 2))
+    cycle = np.array([(0, 1), (1, 2), (2, 3), (3, 0)])
+    both = pii_crf.marginals(
+        np.concatenate([node, more]), np.concatenate([edges, cycle + n + 1]),
+        np.repeat(same[None], n + 4, 0), np.repeat([0, 1], [n + 1, 4]),
+    )
+    alone = pii_crf.marginals(more, cycle, np.repeat(same[None], 4, 0))
+    assert (both[: n + 1] == p).all() and (both[n + 1 :] == alone).all()
+
+
+def _spans_plainly(text):
+    """The fixed patterns as the contract words them."""
+    out = [("email", m.start(), m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
+        if all(int(x) <= 255 for x in m[0].split(".")):
+            out.append(("ip", m.start(), m.end()))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        d = [int(c) for c in m[0] if c.isdigit()][::-1]
+        if 16 <= len(d) <= 19 and sum(sum(divmod(2 * x, 10)) if i % 2 else x for i, x in enumerate(d)) % 10 == 0:
+            out.append(("card", m.start(), m.end()))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text):
+        if 8 <= sum(c.isdigit() for c in m[0]) <= 15:
+            out.append(("phone", m.start(), m.end()))
+    return out
+
+
+def test_the_query_of_personal_data_against_plain_patterns(spark, docs):
+    folder = "/root/testdata/sf0.001"
+    texts = dict(texts_of(spark.read.parquet(f"{folder}/documents.parquet")))
+    rows = {r.doc_id: r for r in queries.QUERIES["op7_personal_data"](spark, folder).collect()}
+    assert rows.keys() == texts.keys()
+    for i, text in texts.items():
+        base = _spans_plainly(text or "")
+        kinds = Counter(kind for kind, _, _ in base)
+        r = rows[i]
+        assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(kinds[k] for k in ("email", "ip", "card", "phone"))
+        spans = [f"{kind}:{a}:{z}" for kind, a, z in base]
+        assert r.base_sha256 == hashlib.sha256(",".join(spans).encode()).hexdigest()
+        assert set(spans) <= set(r.spans.split(","))
 
 
 def test_patterns_stay_fast_on_long_runs():
