@@ -166,3 +166,10 @@ def test_hot_fact_keys_are_counted_before_the_shuffle(spark):
     text = plan(driver.queries()["count_fact_songs"](spark, SF_DIR))
     exchange = re.search(r"Exchange hashpartitioning\(song_id[^\n]*\n([^\n]*)", text)
     assert exchange and "partial_count" in exchange.group(1)
+
+
+def test_song_names_are_not_broadcast(spark):
+    """The names grow with the events; no broadcast of them, whatever the estimate of their files says."""
+    text = plan(driver.queries()["songplays_keyed"](spark, SF_DIR))
+    joins = re.findall(r"(\w+Join) \[event_id#\d+L?\], \[event_id#\d+L?\]", text)
+    assert joins and "BroadcastHashJoin" not in joins, joins
