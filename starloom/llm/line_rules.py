@@ -30,6 +30,9 @@ from starloom.session import materialize, work_folder
 
 MIN_DOCUMENTS, MAX_DOCUMENTS, HOST_SHARE, LEAST_LEFT = 10, 100, 0.002, 0.2
 MIN_WORDS, WINDOW, MOST_REPEATED = 10, 5, 20
+#: Text bytes per slice in ``_described``, whose arrays take about 30 times the slice; two workers of 4 MB slices and a
+#: full executor heap went beyond 3000 MB.
+DESCRIBE_BYTES = 1 << 20
 
 _LINE = np.ones(256, bool)
 _LINE[0x0A] = False
@@ -97,7 +100,7 @@ def _described(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
 
     uid = TaskContext.get().partitionId() << 33
-    for b in slices(batches):
+    for b in slices(batches, size=DESCRIBE_BYTES):
         buf, offsets = flat(b.column("text"))
         starts, ends, first = spans(buf, offsets, PLAIN)
         lead = np.append(0, np.cumsum((buf & 0xC0) != 0x80))

@@ -123,3 +123,29 @@ def test_near_duplicates_query(spark, docs, tmp_path):
     found = QUERIES["op4_near_duplicates"](spark, str(tmp_path)).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute_components(texts, 4, 80)
     assert all(r.kept == (r.doc_id == r.component_id) for r in found)
+
+
+def test_describing_texts_takes_memory_by_the_slice(monkeypatch):
+    import tracemalloc
+
+    import pyarrow as pa
+    import pyspark
+
+    class Task:
+        def partitionId(self):
+            return 0
+
+    monkeypatch.setattr(pyspark.TaskContext, "get", staticmethod(lambda: Task()))
+    texts = [f"{body(k, 200)}\n{FOOTER}\n{body(k + 1, 100)}" for k in range(4000)]
+    n = len(texts)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(n), pa.int64()), pa.array(texts), pa.array([0] * n, pa.int64()), pa.array([1] * n, pa.int64())], ["doc_id", "text", "mark", "host"])
+    tracemalloc.start()
+    try:
+        out = pa.Table.from_batches(list(line_rules._described(iter([batch]))))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert out.column("doc_id").to_pylist() == list(range(n))
+    assert out.column("uid").to_pylist() == list(range(n))
+    assert sum(len(t.encode()) for t in texts) > 8 * line_rules.DESCRIBE_BYTES
+    assert peak < 60 * line_rules.DESCRIBE_BYTES
