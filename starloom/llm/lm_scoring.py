@@ -1,25 +1,23 @@
 """Language-model scoring: causal self-attention in numpy over subword ids, with word counts below it.
 
-Words are lower-cased (A-Z) and split into the ids of a public byte-level BPE vocabulary. The first id of a word decides
-its class: the most frequent first ids are classes of their own, the others share classes of about equal mass. The
-probability of a word is that of its class given the words before it, times
-- its share of the class's words in the corpus, if training documents have the word; else
-- the chance of a new word (that of words seen once, after Good and Turing), times the probabilities of its ids by their
-  counts at the beginning and inside of words.
-A class is predicted by bigram log-probabilities plus one head of causal self-attention. All is learned from all
-training documents:
-1. One pass counts words and ids and cuts every training document into windows that follow one another: every word and
+Words are lower-cased (A-Z) and split into the ids of a public byte-level BPE vocabulary; a text is the sequence of all
+ids of its words, then the end mark. The softmax has two levels: the most frequent ids are classes of their own, the
+others share classes of about equal mass. The probability of an id is that of its class given the ids before it, times
+that of the id in its class given them too: its share of the class, weighted by the context through one of ``BUCKETS``
+output vectors (id modulo ``BUCKETS``). A class is predicted by bigram log-probabilities plus one head of causal
+self-attention. All is learned from all training documents:
+1. One pass counts words and ids and cuts every training document into windows that follow one another: every id and
    end mark is predicted in one of them. Counts are summed per task, then by key in a shuffle.
 2. Class bigrams are counted over all windows. Attention weights are trained by averaging: each task runs Adam over its
    windows from the same start, weights are averaged by windows, twice. Only sums of parameter size reach the driver.
 3. Texts are scored in windows that overlap by ``CONTEXT`` positions; the masked attention runs over batches of windows,
    and each token is predicted once, in the window where it has the longer context.
 
-Counts of words come from a head of fixed size (broadcast) or, for the words beyond, from a join on word hashes, so
-neither the vocabulary nor a document is ever in one place.
+Counts of words (for the unigram base) come from a head of fixed size (broadcast) or, for the words beyond, from a join on
+word hashes, so neither the vocabulary nor a document is ever in one place.
 
 Edge cases: a null or empty text is the end mark alone; a null id is neither held out nor learned from; repeated rows
-give a row each; with no training document all words are new and all classes equally likely; an empty table gives an
+give a row each; with no training document all ids are equally likely; an empty table gives an
 empty result; other columns are not read.
 """
 
@@ -41,11 +39,12 @@ CLASSES, SINGLE = 64, 52
 WIDTH, WINDOW, CONTEXT = 16, 32, 6
 HEAD_WORDS = 1 << 17
 ROUNDS, BATCH, RATE = 2, 64, 0.004
+BUCKETS = 64
 _END = np.int64(0x1E5D)  # key of the end mark among word hashes
 _INNER = 1 << 24  # added to ids inside of words where they are counted
 
 _SHAPES = {"E": (CLASSES, WIDTH), "P": (WINDOW, WIDTH), "Q": (WIDTH, WIDTH), "K": (WIDTH, WIDTH), "V": (WIDTH, WIDTH),
-           "O": (WIDTH, WIDTH), "X": (WIDTH, WIDTH), "U": (WIDTH, CLASSES)}
+           "O": (WIDTH, WIDTH), "X": (WIDTH, WIDTH), "U": (WIDTH, CLASSES), "G": (WIDTH, BUCKETS)}
 _SIZE = sum(a * b for a, b in _SHAPES.values())
 _CAUSAL = np.tril(np.ones((WINDOW, WINDOW), np.float32))
 
@@ -61,6 +60,7 @@ def _named(flat_weights: np.ndarray) -> dict[str, np.ndarray]:
 def _start() -> np.ndarray:
     w = np.random.Generator(np.random.PCG64(11)).normal(0, 0.25, _SIZE).astype(np.float32)
     _named(w)["U"][:] *= 0.1
+    _named(w)["G"][:] *= 0.1
     return w
 
 
@@ -175,13 +175,14 @@ class Subwords:
 # --- what is gathered from the corpus ------------------------------------------------------------------------------
 
 
-def _sequences(subwords: Subwords, firsts: np.ndarray, at: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The first id of every word of each text, then the end mark; and where each text starts (one more than texts)."""
-    offsets = first + np.arange(len(first))
+def _sequences(subwords: Subwords, ids: np.ndarray, sizes: np.ndarray, at: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of every word of each text, then the end mark; and where each text starts (one more than texts)."""
+    word, place = expand(sizes[at])
+    offsets = np.append(0, np.cumsum(sizes[at]))[first] + np.arange(len(first))
     out = np.full(offsets[-1], subwords.size, np.int64)
-    word = np.ones(len(out), bool)
-    word[offsets[1:] - 1] = False
-    out[word] = firsts[at]
+    inside = np.ones(len(out), bool)
+    inside[offsets[1:] - 1] = False
+    out[inside] = ids[(np.cumsum(sizes) - sizes)[at[word]] + place]
     return out, offsets
 
 
@@ -231,7 +232,7 @@ def _gathered(subwords: Subwords):
                 if len(parts[0][0]) > 1 << 20:
                     yield rows(0, *parts.pop())
             # All windows of each text, so that every entry is predicted once: an end mark stands before the first word and after the last.
-            sequence, offsets = _sequences(subwords, ids[opens], at, first)
+            sequence, offsets = _sequences(subwords, ids, sizes, at, first)
             n = np.diff(offsets)
             doc, turn = expand(-(-n // WINDOW))
             row, place = expand(np.minimum(n[doc] - turn * WINDOW, WINDOW) + 1)
@@ -261,23 +262,24 @@ def class_table(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return classes, np.log10(smooth / np.bincount(classes, smooth, CLASSES)[classes])
 
 
-def _windows(batch: pa.RecordBatch, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Windows as classes (one more than WINDOW, filled up with 0), and the number of predictions in each."""
+def _windows(batch: pa.RecordBatch, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Windows as classes (one more than WINDOW, filled up with 0), the number of predictions in each, and their ids."""
     kept, windows = _stored_id(len(classes)), batch.column("window").cast(pa.large_binary())
     edge = np.frombuffer(windows.buffers()[1], np.int64, len(windows) + 1, windows.offset * 8)
     size = np.diff(edge) // kept.itemsize
-    out = np.zeros((len(batch), WINDOW + 1), np.int64)
+    out, ids = (np.zeros((len(batch), WINDOW + 1), np.int64) for _ in range(2))
     row, place = expand(size)
     if len(row):
-        out[row, place] = classes[np.frombuffer(windows.buffers()[2], kept, len(row), edge[0])]
-    return out, np.maximum(size - 1, 0)
+        ids[row, place] = np.frombuffer(windows.buffers()[2], kept, len(row), edge[0])
+        out[row, place] = classes[ids[row, place]]
+    return out, np.maximum(size - 1, 0), ids
 
 
 def _bigrams(shared):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(CLASSES * CLASSES, np.int64)
         for batch in batches:
-            c, size = _windows(batch, shared.value)
+            c, size, _ = _windows(batch, shared.value)
             inside = np.arange(WINDOW) < size[:, None]
             total += np.bincount((c[:, :-1] * CLASSES + c[:, 1:])[inside], minlength=len(total))
         used = np.flatnonzero(total)
@@ -298,8 +300,11 @@ class Gradient:
         self.a, self.da = (np.empty((n, WINDOW, WINDOW), np.float32) for _ in range(2))
         self.out, self.bigrams = (np.empty((n * WINDOW, CLASSES), np.float32) for _ in range(2))
 
-    def __call__(self, w: np.ndarray, bigram: np.ndarray, c: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, np.ndarray]:
-        """Loss of predicting ``y`` after ``c``, each prediction by its weight (0 outside of the text), and its gradient."""
+    def __call__(self, w: np.ndarray, bigram: np.ndarray, c: np.ndarray, y: np.ndarray, weight: np.ndarray, second=None) -> tuple[float, np.ndarray]:
+        """Loss of predicting ``y`` after ``c``, each prediction by its weight (0 outside of the text), and its gradient.
+
+        ``second``, the ids' buckets and each class's shares by bucket, adds the loss of the id within its class.
+        """
         p, n, scale = _named(w), self.n, np.float32(WIDTH**-0.5)
         c, weight = c.reshape(-1), weight.reshape(-1)
         by_class, by_width = np.ones(CLASSES, np.float32), np.ones((WIDTH, 1), np.float32)
@@ -330,8 +335,22 @@ class Gradient:
         grad = np.empty_like(w)
         g = _named(grad)
         g["U"][:] = h.T @ out
-        h *= h
         du = out @ p["U"].T
+        if second is None:
+            g["G"][:] = 0
+        else:
+            bucket, spread = second[0].reshape(-1), second[1]
+            inner = h @ p["G"]
+            hit = inner[self.row, bucket]
+            np.exp(inner, out=inner)
+            inner *= spread.take(y.reshape(-1), 0)
+            total = inner @ np.ones(BUCKETS, np.float32)
+            loss += float(((np.log(total) - hit) * weight).sum())
+            inner *= (weight / total)[:, None]
+            inner[self.row, bucket] -= weight
+            g["G"][:] = h.T @ inner
+            du += inner @ p["G"].T
+        h *= h
         du *= np.subtract(1, h, out=h)
         g["O"][:] = z.T @ du
         dz = du @ p["O"].T
@@ -354,8 +373,8 @@ class Gradient:
         return loss, grad
 
 
-def train(w: np.ndarray, bigram: np.ndarray, c: np.ndarray, size: np.ndarray, rate: float = RATE) -> np.ndarray:
-    """One pass of Adam over windows."""
+def train(w: np.ndarray, bigram: np.ndarray, c: np.ndarray, size: np.ndarray, rate: float = RATE, second=None) -> np.ndarray:
+    """One pass of Adam over windows; ``second``, the windows' ids and each class's shares by bucket, trains the id level."""
     w, one, two = w.copy(), np.zeros_like(w), np.zeros_like(w)
     gradient = Gradient(min(BATCH, max(1, len(c))))
     for step, at in enumerate(range(0, len(c), BATCH), 1):
@@ -364,7 +383,8 @@ def train(w: np.ndarray, bigram: np.ndarray, c: np.ndarray, size: np.ndarray, ra
             gradient = Gradient(len(part))
         inside = np.arange(WINDOW) < size[at : at + BATCH, None]
         weight = (inside / max(1, inside.sum())).astype(np.float32)
-        _, g = gradient(w, bigram, part[:, :-1], part[:, 1:], weight)
+        inner = None if second is None else ((second[0][at : at + BATCH, 1:] % BUCKETS), second[1])
+        _, g = gradient(w, bigram, part[:, :-1], part[:, 1:], weight, inner)
         one += 0.1 * (g - one)
         two += 0.01 * (g * g - two)
         w -= rate * (one / (1 - 0.9**step)) / (np.sqrt(two / (1 - 0.99**step)) + 1e-8)
@@ -373,11 +393,11 @@ def train(w: np.ndarray, bigram: np.ndarray, c: np.ndarray, size: np.ndarray, ra
 
 def _trained(shared):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes, bigram, start = shared.value
+        classes, bigram, start, spread = shared.value
         w, n = start, 0
         for batch in batches:
-            c, size = _windows(batch, classes)
-            w = train(w, bigram, c, size)
+            c, size, ids = _windows(batch, classes)
+            w = train(w, bigram, c, size, second=(ids, spread))
             n += len(c)
         if n:
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(_SIZE)), pa.array(w.astype(float) * n), pa.array(np.full(_SIZE, n))], ["at", "total", "n"])
@@ -385,8 +405,11 @@ def _trained(shared):
     return run
 
 
-def _predicted(model, c: np.ndarray, offsets: np.ndarray, end: int) -> np.ndarray:
-    """log10 probability of each class of the texts; class ``end`` stands before each text."""
+def _predicted(model, c: np.ndarray, offsets: np.ndarray, end: int, second=None) -> np.ndarray:
+    """log10 probability of each class of the texts; class ``end`` stands before each text.
+
+    With ``second`` (the ids, each class's shares by bucket and the natural log of each id's share) that of each id.
+    """
     bigram, weights = model
     p = _named(weights)
     x = (p["E"][:, None] + p["P"][None]).reshape(-1, WIDTH)  # class x position
@@ -421,6 +444,13 @@ def _predicted(model, c: np.ndarray, offsets: np.ndarray, end: int) -> np.ndarra
         hit = z[np.arange(len(goal)), c.take(goal)]
         np.exp(z, out=z)
         out[goal] = hit - np.log(z @ class_ones)
+        if second is not None:
+            ids, spread, share = second
+            inner = h @ p["G"]
+            hit = inner[np.arange(len(goal)), ids.take(goal) % BUCKETS]
+            np.exp(inner, out=inner)
+            inner *= spread.take(c.take(goal), 0)
+            out[goal] += hit - np.log(inner @ np.ones(BUCKETS, np.float32)) + share.take(ids.take(goal))
     return out / np.float32(np.log(10))
 
 
@@ -428,7 +458,7 @@ def _predicted(model, c: np.ndarray, offsets: np.ndarray, end: int) -> np.ndarra
 
 _SCORED = (
     "uid bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base double, score double, "
-    "tail array<bigint>, times array<bigint>, new array<double>"
+    "tail array<bigint>, times array<bigint>"
 )
 
 
@@ -436,33 +466,25 @@ def _scored(subwords: Subwords, shared):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        model, classes, per_class, begins, inside, (go_on, stop, new_word), head, head_counts = shared.value
+        model, classes, spread, share, head, head_counts = shared.value
         uid = TaskContext.get().partitionId() << 33
         for b in slices(batches):
             keys, values, at, first = subwords.words(b)
             n, end = len(b), len(keys)
             ids, sizes = subwords.ids(values)
-            begin = np.cumsum(sizes) - sizes
-            sequence, offsets = _sequences(subwords, ids[begin], at, first)
+            sequence, offsets = _sequences(subwords, ids, sizes, at, first)
             c = classes[sequence]
-            score = np.add.reduceat(_predicted(model, c, offsets, classes[-1]).astype(float), offsets[:-1])
-            # By distinct word, the end mark last: its share but for its count, and its probability if it is new.
-            group = np.append(classes[ids[begin]], classes[-1])
-            share = np.log10(1 - new_word) - np.log10(per_class[group])
-            spelled = inside[ids] + go_on
-            spelled[begin] = begins[ids[begin]] + stop
-            new = np.log10(new_word) + np.append(np.add.reduceat(spelled, begin) if end else [], begins[-1])
+            score = np.add.reduceat(_predicted(model, c, offsets, classes[-1], (sequence, spread, share)).astype(float), offsets[:-1])
+            # By distinct word, the end mark last: whether training documents have it, for the unigram base.
             own = np.append(keys.view(np.int64), _END)
             where = np.minimum(np.searchsorted(head, own), max(len(head) - 1, 0))
             known = head[where] == own if len(head) else np.zeros(end + 1, bool)
-            value, count = np.zeros(end + 1), np.zeros(end + 1)
+            value = np.zeros(end + 1)
             value[known] = np.log10(head_counts[where[known]] + 0.1)
-            count[known] = np.log10(head_counts[where[known]])
 
             def per_text(x, at=at, first=first):
                 return np.diff(np.append(0, np.cumsum(x[at]))[first]) + x[-1]
 
-            score += per_text(share + count)
             doc, _ = expand(np.diff(first))
             rare = np.flatnonzero(~known[at])
             pair = doc[rare] * (end + 1) + at[rare]
@@ -471,7 +493,7 @@ def _scored(subwords: Subwords, shared):
             pair, times = np.unique(pair, return_counts=True)
             word = pair % (end + 1)
             edge = pa.array(np.searchsorted(pair // (end + 1), np.arange(n + 1)).astype(np.int32))
-            lists = [pa.ListArray.from_arrays(edge, pa.array(v)) for v in (own[word], times, (new - share)[word])]
+            lists = [pa.ListArray.from_arrays(edge, pa.array(v)) for v in (own[word], times)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(uid, uid + n)), b.column("doc_id"), b.column("held_out"), pa.array(np.diff(first) + 1)]
                 + [pa.array(per_text(known.astype(np.int64))), pa.array(per_text(value)), pa.array(score), *lists],
@@ -499,21 +521,18 @@ def score_texts(docs: DataFrame, held_out: Column, path: str, pattern: str, n_id
     found = materialize(found, work_folder(spark))
 
     words = materialize(found.filter("kind = 0").groupBy("key").agg(F.sum("n").alias("n")), work_folder(spark))
-    total, vocabulary, once = words.agg(
-        F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1)), F.sum((F.col("n") == 1).cast("int"))
-    ).first()
+    total, vocabulary = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     top = words.orderBy(F.col("n").desc(), "key").limit(HEAD_WORDS).toPandas().sort_values("key")
     by_id = found.filter("kind = 1").groupBy("key").agg(F.sum("n").alias("n")).toPandas()  # two rows an id at most
     begins, inside = np.zeros(n_ids + 1), np.zeros(n_ids)
     first = by_id["key"] < _INNER
     begins[by_id["key"][first]] = by_id["n"][first]
     inside[by_id["key"][~first] - _INNER] = by_id["n"][~first]
-    classes, begin_share = class_table(begins)
-    per_class = np.maximum(np.bincount(classes, begins, CLASSES), 1.0)
-    n_words, n_inside = begins.sum() + 1, inside.sum() + 1
-    new_word = min(0.5, max((once or 0) / max(total, 1), 1e-6))
-    word_end = (float(np.log10(n_inside / (n_words + n_inside))), float(np.log10(n_words / (n_words + n_inside))), new_word)
-    inside_share = np.log10((inside + 0.5) / (inside.sum() + 0.5 * n_ids))
+    begins[:n_ids] += inside  # every id, the end mark last
+    classes, share = class_table(begins)
+    spread = np.zeros((CLASSES, BUCKETS))
+    np.add.at(spread, (classes, np.arange(n_ids + 1) % BUCKETS), 10**share)
+    spread, share = spread.astype(np.float32), (share * np.log(10)).astype(np.float32)
 
     windows = found.filter("kind = 2").select("window")
     context = spark.sparkContext
@@ -525,21 +544,20 @@ def score_texts(docs: DataFrame, held_out: Column, path: str, pattern: str, n_id
     bigram = np.log((pairs + 20 * single) / (pairs.sum(1, keepdims=True) + 20)).astype(np.float32)
     weights = _start()
     for _ in range(ROUNDS):
-        trained = windows.mapInArrow(_trained(context.broadcast((classes, bigram, weights))), "at bigint, total double, n bigint")
+        trained = windows.mapInArrow(_trained(context.broadcast((classes, bigram, weights, spread))), "at bigint, total double, n bigint")
         mean = trained.groupBy("at").agg((F.sum("total") / F.sum("n")).alias("w")).toPandas().sort_values("at")
         if len(mean):
             weights = mean["w"].to_numpy().astype(np.float32)
 
     head = top["key"].to_numpy(np.int64), top["n"].to_numpy(np.int64)
-    shared = context.broadcast(((bigram, weights), classes, per_class, begin_share, inside_share, word_end, *head))
+    shared = context.broadcast(((bigram, weights), classes, spread, share, *head))
     scored = materialize(docs.select("doc_id", "text", "held_out").mapInArrow(_scored(subwords, shared), _SCORED), work_folder(spark))
-    tail = scored.select("uid", F.explode(F.arrays_zip("tail", "times", "new")).alias("x")).select("uid", F.col("x.tail").alias("key"), "x.times", "x.new")
+    tail = scored.select("uid", F.explode(F.arrays_zip("tail", "times")).alias("x")).select("uid", F.col("x.tail").alias("key"), "x.times")
     tail = tail.join(words, "key", "left").groupBy("uid").agg(
         F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("tail_known"),
         F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 0.1)).alias("tail_base"),
-        F.sum(F.col("times") * F.when(F.col("n") > 0, F.log10(F.col("n").cast("double"))).otherwise(F.col("new"))).alias("tail_score"),
     )
-    out = scored.drop("tail", "times", "new").join(tail, "uid", "left")
+    out = scored.drop("tail", "times").join(tail, "uid", "left")
     norm = float(np.log10(total + 0.1 * (vocabulary + 1)))
     return out.select(
         "doc_id",
@@ -548,5 +566,5 @@ def score_texts(docs: DataFrame, held_out: Column, path: str, pattern: str, n_id
         (F.col("n_known") + F.coalesce("tail_known", F.lit(0))).alias("n_known"),
         F.lit(int(total)).cast("bigint").alias("train_tokens"),
         (F.col("base") + F.coalesce("tail_base", F.lit(0.0)) - F.col("n_tokens") * norm).alias("base_score"),
-        (F.col("score") + F.coalesce("tail_score", F.lit(0.0))).alias("score"),
+        "score",
     )

@@ -357,6 +357,57 @@ def test_every_word_of_a_long_text_is_learned_from():
     assert pairs == expected and sum(pairs.values()) == sum(r["n"] for r in rows if r["kind"] == 0)
 
 
+def test_every_id_of_every_word_is_in_the_windows():
+    subwords = lm_scoring.Subwords(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, 50_256)
+    texts = ["", "unbelievably tokenization", None, " ".join(f"antidisestablishment{k % 7} of" for k in range(40)), "x " * 33]
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts), "learn": pa.array([True] * len(texts))})
+    rows = [r for b in lm_scoring._gathered(subwords)([batch]) for r in b.to_pylist()]
+    windows = [np.frombuffer(r["window"], lm_scoring._stored_id(50_257)).tolist() for r in rows if r["kind"] == 2]
+    encoding = lm_scoring._encoding(*(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN))[0]
+    expected = Counter()
+    for t in texts:
+        ids = [subwords.size, *(i for w in words(t) for i in encoding.encode_ordinary(f" {w}")), subwords.size]
+        expected.update(zip(ids, ids[1:]))
+    assert Counter(p for w in windows for p in zip(w, w[1:])) == expected
+    assert any(len(encoding.encode_ordinary(f" {w}")) > 1 for t in texts for w in words(t))
+
+
+def test_gradient_of_the_id_level_is_that_of_the_loss():
+    rng = np.random.default_rng(3)
+    n = (2, lm_scoring.WINDOW)
+    c, y = (rng.integers(0, lm_scoring.CLASSES, n) for _ in range(2))
+    bucket = rng.integers(0, lm_scoring.BUCKETS, n)
+    spread = rng.random((lm_scoring.CLASSES, lm_scoring.BUCKETS)).astype(np.float32)
+    weight = (rng.random(n) * (np.arange(n[1]) < [[9], [32]])).astype(np.float32)
+    bigram = rng.normal(size=(lm_scoring.CLASSES,) * 2).astype(np.float32)
+    w, gradient = lm_scoring._start(), lm_scoring.Gradient(2)
+    _, got = gradient(w, bigram, c, y, weight, (bucket, spread))
+    assert np.abs(lm_scoring._named(got)["G"]).sum() > 0
+    for name, part in lm_scoring._named(got).items():
+        direction = np.zeros_like(w)
+        lm_scoring._named(direction)[name][:] = rng.normal(size=part.shape) * 0.01
+        up, down = (gradient(w + s * direction, bigram, c, y, weight, (bucket, spread))[0] for s in (1, -1))
+        assert (up - down) / 2 == pytest.approx(float((got * direction).sum()), rel=0.02, abs=2e-4), name
+
+
+def test_ids_in_a_class_sum_to_one_whatever_the_context():
+    rng = np.random.default_rng(6)
+    model = rng.normal(size=(lm_scoring.CLASSES,) * 2).astype(np.float32), lm_scoring._start()
+    lm_scoring._named(model[1])["G"][:] = rng.normal(size=(lm_scoring.WIDTH, lm_scoring.BUCKETS))
+    counts = rng.integers(0, 50, 300).astype(float)
+    classes, share = lm_scoring.class_table(counts)
+    spread = np.zeros((lm_scoring.CLASSES, lm_scoring.BUCKETS))
+    np.add.at(spread, (classes, np.arange(300) % lm_scoring.BUCKETS), 10**share)
+    second = spread.astype(np.float32), (share * np.log(10)).astype(np.float32)
+    prefix = rng.integers(0, 300, 20)
+    total = 0.0
+    for last in range(300):
+        ids = np.append(prefix, last)
+        got = lm_scoring._predicted(model, classes[ids], np.array([0, 21]), classes[-1], (ids, *second))
+        total += 10 ** float(got[-1])
+    assert total == pytest.approx(1, rel=1e-4)
+
+
 def test_words_have_the_ids_they_have_alone(monkeypatch):
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     subwords, (encoding, _, cached) = lm_scoring.Subwords(path, pattern, 50_256), lm_scoring._encoding(path, pattern)
